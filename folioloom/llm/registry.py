@@ -2,10 +2,16 @@
 
 from __future__ import annotations
 
-from folioloom.llm import quality
+from folioloom.llm import bpe, licenses, quality, secret_scan, simhash, suffix_dedup, toxicity
 
 _ALL = {
     "op1_quality_rules": (quality.op1_quality_rules, quality.OP1_SQL),
+    "op2_secret_scan": (secret_scan.op2_secret_scan, None),
+    "op3_license_scan": (licenses.op3_license_scan, None),
+    "op6_suffix_dedup": (suffix_dedup.op6_suffix_dedup, None),
+    "op7_simhash_dedup": (simhash.op7_simhash_dedup, None),
+    "op8_bpe_round_trip": (bpe.op8_bpe_round_trip, None),
+    "op10_toxicity": (toxicity.op10_toxicity, None),
 }
 
 
