@@ -1,9 +1,9 @@
 """Toxic spans by a linear-chain conditional random field, and document scores from its marginals.
 
 Labels are of documents.  Token labels follow from them: in toxic documents, a word is toxic
-whose distinct contexts (the words on both sides) are many in toxic documents and almost none
+if it or a beginning of it is such that its distinct contexts (the words on both sides) are many in toxic documents and few
 in others; contexts, not occurrences, so that copies of a document count once.  The field has
-two states, emission weights for a word, its ending, its shape and its two neighbours, and
+two states, emission weights for a word, its beginnings and ending, its shape and its two neighbours, and
 transition weights, fitted by gradient steps on the exact likelihood.  Forward-backward
 marginals of the tokens give offending spans and, through a logistic curve fitted on the same
 sample, the document's score.
@@ -30,6 +30,7 @@ from pyspark.sql import functions as F
 
 TOKENS_KEPT = 200_000
 DOCS_AT_ONCE = 1000
+CHAIN = 100
 _EDGE = re.compile(r"^[\W_]+|[\W_]+$")
 _END = re.compile(r"[.!?]")
 
@@ -94,16 +95,31 @@ def marginals(e: np.ndarray, starts: np.ndarray, lengths: np.ndarray, trans: np.
 
 
 def sequences(ends: np.ndarray, n_docs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Starts and lengths of sentences: a token that ends one, or a document's last, closes it."""
+    """Starts and lengths of chains: a token that ends a sentence, or a document's last, closes one.
+
+    A sentence over ``CHAIN`` tokens is several chains.
+    """
     close = ends.astype(bool).copy()
     close[np.cumsum(n_docs)[n_docs > 0] - 1] = True
+    begun = np.maximum.accumulate(np.where(np.append(True, close[:-1]), np.arange(len(close)), 0))
+    close |= (np.arange(len(close)) - begun) % CHAIN == CHAIN - 1
     last = np.flatnonzero(close)
     starts = np.concatenate([[0], last[:-1] + 1]) if len(last) else np.empty(0, np.int64)
     return starts, last - starts + 1
 
 
+PREFIXES = (4, 5, 6, 7)
+
+
 def token_features(w: str, raw: str) -> list[str]:
-    return [f"w={w}", f"e={w[-3:]}", f"s={'A' if raw.isupper() else 'a'}{min(len(w), 12)}"]
+    """The word, its beginnings and ending, and its shape; always the same number of features."""
+    begins = [f"b={w[:k]}" if len(w) >= k else "" for k in PREFIXES]
+    return [f"w={w}", *begins, f"e={w[-3:]}", f"s={'A' if raw.isupper() else 'a'}{min(len(w), 12)}"]
+
+
+def stems(w: str) -> set[str]:
+    """A word and its beginnings: inflected words share one."""
+    return {w, *(w[:k] for k in PREFIXES if len(w) > k)} if w else set()
 
 
 @dataclass
@@ -113,7 +129,7 @@ class Field:
     weights: dict[str, float] = field(default_factory=dict)
     bias: float = -8.0
     trans: np.ndarray = field(default_factory=lambda: np.zeros((2, 2)))
-    curve: tuple[float, float, float] = (-4.0, 0.0, 0.0)
+    curve: tuple[float, ...] = (-4.0, 0.0, 0.0, 0.0)
 
     def emissions(self, raw: str) -> tuple[float, float, float, bool]:
         w, get = normal(raw), self.weights.get
@@ -122,20 +138,20 @@ class Field:
 
     def scores(self, post: np.ndarray, n_docs: np.ndarray) -> np.ndarray:
         x = doc_features(post, n_docs)
-        c, k, m = self.curve
-        return 1 / (1 + np.exp(-np.clip(c + k * x[:, 0] + m * x[:, 1], -30, 30)))
+        return 1 / (1 + np.exp(-np.clip(self.curve[0] + x @ np.array(self.curve[1:]), -30, 30)))
 
 
 def doc_features(post: np.ndarray, n_docs: np.ndarray) -> np.ndarray:
-    """For each document the greatest marginal's log odds and the log of the toxic tokens expected."""
-    out = np.zeros((len(n_docs), 2))
+    """For each document the greatest marginal's log odds and the logs of the toxic tokens expected and of all."""
+    out = np.zeros((len(n_docs), 3))
     out[:, 0] = -6.0
+    out[:, 2] = np.log1p(n_docs)
     full = np.flatnonzero(n_docs > 0)
     if len(full):
         starts = (np.cumsum(n_docs) - n_docs)[full]
         top = np.clip(np.maximum.reduceat(post, starts), 1e-6, 1 - 1e-6)
         out[full, 0] = np.clip(np.log(top / (1 - top)), -6, 6)
-        out[full, 1] = np.log1p(np.add.reduceat(np.where(post > 0.2, post, 0), starts))
+        out[full, 1] = np.log1p(np.add.reduceat(np.where(post > 0.1, post, 0), starts))
     return out
 
 
@@ -170,85 +186,117 @@ class Tagger:
         return marginals(e, starts, lengths, self.model.trans), n_docs
 
 
-def toxic_words(docs: list[list[str]], labels: list[int], least: int = 6, odds: float = 0.05) -> set[str]:
-    """Words with many contexts in toxic documents and almost none in others."""
-    seen: dict[int, dict[str, set]] = {0: defaultdict(set), 1: defaultdict(set)}
-    for words, label in zip(docs, labels, strict=True):
-        own = seen[label]
-        for k, w in enumerate(words):
-            if w:
-                own[w].add((words[k - 1] if k else "", words[k + 1] if k + 1 < len(words) else ""))
+def toxic_stems(docs: list[list[str]], labels: list[int], surplus: float = 3.4) -> set[str]:
+    """Words and beginnings that toxic documents hold far more often than others.
+
+    With ``a`` toxic and ``b`` other documents, scaled to equal classes, a stem is
+    kept if a - b is at least ``surplus`` standard deviations, sqrt(a + b).  Then ``a`` is held
+    to the stem's distinct contexts, which copies of a document don't add to.
+    """
     n1, n0 = max(1, sum(labels)), max(1, len(labels) - sum(labels))
-    least = max(least, n1 // 100)
-    return {w for w, c in seen[1].items() if len(c) >= least and len(seen[0].get(w, ())) / n0 <= odds * len(c) / n1}
+    held = (Counter(), Counter())
+    for words, label in zip(docs, labels, strict=True):
+        held[label].update(set().union(*map(stems, set(words))))
+
+    def stands_out(a: float, b: float) -> bool:
+        b *= n1 / n0
+        return a - b >= surplus * math.sqrt(max(a + b, 1))
+
+    near = {w for w, n in held[1].items() if stands_out(n, held[0][w])}
+    seen: dict[str, set] = defaultdict(set)
+    for words, label in zip(docs, labels, strict=True):
+        if label:
+            for k, w in enumerate(words):
+                for x in stems(w) & near:
+                    seen[x].add((words[k - 1] if k else "", words[k + 1] if k + 1 < len(words) else ""))
+    return {w for w in near if stands_out(min(held[1][w], len(seen[w])), held[0][w])}
 
 
-def fit(texts: list[str], labels: list[int], prior: float | None = None, steps: int = 30, rate: float = 0.5, decay: float = 1e-4) -> Field:
-    """Fit a field and the curve of its document scores."""
+def fit(texts: list[str], labels: list[int], prior: float | None = None, steps: int = 12, rate: float = 0.8, ridge: float = 0.5) -> Field:
+    """Fit a field and the curve of its document scores.
+
+    Weights belong to kinds of tokens, so a gradient step costs one pass over the tokens and
+    one over the kinds.
+    """
     raws = [t.split() for t in texts]
     docs = [[normal(r) for r in raw] for raw in raws]
-    bad = toxic_words(docs, labels)
+    bad = toxic_stems(docs, labels)
     model = Field()
     if not bad or not any(labels) or all(labels):
         return model
-    y = np.array([label == 1 and w in bad for words, label in zip(docs, labels, strict=True) for w in words], np.float64)
+    kinds = {r: k for k, r in enumerate(dict.fromkeys(r for raw in raws for r in raw))}
+    at = np.array([kinds[r] for raw in raws for r in raw], np.int64)
     n_docs = np.array([len(r) for r in raws], np.int64)
-    flat_raw, flat = [r for raw in raws for r in raw], [w for words in docs for w in words]
-    starts, lengths = sequences(np.array([bool(_END.search(r)) for r in flat_raw]), n_docs)
-    first = np.zeros(len(flat), bool)
-    first[starts] = True
-    feats = [token_features(w, r) for w, r in zip(flat, flat_raw, strict=True)]
-    for k in range(len(flat)):
-        if not first[k]:
-            feats[k] = [*feats[k], f"p={flat[k - 1]}"]
-            feats[k - 1] = [*feats[k - 1], f"n={flat[k]}"]
-    count = Counter(f for fs in feats for f in fs)
-    names = {f: i for i, f in enumerate(sorted(f for f, c in count.items() if c >= 3))}
-    which = np.array([names[f] for fs in feats for f in fs if f in names], np.int64)
-    owner = np.array([k for k, fs in enumerate(feats) for f in fs if f in names], np.int64)
-    del feats
-    w, trans = np.zeros(len(names)), np.zeros((2, 2))
-    bias = math.log((y.sum() + 1) / (len(y) - y.sum() + 1))
-    j = np.flatnonzero(~first)
-    seen = np.zeros((2, 2))
-    np.add.at(seen, (y[j - 1].astype(int), y[j].astype(int)), 1)
-    sums = [np.zeros(len(names)), np.zeros((2, 2)), np.zeros(1)]
+    count = np.bincount(at, minlength=len(kinds))
+    words = [normal(r) for r in kinds]
+    feats = [token_features(w, r) for w, r in zip(words, kinds, strict=True)]
+    often: Counter = Counter()
+    for fs, n in zip(feats, count.tolist(), strict=True):
+        for f in fs:
+            often[f] += n
+    names = {f: k + 1 for k, f in enumerate(sorted(f for f, n in often.items() if f and n >= 3))}  # 0: no weight
+    own = np.array([[names.get(f, 0) for f in fs] for fs in feats], np.int64)
+    side = own[:, 0]  # neighbours weigh by their word
+    toxic = np.array([not stems(w).isdisjoint(bad) for w in words])
+    y = (toxic[at] & np.repeat(np.array(labels, bool), n_docs)).astype(np.float64)
+    starts, lengths = sequences(np.array([bool(_END.search(r)) for r in kinds])[at], n_docs)
+    inner = np.ones(len(at), bool)
+    inner[starts] = False
+    j = np.flatnonzero(inner)
+    before, after, size = side[at[j - 1]], side[at[j]], len(names) + 1
+    w, wp, wn, trans = np.zeros(size), np.zeros(size), np.zeros(size), np.zeros((2, 2))
+    bias = np.array([math.log((y.sum() + 1) / (len(y) - y.sum() + 1))])
+    seen = np.bincount((2 * y[j - 1] + y[j]).astype(np.int64), minlength=4).reshape(2, 2)
+    params = [w, wp, wn, trans, bias]
+    sums = [np.zeros_like(x) for x in params]
     for _ in range(steps):
-        e = np.bincount(owner, w[which], len(y)) + bias
+        e = w[own].sum(axis=1)[at] + bias[0]
+        e[j] += wp[before]
+        e[j - 1] += wn[after]
         post, _, pairs = marginals(e, starts, lengths, trans, pairs=True)
         gap = y - post
-        grads = [np.bincount(which, gap[owner], len(names)) - decay * len(y) * 1e-2 * w, seen - pairs, np.array([gap.sum()])]
-        moved = []
-        for s, g in zip(sums, grads, strict=True):
+        by_kind = np.bincount(at, gap, len(kinds))
+        grads = [
+            np.bincount(own.ravel(), np.repeat(by_kind, own.shape[1]), size) - ridge * w,
+            np.bincount(before, gap[j], size) - ridge * wp, np.bincount(after, gap[j - 1], size) - ridge * wn,
+            seen - pairs, np.array([gap.sum()]),
+        ]
+        for x, s, g in zip(params, sums, grads, strict=True):
             s += g * g
-            moved.append(rate * g / np.sqrt(s + 1e-8))
-        w, trans, bias = w + moved[0], trans + moved[1], bias + float(moved[2][0])
-    model = Field({f: float(w[i]) for f, i in names.items() if abs(w[i]) > 1e-4}, bias, trans)
+            x += rate * g / np.sqrt(s + 1e-8)
+        for x in (w, wp, wn):
+            x[0] = 0
+    weights = {}
+    for f, k in names.items():
+        weights[f] = float(w[k])
+        if f[0] == "w":
+            weights["p" + f[1:]], weights["n" + f[1:]] = float(wp[k]), float(wn[k])
+    model = Field({f: x for f, x in weights.items() if abs(x) > 1e-3}, float(bias[0]), trans)
     post, n = Tagger(model).run(texts)
     model.curve = _curve(doc_features(post, n), np.array(labels, np.float64), prior)
     return model
 
 
-def _curve(x: np.ndarray, y: np.ndarray, prior: float | None, steps: int = 400) -> tuple[float, float, float]:
+def _curve(x: np.ndarray, y: np.ndarray, prior: float | None, steps: int = 400) -> tuple[float, ...]:
     """Logistic curve by Newton steps with a small ridge; ``prior`` is the share of toxic rows outside."""
     a = np.column_stack([np.ones(len(x)), x])
-    v, ridge = np.zeros(3), np.diag([1e-3, 0.05, 0.05]) * len(x) * 0.01
+    v, ridge = np.zeros(4), np.diag([1e-3, 0.05, 0.05, 0.05]) * len(x) * 0.01
     for _ in range(min(steps, 50)):
         p = 1 / (1 + np.exp(-np.clip(a @ v, -30, 30)))
-        step = np.linalg.solve((a * (p * (1 - p))[:, None]).T @ a + ridge + 1e-9 * np.eye(3), a.T @ (y - p) - ridge @ v)
+        step = np.linalg.solve((a * (p * (1 - p))[:, None]).T @ a + ridge + 1e-9 * np.eye(4), a.T @ (y - p) - ridge @ v)
         v = v + step
         if np.abs(step).max() < 1e-8:
             break
     if prior is not None and 0 < prior < 1:
         own = y.mean()
         v[0] += math.log(prior / (1 - prior)) - math.log(own / (1 - own))
-    return float(v[0]), float(v[1]), float(v[2])
+    return tuple(map(float, v))
 
 
 HELD_OUT = "crc32(cast(doc_id AS string)) % 4 = 2"
 
 
-def fit_from(documents: DataFrame, labels: DataFrame, per_class: int = 700, longest: int = 20_000) -> Field:
+def fit_from(documents: DataFrame, labels: DataFrame, per_class: int = 1000, longest: int = 20_000) -> Field:
     """Fit on at most ``per_class`` documents of each label, from rows that aren't held out."""
     rows = labels.where(f"NOT coalesce({HELD_OUT}, false)").where("toxic IN (0, 1)").select("doc_id", F.col("toxic").cast("int").alias("toxic")).dropDuplicates(["doc_id"])
     shares = {r["toxic"]: r["n"] for r in rows.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
