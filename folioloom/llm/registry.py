@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from folioloom.llm import bpe, licenses, quality, secret_scan, simhash, suffix_dedup, toxicity
+from folioloom.llm import bpe, decontaminate, licenses, quality, secret_scan, simhash, suffix_dedup, toxicity
 
 _ALL = {
     "op1_quality_rules": (quality.op1_quality_rules, quality.OP1_SQL),
@@ -11,6 +11,7 @@ _ALL = {
     "op6_suffix_dedup": (suffix_dedup.op6_suffix_dedup, None),
     "op7_simhash_dedup": (simhash.op7_simhash_dedup, None),
     "op8_bpe_round_trip": (bpe.op8_bpe_round_trip, None),
+    "op9_decontamination": (decontaminate.op9_decontamination, None),
     "op10_toxicity": (toxicity.op10_toxicity, None),
 }
 
