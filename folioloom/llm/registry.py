@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from folioloom.llm import bpe, decontaminate, licenses, quality, secret_scan, simhash, suffix_dedup, toxicity
+from folioloom.llm import bpe, decontaminate, html_extract, licenses, quality, secret_scan, simhash, suffix_dedup, toxicity, warc
 
 _ALL = {
     "op1_quality_rules": (quality.op1_quality_rules, quality.OP1_SQL),
     "op2_secret_scan": (secret_scan.op2_secret_scan, None),
     "op3_license_scan": (licenses.op3_license_scan, None),
+    "op4_warc_round_trip": (warc.op4_warc_round_trip, warc.OP4_SQL),
+    "op5_html_text": (html_extract.op5_html_text, None),
     "op6_suffix_dedup": (suffix_dedup.op6_suffix_dedup, None),
     "op7_simhash_dedup": (simhash.op7_simhash_dedup, None),
     "op8_bpe_round_trip": (bpe.op8_bpe_round_trip, None),
