@@ -19,6 +19,7 @@ from __future__ import annotations
 import hashlib
 import heapq
 import json
+from array import array
 from functools import lru_cache
 
 import numpy as np
@@ -62,6 +63,7 @@ class ByteBpe:
         self.split = regex.compile(SPLIT)
         self.cut = regex.compile("(" + "|".join(map(regex.escape, sorted(self.added, key=len, reverse=True))) + ")") if self.added else None
         self.kept: dict[str, tuple[int, bytes, bytes]] = {}
+        self.lists: dict[str, tuple[tuple[int, ...], bytes]] = {}
 
     def merge(self, piece: bytes) -> list[int]:
         """Ids of one piece."""
@@ -121,6 +123,20 @@ class ByteBpe:
         ids = b",".join([x[1] for x in found])
         return sum([x[0] for x in found]), hashlib.sha256(ids).hexdigest(), hashlib.sha256(decoded).hexdigest()
 
+    def pieces_of(self, text: str):
+        """(ids, decoded bytes) of each piece of a text."""
+        get = self.lists.get
+        for p in self._pieces(text):
+            hit = get(p)
+            if hit is None:
+                ids = (self.added[p],) if p in self.added else tuple(self.merge(p.encode("utf-8", "surrogatepass")))
+                hit = ids, b"".join(map(self.strings.__getitem__, ids))
+                if len(p) <= LONGEST_KEPT:
+                    if len(self.lists) >= PIECES_KEPT:
+                        self.lists.clear()
+                    self.lists[p] = hit
+            yield hit
+
     def _added(self, word: str) -> tuple[int, bytes, bytes]:
         i = self.added[word]
         return 1, str(i).encode(), self.strings[i]
@@ -164,6 +180,26 @@ def encode(documents: DataFrame, path: str, text: str = "text") -> DataFrame:
     return _with(documents.drop("ids"), text, "ids array<int>", columns)
 
 
+def encode_checked(documents: DataFrame, path: str, text: str = "text") -> DataFrame:
+    """documents plus ``ids``, ``n_tokens`` and ``decodes``: whether the ids give the text again."""
+
+    def columns(texts):
+        bpe = tokenizer(path)
+        flat, ends, same = array("i"), [0], []
+        for t in texts:
+            decoded = []
+            for ids, raw in bpe.pieces_of(t):
+                flat.extend(ids)
+                decoded.append(raw)
+            ends.append(len(flat))
+            same.append(b"".join(decoded).decode("utf-8", "replace") == t)
+        ends = np.array(ends, np.int32)
+        lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.frombuffer(flat, np.int32)))
+        return {"ids": lists, "n_tokens": pa.array(np.diff(ends).astype(np.int64)), "decodes": pa.array(same)}
+
+    return _with(documents.drop("ids", "n_tokens", "decodes"), text, "ids array<int>, n_tokens bigint, decodes boolean", columns)
+
+
 def decode(encoded: DataFrame, path: str, ids: str = "ids") -> DataFrame:
     """encoded plus ``decoded``; a null list decodes to the empty text."""
     df = encoded.drop("decoded")

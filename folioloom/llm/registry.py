@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import corpus_pipeline
 from folioloom.llm import bpe, decontaminate, html_extract, licenses, quality, secret_scan, simhash, suffix_dedup, toxicity, warc
 
 _ALL = {
@@ -15,6 +16,7 @@ _ALL = {
     "op8_bpe_round_trip": (bpe.op8_bpe_round_trip, None),
     "op9_decontamination": (decontaminate.op9_decontamination, None),
     "op10_toxicity": (toxicity.op10_toxicity, None),
+    "pipeline": (corpus_pipeline.run, corpus_pipeline.ORACLE_SQL),
 }
 
 
