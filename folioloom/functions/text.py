@@ -7,13 +7,14 @@ import unicodedata
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from folioloom.profile import DEFAULT, Profile
 
 DEVANAGARI = "[\\x{0900}-\\x{097F}]"
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def nfc(text: pd.Series) -> pd.Series:
     return text.map(lambda t: unicodedata.normalize("NFC", t), na_action="ignore")
 
@@ -174,7 +175,7 @@ def upper_sha256(data: Column) -> Column:
 def transliterator(pairs: list[tuple[str, str]]):
     """Ordered replacement of legacy glyph codes; one pass for each pair, in an Arrow UDF."""
 
-    @F.pandas_udf("string")
+    @F.pandas_udf(StringType())
     def convert(text: pd.Series) -> pd.Series:
         def one(t: str) -> str:
             for old, new in pairs:

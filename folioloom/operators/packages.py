@@ -10,6 +10,7 @@ import zipfile
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from folioloom.operators.ordered import number_rows
 
@@ -36,7 +37,7 @@ def parts(files: DataFrame) -> DataFrame:
     return files.select("path", "content").mapInPandas(work, "path string, part string, size bigint, sha256 string, content binary")
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def resolve(owner: pd.Series, target: pd.Series) -> pd.Series:
     """A relationship's target as a part name: from the root if it begins with /, else beside its owner."""
 
