@@ -238,7 +238,7 @@ def _parsed(lines: DataFrame, schema: str, pick: int, names: list[str], profile:
         doc, page = pdf["doc"].iloc[0], int(pdf["page"].iloc[0])
         rows = parse_page(doc, page, pdf["raw"].tolist(), profile)[pick]
         out = [{"doc": doc, "page": page, "pos": k + 1} | r for k, r in enumerate(rows)]
-        return pd.DataFrame(out, columns=names, dtype=object)
+        return pd.DataFrame([[r.get(c) for c in names] for r in out], columns=names, dtype=object)
 
     return lines.select("doc", "page", "line_no", "raw").groupBy("doc", "page").applyInPandas(work, schema)
 
