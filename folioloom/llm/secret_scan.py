@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 MARK = "￿"
 #: A run of key characters with at least one digit; 16 characters at least.
-CANDIDATE = "(?<![A-Za-z0-9+/_.=-])(?=[A-Za-z+/_.=-]{0,200}[0-9])([A-Za-z0-9+/_.=-]{16,})"
+CANDIDATE = "(?<![A-Za-z0-9+/_.-])(?=[A-Za-z+/_.-]{0,200}[0-9])([A-Za-z0-9+/_.-]{16,}={0,2})"
 
 # Words beside a candidate that speak for or against a secret, and words that names are made of.
 FOR_WORDS = "token|secret|password|passwd|pwd|apikey|api_key|api-key|access_key|auth|bearer|credential|private_key"
@@ -153,7 +153,7 @@ def secret_scan(documents: DataFrame, text: str = "text", forest: Forest | None
     t = F.col(f"`{text}`")
     clean = F.when(F.contains(t, F.lit(MARK)), F.translate(t, MARK, " ")).otherwise(t)
     # a cheap test first: most documents hold no run of 16 key characters with a digit
-    parts = F.when(t.rlike("[A-Za-z0-9+/_.=-]{16}"), F.split(F.regexp_replace(clean, CANDIDATE, f"{MARK}$1{MARK}"), MARK))
+    parts = F.when(t.rlike("[A-Za-z0-9+/_.-]{16}"), F.split(F.regexp_replace(clean, CANDIDATE, f"{MARK}$1{MARK}"), MARK))
     df = df.select(*cols, parts.alias("__parts"))
     df = df.select("*", F.when(F.size("__parts") > 1, F.col("__parts")).alias("__p"))
     seen = F.transform(
