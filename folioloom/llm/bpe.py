@@ -19,6 +19,7 @@ from __future__ import annotations
 import hashlib
 import heapq
 import json
+import re
 from array import array
 from functools import lru_cache
 
@@ -27,13 +28,41 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-#: Pieces kept in a worker's table: bounds its memory at some 60 MB.
-PIECES_KEPT = 150_000
+#: Pieces kept in a worker's table: bounds its memory at some 100 MB.
+PIECES_KEPT = 250_000
 #: A longer piece is encoded but not kept.
 LONGEST_KEPT = 64
 
+#: Bits of an id, and of a place in a piece.
+ID_BITS, PLACE_BITS = 24, 40
+ID, PLACE = (1 << ID_BITS) - 1, (1 << PLACE_BITS) - 1
+
 # Fixed value: the pre-tokenizer's pattern; white space as Unicode's White_Space property.
-SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\p{White_Space}\p{L}\p{N}]+|\p{White_Space}+(?!\P{White_Space})|\p{White_Space}+"
+SPLIT = "'s|'t|'re|'ve|'m|'ll|'d| ?[{L}]+| ?[{N}]+| ?[^{S}{L}{N}]+|[{S}]+(?![^{S}])|[{S}]+"
+CLASSES = {"L": r"\p{L}", "N": r"\p{N}", "S": r"\p{White_Space}"}
+
+
+def splitters() -> tuple:
+    """The pattern for ASCII texts, for texts without characters beyond U+FFFF, and for all.
+
+    The first two have their classes written out, which the plain engine matches faster.
+    """
+
+    def fill(classes: dict[str, str]) -> str:
+        out = SPLIT
+        for name, value in classes.items():
+            out = out.replace("{" + name + "}", value)
+        return out
+
+    def spelled(last: int) -> dict[str, str]:
+        every = "".join(chr(c) for c in range(last) if not 0xD800 <= c < 0xE000)
+        out = {}
+        for name, value in CLASSES.items():
+            runs = [(m[0][0], m[0][-1]) for m in regex.finditer(f"[{value}]+", every)]
+            out[name] = "".join(f"\\u{ord(a):04x}-\\u{ord(z):04x}" for a, z in runs)
+        return out
+
+    return re.compile(fill(spelled(0x80))), re.compile(fill(spelled(0x10000))), regex.compile(fill(CLASSES))
 
 
 def byte_letters() -> dict[int, str]:
@@ -55,56 +84,79 @@ class ByteBpe:
         vocab = spec["model"]["vocab"]
         self.strings = {i: bytes(back[c] for c in w) for w, i in vocab.items()}
         self.byte_ids = [vocab[letters[b]] for b in range(256)]
-        self.merges = {}
+        self.pairs: dict[int, int] = {}
         for rank, (a, b) in enumerate(spec["model"]["merges"]):
-            self.merges.setdefault((vocab[a], vocab[b]), (rank, vocab[a + b]))
+            self.pairs.setdefault(vocab[a] << ID_BITS | vocab[b], rank << ID_BITS | vocab[a + b])
         self.added = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self.strings |= {i: w.encode() for w, i in self.added.items()}
-        self.split = regex.compile(SPLIT)
+        self.ascii, self.plain, self.full = splitters()
+        self.decimals = {i: str(i).encode() for i in self.strings}
         self.cut = regex.compile("(" + "|".join(map(regex.escape, sorted(self.added, key=len, reverse=True))) + ")") if self.added else None
         self.kept: dict[str, tuple[int, bytes, bytes]] = {}
         self.lists: dict[str, tuple[tuple[int, ...], bytes]] = {}
 
     def merge(self, piece: bytes) -> list[int]:
-        """Ids of one piece."""
+        """Ids of one piece.
+
+        Heap entries are single numbers: rank and merged id above, place below.  ``best`` has
+        for each place the merge of its pair as it is now; an entry that differs is stale.
+        """
         ids = [self.byte_ids[b] for b in piece]
         n = len(ids)
-        left, right = list(range(-1, n - 1)), list(range(1, n + 1))
-        merges = self.merges
-        heap = [(*m, k) for k in range(n - 1) if (m := merges.get((ids[k], ids[k + 1])))]
-        heap = [(rank, k, ids[k], ids[k + 1], new) for rank, new, k in heap]
+        if n == 1:
+            return ids
+        get, push, pop = self.pairs.get, heapq.heappush, heapq.heappop
+        best = [get(a << ID_BITS | b) for a, b in zip(ids, ids[1:])]
+        best.append(None)
+        heap = [v << PLACE_BITS | k for k, v in enumerate(best) if v is not None]
+        if not heap:
+            return ids
         heapq.heapify(heap)
+        left, right = list(range(-1, n - 1)), list(range(1, n + 1))
         while heap:
-            _, k, a, b, new = heapq.heappop(heap)
-            r = right[k]
-            if ids[k] != a or r >= n or ids[r] != b:  # stale: one of the two has merged since
+            e = pop(heap)
+            k = e & PLACE
+            if best[k] != e >> PLACE_BITS:
                 continue
-            ids[k], ids[r] = new, -1
+            r = right[k]
+            ids[k] = new = best[k] & ID
+            ids[r] = -1
+            best[r] = None
             right[k] = after = right[r]
             if after < n:
                 left[after] = k
-                if m := merges.get((new, ids[after])):
-                    heapq.heappush(heap, (m[0], k, new, ids[after], m[1]))
-            if (p := left[k]) >= 0 and (m := merges.get((ids[p], new))):
-                heapq.heappush(heap, (m[0], p, ids[p], new, m[1]))
+                best[k] = v = get(new << ID_BITS | ids[after])
+                if v is not None:
+                    push(heap, v << PLACE_BITS | k)
+            else:
+                best[k] = None
+            p = left[k]
+            if p >= 0:
+                best[p] = v = get(ids[p] << ID_BITS | new)
+                if v is not None:
+                    push(heap, v << PLACE_BITS | p)
         return [i for i in ids if i >= 0]
 
     def piece(self, text: str) -> tuple[int, bytes, bytes]:
         """(tokens, ids in decimals joined by commas, decoded bytes) of one piece."""
         ids = self.merge(text.encode("utf-8", "surrogatepass"))
-        out = len(ids), ",".join(map(str, ids)).encode(), b"".join(map(self.strings.__getitem__, ids))
+        out = len(ids), b",".join(map(self.decimals.__getitem__, ids)), b"".join(map(self.strings.__getitem__, ids))
         if len(text) <= LONGEST_KEPT:
             if len(self.kept) >= PIECES_KEPT:
                 self.kept.clear()
             self.kept[text] = out
         return out
 
+    def _split(self, text: str) -> list[str]:
+        engine = self.ascii if text.isascii() else self.plain if not text or max(text) < "\U00010000" else self.full
+        return engine.findall(text)
+
     def _pieces(self, text: str):
         if self.cut is None or not any(w in text for w in self.added):
-            return self.split.findall(text)
+            return self._split(text)
         out = []
         for k, part in enumerate(self.cut.split(text)):
-            out += [part] if k % 2 else self.split.findall(part)
+            out += [part] if k % 2 else self._split(part)
         return out
 
     def digest(self, text: str) -> tuple[int, str, str]:
@@ -115,13 +167,13 @@ class ByteBpe:
             if hit is None:
                 hit = self._added(p) if p in self.added else self.piece(p)
             found.append(hit)
-        decoded = b"".join([x[2] for x in found])
+        sizes, ids, raw = zip(*found, strict=True) if found else ((), (), ())
+        decoded = b"".join(raw)
         try:
             decoded.decode()
         except UnicodeDecodeError:
             decoded = decoded.decode("utf-8", "replace").encode()
-        ids = b",".join([x[1] for x in found])
-        return sum([x[0] for x in found]), hashlib.sha256(ids).hexdigest(), hashlib.sha256(decoded).hexdigest()
+        return sum(sizes), hashlib.sha256(b",".join(ids)).hexdigest(), hashlib.sha256(decoded).hexdigest()
 
     def pieces_of(self, text: str):
         """(ids, decoded bytes) of each piece of a text."""
