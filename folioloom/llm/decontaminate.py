@@ -105,7 +105,7 @@ def passage_frequencies(texts: DataFrame) -> np.ndarray:
             if len(ids):
                 starts, _ = cuts(n, PASSAGE)
                 passage = np.repeat(np.arange(len(starts)), np.diff(np.append(starts, len(ids))))
-                pair = np.sort(passage * TERMS + ids % TERMS)
+                pair = np.sort((passage * TERMS + ids % TERMS).astype(np.int32 if len(starts) < 1 << 17 else np.int64))
                 pair = pair[np.append(True, pair[1:] != pair[:-1])]
                 df[:TERMS] += np.bincount(pair % TERMS, minlength=TERMS)
                 df[TERMS] += len(starts)
@@ -114,10 +114,21 @@ def passage_frequencies(texts: DataFrame) -> np.ndarray:
     return summed(texts.mapInArrow(work, "part int, sums binary"), TERMS + 1)
 
 
-def weights(counts: np.ndarray, common: float = 0.01, floor: float = 0.05) -> np.ndarray:
-    """Inverse frequencies; terms in over ``common`` of all passages tell items apart no more and weigh ``floor``."""
+def weights(counts: np.ndarray, common: float = 0.01, least: float = 30) -> np.ndarray:
+    """Inverse frequencies; terms in over ``common`` of all passages (``least`` of them, if fewer) weigh nothing."""
     share = (1 + counts[:TERMS]) / (1 + counts[TERMS])
-    return np.where(share <= common, -np.log(share), floor)
+    return np.where((share <= common) | (counts[:TERMS] <= least), -np.log(np.minimum(share, 0.5)), 0.0)
+
+
+def block_sums(values: np.ndarray, term: np.ndarray, starts: np.ndarray, live: np.ndarray) -> np.ndarray:
+    """Sum of the rows of ``values`` over each block's terms; terms that weigh nothing are left out."""
+    at = np.flatnonzero(live[term])
+    out = np.zeros((len(starts), values.shape[1]), np.float32)
+    if len(at):
+        block = np.searchsorted(starts, at, "right") - 1
+        first = np.flatnonzero(np.append(True, block[1:] != block[:-1]))
+        out[block[first]] = np.add.reduceat(values[term[at]], first, axis=0)
+    return out
 
 
 def random_matrix() -> np.ndarray:
@@ -129,15 +140,18 @@ def sketch(texts: DataFrame, idf: np.ndarray) -> np.ndarray:
 
     def work(batches):
         out = np.zeros((TERMS, RANK))
-        w = (idf[:, None] * random_matrix()).astype(np.float32)
+        w, live = (idf[:, None] * random_matrix()).astype(np.float32), idf > 0
         for batch in _slices(batches):
             ids, n = words(_bytes(batch, "text"))
             if not len(ids):
                 continue
             term = (ids % TERMS).astype(np.uint16)
             starts, _ = cuts(n, PASSAGE)
-            y = np.add.reduceat(w[term], starts, axis=0)
+            y = block_sums(w, term, starts, live)
             passage = np.repeat(np.arange(len(starts)), np.diff(np.append(starts, len(ids))))
+            passage, term = passage[live[term]], term[live[term]]
+            if not len(term):
+                continue
             order = np.argsort(term, kind="stable")
             t = term[order]
             first = np.flatnonzero(np.append(True, t[1:] != t[:-1]))
@@ -180,6 +194,19 @@ def _masks(ids: list[int]) -> dict[int, int]:
     return out
 
 
+#: Items with fewer words of weight are looked up by three words in a row instead.
+TELLING = 4
+
+
+def triples(ids: np.ndarray) -> np.ndarray:
+    """A hash of each three words in a row, of all words where they are fewer."""
+    x = ids.astype(np.uint64)
+    if len(x) < 3:
+        return np.array([hash(tuple(ids.tolist())) & ((1 << 63) - 1)], np.uint64)
+    h = (x[:-2] * np.uint64(0x9E3779B97F4A7C15)) ^ (x[1:-1] * np.uint64(0xC2B2AE3D27D4EB4F)) ^ (x[2:] * np.uint64(0xD6E8FEB86659FD93))
+    return h >> np.uint64(1)
+
+
 class Items:
     """Items by window length, with latent vectors and what the checks need."""
 
@@ -187,14 +214,20 @@ class Items:
         ids, n = words([t.encode() for _, t in rows])
         ends = np.cumsum(n)
         self.copy, self.paraphrase = copy, paraphrase
+        self.live = np.abs(table).sum(axis=1) > 0
         self.keys, self.words, self.answers = [], [], []
+        self.plain: dict[int, list[int]] = {}  # three words in a row -> items with few telling words
         by: dict[int, list[int]] = {}
         vectors = []
         for (key, _), end, m in zip(rows, ends.tolist(), n.tolist(), strict=True):
             if not m:
                 continue
             own = ids[end - m : end].tolist()
-            by.setdefault(max(1, round(m / STEP)), []).append(len(self.keys))
+            if self.live[np.array(own) % TERMS].sum() >= TELLING:
+                by.setdefault(max(1, round(m / STEP)), []).append(len(self.keys))
+            else:
+                for h in np.unique(triples(np.array(own, np.int32))).tolist():
+                    self.plain.setdefault(h, []).append(len(self.keys))
             self.keys.append(key)
             self.words.append((_masks(own), m))
             last = own[-answer:]
@@ -259,7 +292,11 @@ def flag(documents: DataFrame, benchmark: DataFrame, text: str = "text", cosine:
 
 def _find(ids: np.ndarray, n: np.ndarray, table: np.ndarray, known: Items, found: list[dict], cosine: float) -> None:
     starts, owner = cuts(n, STEP)
-    blocks = np.add.reduceat(table[ids % TERMS], starts, axis=0, dtype=np.float32)
+    if known.plain:
+        _find_plain(ids, n, known, found)
+    if not known.by_size:
+        return
+    blocks = block_sums(table, (ids % TERMS).astype(np.uint16), starts, known.live)
     sums = np.concatenate([np.zeros((1, blocks.shape[1])), np.cumsum(blocks, axis=0, dtype=np.float64)])
     last = np.append(np.flatnonzero(np.diff(owner)) + 1, len(owner))  # end of each text's blocks
     text_end = last[np.searchsorted(last, np.arange(len(owner)), "right")]
@@ -270,6 +307,10 @@ def _find(ids: np.ndarray, n: np.ndarray, table: np.ndarray, known: Items, found
         w /= np.maximum(np.linalg.norm(w, axis=1, keepdims=True), 1e-12)
         near = w @ vectors.T
         at, k = np.nonzero(near >= cosine)
+        # a check reads a block more on both sides, so of neighbouring windows the nearer one is enough
+        value, up, down = near[at, k], np.maximum(at - 1, 0), np.minimum(at + 1, len(owner) - 1)
+        top = ((near[up, k] <= value) | (owner[up] != owner[at])) & ((near[down, k] <= value) | (owner[down] != owner[at]))
+        at, k = at[top], k[top]
         order = np.argsort(-near[at, k], kind="stable")
         for b, j in zip(at[order].tolist(), k[order].tolist()):
             item, text = int(which[j]), int(owner[b])
@@ -287,3 +328,17 @@ def op9_decontamination(spark, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
     flagged = flag(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
     return flagged.select("doc_id", F.explode("leaks").alias("leak")).select("doc_id", "leak.item_id", F.round("leak.share", 6).alias("share"))
+
+
+def _find_plain(ids: np.ndarray, n: np.ndarray, known: Items, found: list[dict]) -> None:
+    """Items with few telling words: checked wherever three of their words stand in a row."""
+    keys = np.array(sorted(known.plain), np.uint64)
+    ends = np.cumsum(n)
+    for text, (end, m) in enumerate(zip(ends.tolist(), n.tolist(), strict=True)):
+        own = ids[end - m : end]
+        h = triples(own) if m else np.empty(0, np.uint64)
+        for at in np.flatnonzero(np.isin(h, keys)).tolist():
+            for k in known.plain[int(h[at])]:
+                size = known.words[k][1]
+                if k not in found[text] and (share := known.check(k, own[max(0, at - size) : at + size + 2].tolist())):
+                    found[text][k] = (share, 1.0)

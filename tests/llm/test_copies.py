@@ -181,7 +181,7 @@ def test_leaks(spark):
         want.add((k, k))
     rows = [(k, t, "old") for k, t in enumerate(docs)] + [(500, None, ""), (501, "", ""), (502, "short", "")]
     bench = spark.createDataFrame([*enumerate(items), (90, None), (91, "")], "item_id bigint, text string")
-    got = decontaminate.flag(spark.createDataFrame(rows, "doc_id bigint, text string, leaks string"), bench).collect()
+    got = decontaminate.flag(spark.createDataFrame(rows, "doc_id bigint, text string, leaks string"), bench, cosine=0.6).collect()
     assert len(got) == len(rows)
     assert {(r["doc_id"], x["item_id"]) for r in got for x in r["leaks"]} == want
     none = spark.createDataFrame([], "item_id bigint, text string")
