@@ -397,7 +397,7 @@ _REQUESTED = [14, 3, 19, 98, 7]
 @query(
     "explicit_selection",
     f"""
-SELECT CAST(r.pos AS BIGINT) AS pos, r.id AS doc_id, d.lang FROM (VALUES {', '.join(f'({k}, {i})' for k, i in enumerate(_REQUESTED))}) AS r(pos, id) JOIN documents d ON d.doc_id = r.id
+SELECT CAST(r.pos AS BIGINT) AS pos, CAST(r.id AS BIGINT) AS doc_id, d.lang FROM (VALUES {', '.join(f'({k}, {i})' for k, i in enumerate(_REQUESTED))}) AS r(pos, id) JOIN documents d ON d.doc_id = r.id
 """,
 )
 def explicit_selection(spark, sf_dir):
