@@ -222,7 +222,10 @@ def repeated_spans(documents: DataFrame, id_col: str = "doc_id", text: str = "te
     made = docs.mapInArrow(_stretch_rows(length), "k bigint, th bigint, lo int, hi int, core bigint, ctx bigint")
     made.write.parquet(path := store.fresh_path(spark, "stretches"))
     rows = spark.read.schema(made.schema).parquet(path)
+    # written first: the join then deals both sides anew, and a hot core can be split; the aggregate's shuffle is gone by then
     shared = rows.groupBy("core").agg(F.count("*").alias("n"), F.min("ctx").alias("least"), F.max("ctx").alias("most")).where("n > 1")
+    shared = store.materialize(shared, "cores")
+    _settle(spark)
     several = F.col("least") != F.col("most")
     met = store.materialize(rows.join(shared, "core").select("k", "th", "lo", "hi", "core", "ctx", several.alias("several")), "shared")
     store.drop(spark, path)
