@@ -218,17 +218,15 @@ def fit(texts: list[str], labels: list[int], prior: float | None = None, steps:
     Weights belong to kinds of tokens, so a gradient step costs one pass over the tokens and
     one over the kinds.
     """
-    raws = [t.split() for t in texts]
-    docs = [[normal(r) for r in raw] for raw in raws]
-    bad = toxic_stems(docs, labels)
+    kinds: dict[str, int] = {}
+    flat = [np.fromiter((kinds.setdefault(r, len(kinds)) for r in t.split()), np.int64) for t in texts]
+    words = [normal(r) for r in kinds]
+    bad = toxic_stems([[words[k] for k in ids.tolist()] for ids in flat], labels)
     model = Field()
     if not bad or not any(labels) or all(labels):
         return model
-    kinds = {r: k for k, r in enumerate(dict.fromkeys(r for raw in raws for r in raw))}
-    at = np.array([kinds[r] for raw in raws for r in raw], np.int64)
-    n_docs = np.array([len(r) for r in raws], np.int64)
+    at, n_docs = np.concatenate(flat), np.array([len(ids) for ids in flat], np.int64)
     count = np.bincount(at, minlength=len(kinds))
-    words = [normal(r) for r in kinds]
     feats = [token_features(w, r) for w, r in zip(words, kinds, strict=True)]
     often: Counter = Counter()
     for fs, n in zip(feats, count.tolist(), strict=True):
@@ -236,6 +234,7 @@ def fit(texts: list[str], labels: list[int], prior: float | None = None, steps:
             often[f] += n
     names = {f: k + 1 for k, f in enumerate(sorted(f for f, n in often.items() if f and n >= 3))}  # 0: no weight
     own = np.array([[names.get(f, 0) for f in fs] for fs in feats], np.int64)
+    del feats, often
     side = own[:, 0]  # neighbours weigh by their word
     toxic = np.array([not stems(w).isdisjoint(bad) for w in words])
     y = (toxic[at] & np.repeat(np.array(labels, bool), n_docs)).astype(np.float64)
