@@ -1,7 +1,7 @@
 """Training-data pipeline over ``documents``: five stages, each on all that its predecessor kept.
 
 1. toxicity: documents predicted toxic go.
-2. simhash_dedup: of documents that link by fingerprint, the one with the least id stays.
+2. simhash_dedup: of documents that link by similar shingles (5 words, 0.8), the one with the least id stays.
 3. decontamination: documents that leak a benchmark item go.
 4. secret_scan: secrets in the text become ``[SECRET]``; every document stays.
 5. bpe: token ids of the text, and whether they decode to it again.
@@ -34,7 +34,7 @@ def simhash_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     """A document is told by its id and a hash of its text; of repeated rows one stays."""
     importable(spark)
     keyed = docs.select(*COLUMNS).withColumn("key", F.struct(F.coalesce("doc_id", F.lit(-(1 << 63))).alias("k"), F.xxhash64("text").alias("th")))
-    found = simhash.near_duplicates(keyed.select("key", "text"), "key")
+    found = simhash.similar_documents(keyed.select("key", "text"), "key")
     first = found.where("key = component_id").select("key.k", "key.th").distinct()
     return keyed.select(*COLUMNS, "key.k", "key.th").join(first, ["k", "th"], "left_semi").dropDuplicates(["k", "th"]).select(*COLUMNS)
 

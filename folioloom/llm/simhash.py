@@ -16,6 +16,7 @@ empty table gives an empty result; further columns are kept where their names ar
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterable
 from itertools import combinations
 
 import numpy as np
@@ -58,7 +59,11 @@ _WEIGHTS = np.left_shift(np.uint64(1), np.arange(64, dtype=np.uint64))
 
 def fingerprints(texts: list[bytes | None], width: int) -> np.ndarray:
     """One fingerprint a text, as int64 with the same bits."""
-    out = np.zeros(len(texts), np.uint64)
+    return fingerprints_of((shingle_hashes(t, width) for t in texts), len(texts))
+
+
+def fingerprints_of(hashes: Iterable[np.ndarray], n: int) -> np.ndarray:
+    out = np.zeros(n, np.uint64)
     held: list[tuple[int, np.ndarray]] = []
     size = 0
 
@@ -74,8 +79,7 @@ def fingerprints(texts: list[bytes | None], width: int) -> np.ndarray:
         held.clear()
         size = 0
 
-    for k, text in enumerate(texts):
-        h = shingle_hashes(text, width)
+    for k, h in enumerate(hashes):
         if len(h) > COUNT_AT_ONCE:
             parts = (h[i : i + COUNT_AT_ONCE] for i in range(0, len(h), COUNT_AT_ONCE))
             close(k, sum(_set_bits(p, np.zeros(1, np.int64))[0] for p in parts), len(h))
@@ -181,24 +185,33 @@ def _bucket_links(budget: int):
         fps = fp.view(np.uint64)
         order = np.lexsort((fps, key, mask))
         mask, key, fps = mask[order], key[order], fps[order]
-        first = np.flatnonzero(np.concatenate([[True], (np.diff(mask) != 0) | (np.diff(key) != 0)]))
-        root = trie_links(fps, first, budget)
+        root = trie_links(fps, _bucket_starts(mask, key), budget)
         has = np.flatnonzero(root != np.arange(len(root)))
         signed = fps.view(np.int64)
         return pa.RecordBatch.from_pydict({"a": signed[has], "b": signed[root[has]]})
 
+    return _whole_buckets(links, ("m", "k", "fp"))
+
+
+def _bucket_starts(mask: np.ndarray, key: np.ndarray) -> np.ndarray:
+    return np.flatnonzero(np.concatenate([[True], (np.diff(mask) != 0) | (np.diff(key) != 0)]))
+
+
+def _whole_buckets(links: Callable[..., pa.RecordBatch], columns: tuple[str, ...]):
+    """``links`` over rows sorted by bucket (the first two columns), never over a part of a bucket."""
+
     def work(batches):
         held: list[tuple[np.ndarray, ...]] = []
         size = 0
         for batch in batches:
-            held.append(tuple(batch.column(c).to_numpy(zero_copy_only=False) for c in ("m", "k", "fp")))
+            held.append(tuple(batch.column(c).to_numpy(zero_copy_only=False) for c in columns))
             size += batch.num_rows
             if size >= ROWS_AT_ONCE:  # whole buckets only: the last one waits for its other rows
-                m, k, f = (np.concatenate(x) for x in zip(*held, strict=True))
-                last = (m == m[-1]) & (k == k[-1])
+                rows = [np.concatenate(x) for x in zip(*held, strict=True)]
+                last = (rows[0] == rows[0][-1]) & (rows[1] == rows[1][-1])
                 if not last.all():
-                    yield links(m[~last], k[~last], f[~last])
-                held, size = [(m[last], k[last], f[last])], 0
+                    yield links(*(x[~last] for x in rows))
+                held, size = [tuple(x[last] for x in rows)], 0
         if held and sum(len(x[0]) for x in held):
             yield links(*(np.concatenate(x) for x in zip(*held, strict=True)))
 
@@ -229,6 +242,128 @@ def near_duplicates(documents: DataFrame, id_col: str = "doc_id", text: str = "t
     return marked.join(by_fp, "fp", "left")
 
 
+#: Two sets of shingles with similarity 0.8 share a band with probability 1 - (1 - 0.8 ** 4) ** 20 = 0.99997.
+BANDS, BAND_ROWS = 20, 4
+_ORDERS = np.random.default_rng(5).integers(1 << 63, size=BANDS * BAND_ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+#: Bits by which fingerprints of one band may differ to be compared first; the second round has no such bound.
+BAND_BUDGET = 20
+
+
+def _sketch(h: np.ndarray) -> tuple[int, int, list[int]]:
+    """(name, size, bands) of a set of shingle hashes; equal sets have equal names."""
+    signed = lambda x: x - (1 << 64) if x >= 1 << 63 else x
+    h = np.unique(h)
+    if not len(h):
+        return 0, 0, []
+    least = np.full(len(_ORDERS), np.iinfo(np.uint64).max, np.uint64)
+    for i in range(0, len(h), 4096):
+        np.minimum(least, (_ORDERS[:, None] * h[i : i + 4096]).min(axis=1), out=least)
+    bands = [signed(xxhash.xxh64_intdigest(least[k : k + BAND_ROWS].tobytes(), SEED)) for k in range(0, len(least), BAND_ROWS)]
+    return signed(xxhash.xxh64_intdigest(h.tobytes(), SEED)), len(h), bands
+
+
+def add_sketches(df: DataFrame, id_col: str, text: str, width: int) -> DataFrame:
+    """(id, node, n, fp, bands): the set of shingles by name and size, its fingerprint and its bands."""
+
+    def work(batches):
+        for batch in batches:
+            made = []
+
+            def each(texts):
+                for t in texts:
+                    h = shingle_hashes(t, width)
+                    made.append(_sketch(h))
+                    yield h
+
+            fps = fingerprints_of(each(pc.cast(batch.column(text), pa.binary()).to_pylist()), batch.num_rows)
+            node, n, bands = zip(*made, strict=True) if made else ((), (), ())
+            cols = {"node": pa.array(node, pa.int64()), "n": pa.array(n, pa.int64()), "fp": pa.array(fps), "bands": pa.array(bands, pa.list_(pa.int64()))}
+            yield pa.RecordBatch.from_pydict({id_col: batch.column(id_col)} | cols)
+
+    kind = df.schema[id_col].dataType.simpleString()
+    return df.select(id_col, text).mapInArrow(work, f"`{id_col}` {kind}, node bigint, n bigint, fp bigint, bands array<bigint>")
+
+
+def _near_in_band(mask: np.ndarray, key: np.ndarray, node: np.ndarray, fp: np.ndarray) -> pa.RecordBatch:
+    """Spanning links of each band by the trie join of its fingerprints."""
+    fps = fp.view(np.uint64)
+    order = np.lexsort((fps, key, mask))
+    mask, key, fps, node = mask[order], key[order], fps[order], node[order]
+    new = np.concatenate([[True], (np.diff(mask) != 0) | (np.diff(key) != 0) | (fps[1:] != fps[:-1])])
+    at = np.flatnonzero(new)
+    root = trie_links(fps[at], _bucket_starts(mask[at], key[at]), BAND_BUDGET)
+    to = node[at[root[np.cumsum(new) - 1]]]
+    has = node != to
+    return pa.RecordBatch.from_pydict({"a": np.minimum(node, to)[has], "b": np.maximum(node, to)[has]})
+
+
+def _apart_in_band(similarity: float):
+    """All pairs of a band that are still in different components, but for sizes that rule the similarity out."""
+
+    def links(mask: np.ndarray, key: np.ndarray, node: np.ndarray, n: np.ndarray, label: np.ndarray) -> pa.RecordBatch:
+        order = np.lexsort((label, key, mask))
+        mask, key, node, n, label = mask[order], key[order], node[order], n[order], label[order]
+        starts = _bucket_starts(mask, key)
+        ends = np.append(starts[1:], len(node))
+        a, b = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
+        for lo, hi in ((int(starts[i]), int(ends[i])) for i in np.flatnonzero(label[starts] != label[ends - 1])):
+            for i in range(lo, hi - 1):  # rows of a label stand together: the pairs begin where its own end
+                j = np.arange(lo + int(np.searchsorted(label[lo:hi], label[i], "right")), hi)
+                j = j[np.minimum(n[j], n[i]) >= similarity * np.maximum(n[j], n[i])]
+                a.append(np.minimum(node[j], node[i]))
+                b.append(np.maximum(node[j], node[i]))
+        return pa.RecordBatch.from_pydict({"a": np.concatenate(a), "b": np.concatenate(b)})
+
+    return links
+
+
+def _similar(pairs: DataFrame, texts: DataFrame, width: int, similarity: float) -> DataFrame:
+    """The pairs (a, b) whose sets of shingles have the similarity; ``texts`` has one text a node."""
+
+    def work(batches):
+        for batch in batches:
+            sides = [pc.cast(batch.column(c), pa.binary()).to_pylist() for c in ("ta", "tb")]
+            keep = []
+            for x, y in zip(*sides, strict=True):
+                x, y = (np.unique(shingle_hashes(t, width)) for t in (x, y))
+                both = len(np.intersect1d(x, y, assume_unique=True))
+                keep.append(both >= similarity * (len(x) + len(y) - both))
+            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+
+    side = lambda c: texts.select(F.col("node").alias(c), F.col("text").alias(f"t{c}"))
+    return pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "ta", "tb").mapInArrow(work, "a bigint, b bigint")
+
+
+def similar_documents(documents: DataFrame, id_col: str = "doc_id", text: str = "text", width: int = 5, similarity: float = 0.8) -> DataFrame:
+    """(id, component_id) of documents that link by Jaccard similarity of their word shingles.
+
+    Fingerprints of pairs at 0.8 differ in some 10 bits, beyond what masks of blocks can find,
+    so here the buckets are bands of least hashes.  First the trie join of each band gives
+    spanning links; then all pairs of a band that these left apart are compared.  Every link
+    is verified on the whole sets of shingles.  Ids must not be null.
+    """
+    made = store.materialize(add_sketches(documents, id_col, text, width), "sketches")
+    nodes = store.materialize(made.groupBy("node").agg(F.min(id_col).alias("least"), F.first("n").alias("n"), F.min("fp").alias("fp"), F.first("bands").alias("bands")), "nodes")
+    rows = nodes.select("node", "n", "fp", F.posexplode("bands").alias("m", "k"))
+    in_bands = lambda df: df.repartition("m", "k").sortWithinPartitions("m", "k")
+
+    def verified(pairs: DataFrame) -> DataFrame:
+        pairs = store.materialize(pairs.distinct(), "pairs")
+        used = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
+        ids = nodes.join(used, "node", "left_semi").select("node", F.col("least").alias(id_col))
+        texts = documents.select(id_col, F.col(text).alias("text")).join(ids, id_col).groupBy("node").agg(F.first("text").alias("text"))
+        return store.materialize(_similar(pairs, store.materialize(texts, "texts"), width, similarity), "similar")
+
+    first = in_bands(rows.select("m", "k", "node", "fp")).mapInArrow(_whole_buckets(_near_in_band, ("m", "k", "node", "fp")), "a bigint, b bigint")
+    near = verified(first)
+    labelled = rows.join(components(near), "node", "left").select("m", "k", "node", "n", F.coalesce("label", "node").alias("label"))
+    apart = in_bands(labelled).mapInArrow(_whole_buckets(_apart_in_band(similarity), ("m", "k", "node", "n", "label")), "a bigint, b bigint")
+    labels = components(near.unionByName(verified(apart)))
+    named = nodes.join(labels, "node", "left").select("node", "least", F.coalesce("label", "node").alias("label"))
+    names = named.groupBy("label").agg(F.min("least").alias("component_id"))
+    return made.select(id_col, "node").join(named.join(names, "label").select("node", "component_id"), "node").select(id_col, "component_id")
+
+
 def op7_simhash_dedup(spark, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
     out = near_duplicates(docs)
