@@ -7,6 +7,9 @@
 3. Every document's windows, of each item's own length, are compared with the items by cosine
    in the latent space; candidates are then checked by the longest common subsequence of
    words, and where that is short of a copy, by the item's answer: its last words.
+4. Items that this leaves are checked wherever three of their words stand in a row, which
+   every copy of over 8 words has unless words are put in between: with a quarter of the
+   words changed, some three in a row are not.
 
 Items are searched in blocks of ``ITEMS_AT_ONCE``, so a benchmark of any size is held in part.
 
@@ -194,8 +197,10 @@ def _masks(ids: list[int]) -> dict[int, int]:
     return out
 
 
-#: Items with fewer words of weight are looked up by three words in a row instead.
+#: Items with fewer words of weight are looked up by three words in a row only.
 TELLING = 4
+#: Bits of a triple by which most of a text's triples are told from those of items.
+TRIPLE_BITS = 22
 
 
 def triples(ids: np.ndarray) -> np.ndarray:
@@ -216,7 +221,8 @@ class Items:
         self.copy, self.paraphrase = copy, paraphrase
         self.live = np.abs(table).sum(axis=1) > 0
         self.keys, self.words, self.answers = [], [], []
-        self.plain: dict[int, list[int]] = {}  # three words in a row -> items with few telling words
+        self.triples: dict[int, list[int]] = {}  # three words in a row -> items
+        self.plain: set[int] = set()  # items with few telling words
         by: dict[int, list[int]] = {}
         vectors = []
         for (key, _), end, m in zip(rows, ends.tolist(), n.tolist(), strict=True):
@@ -226,13 +232,16 @@ class Items:
             if self.live[np.array(own) % TERMS].sum() >= TELLING:
                 by.setdefault(max(1, round(m / STEP)), []).append(len(self.keys))
             else:
-                for h in np.unique(triples(np.array(own, np.int32))).tolist():
-                    self.plain.setdefault(h, []).append(len(self.keys))
+                self.plain.add(len(self.keys))
+            for h in np.unique(triples(np.array(own, np.int32))).tolist():
+                self.triples.setdefault(h, []).append(len(self.keys))
             self.keys.append(key)
             self.words.append((_masks(own), m))
             last = own[-answer:]
             self.answers.append((_masks(last), len(last)))
             vectors.append(table[np.array(own) % TERMS].sum(axis=0))
+        self.maybe = np.zeros(1 << TRIPLE_BITS, bool)
+        self.maybe[np.array([h >> (63 - TRIPLE_BITS) for h in self.triples], np.int64)] = True
         self.by_size = {}
         for size, which in by.items():
             v = np.array([vectors[k] for k in which])
@@ -255,7 +264,10 @@ class Items:
 
 
 def flag(documents: DataFrame, benchmark: DataFrame, text: str = "text", cosine: float = 0.75, copy: float = 0.75, paraphrase: float = 0.6, answer: int = 8) -> DataFrame:
-    """documents plus ``leaks``: an array of (item_id, share, cosine), one of each item found."""
+    """documents plus ``leaks``: an array of (item_id, share, cosine), one of each item found.
+
+    The cosine is null where only three words in a row led to the item, 1 if it has few telling words.
+    """
     df = documents.drop("leaks")
     texts = df.select(F.col(f"`{text}`").alias("text")).where("text IS NOT NULL")
     counts = passage_frequencies(texts)
@@ -275,6 +287,7 @@ def flag(documents: DataFrame, benchmark: DataFrame, text: str = "text", cosine:
                 found: list[dict] = [{} for _ in range(batch.num_rows)]
                 if len(ids) and known.keys:
                     _find(ids, n, table, known, found, cosine)
+                    _find_triples(ids, n, known, found)
                 had = batch.column("leaks").to_pylist() if "leaks" in batch.schema.names else [None] * len(found)
                 leaks = [[*(old or []), *({"item_id": known.keys[k], "share": s, "cosine": c} for k, (s, c) in sorted(f.items()))] for old, f in zip(had, found, strict=True)]
                 yield pa.RecordBatch.from_pydict({f.name: batch.column(f.name) for f in kept} | {"leaks": pa.array(leaks, kind)})
@@ -292,8 +305,6 @@ def flag(documents: DataFrame, benchmark: DataFrame, text: str = "text", cosine:
 
 def _find(ids: np.ndarray, n: np.ndarray, table: np.ndarray, known: Items, found: list[dict], cosine: float) -> None:
     starts, owner = cuts(n, STEP)
-    if known.plain:
-        _find_plain(ids, n, known, found)
     if not known.by_size:
         return
     blocks = block_sums(table, (ids % TERMS).astype(np.uint16), starts, known.live)
@@ -330,15 +341,23 @@ def op9_decontamination(spark, sf_dir: str) -> DataFrame:
     return flagged.select("doc_id", F.explode("leaks").alias("leak")).select("doc_id", "leak.item_id", F.round("leak.share", 6).alias("share"))
 
 
-def _find_plain(ids: np.ndarray, n: np.ndarray, known: Items, found: list[dict]) -> None:
-    """Items with few telling words: checked wherever three of their words stand in a row."""
-    keys = np.array(sorted(known.plain), np.uint64)
+def _find_triples(ids: np.ndarray, n: np.ndarray, known: Items, found: list[dict]) -> None:
+    """Items checked wherever three of their words stand in a row."""
     ends = np.cumsum(n)
-    for text, (end, m) in enumerate(zip(ends.tolist(), n.tolist(), strict=True)):
-        own = ids[end - m : end]
-        h = triples(own) if m else np.empty(0, np.uint64)
-        for at in np.flatnonzero(np.isin(h, keys)).tolist():
-            for k in known.plain[int(h[at])]:
-                size = known.words[k][1]
-                if k not in found[text] and (share := known.check(k, own[max(0, at - size) : at + size + 2].tolist())):
-                    found[text][k] = (share, 1.0)
+    at, h = np.empty(0, np.int64), np.empty(0, np.uint64)
+    if len(ids) >= 3:
+        h = triples(ids)
+        at = np.flatnonzero(known.maybe[h >> np.uint64(63 - TRIPLE_BITS)])
+        owner = np.searchsorted(ends, at, "right")
+        at = at[at + 3 <= ends[owner]]
+        h = h[at]
+    short = np.flatnonzero((n > 0) & (n < 3))
+    hits = [*zip(at.tolist(), h.tolist(), strict=True), *((int(ends[k] - n[k]), int(triples(ids[ends[k] - n[k] : ends[k]])[0])) for k in short)]
+    for p, x in hits:
+        for k in known.triples.get(x, ()):
+            text, size = int(np.searchsorted(ends, p, "right")), known.words[k][1]
+            if k in found[text]:
+                continue
+            lo, hi = max(int(ends[text] - n[text]), p - size), min(int(ends[text]), p + size + 2)
+            if share := known.check(k, ids[lo:hi].tolist()):
+                found[text][k] = (share, 1.0 if k in known.plain else None)
