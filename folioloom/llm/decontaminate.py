@@ -318,10 +318,6 @@ def _find(ids: np.ndarray, n: np.ndarray, table: np.ndarray, known: Items, found
         w /= np.maximum(np.linalg.norm(w, axis=1, keepdims=True), 1e-12)
         near = w @ vectors.T
         at, k = np.nonzero(near >= cosine)
-        # a check reads a block more on both sides, so of neighbouring windows the nearer one is enough
-        value, up, down = near[at, k], np.maximum(at - 1, 0), np.minimum(at + 1, len(owner) - 1)
-        top = ((near[up, k] <= value) | (owner[up] != owner[at])) & ((near[down, k] <= value) | (owner[down] != owner[at]))
-        at, k = at[top], k[top]
         order = np.argsort(-near[at, k], kind="stable")
         for b, j in zip(at[order].tolist(), k[order].tolist()):
             item, text = int(which[j]), int(owner[b])

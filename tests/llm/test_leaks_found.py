@@ -2,6 +2,8 @@
 
 import random
 
+import numpy as np
+
 from folioloom.llm import decontaminate
 
 
@@ -24,3 +26,22 @@ def test_items_of_common_words_are_found(spark):
     bench = spark.createDataFrame([(k, " ".join(t)) for k, t in enumerate(items)], "item_id bigint, text string")
     got = {(r["doc_id"], x["item_id"]) for r in decontaminate.flag(df, bench).collect() for x in r["leaks"]}
     assert got == {(k, k) for k in range(60)}
+
+
+def test_windows_beside_a_higher_cosine_are_checked():
+    """Past the passage the cosine rises still, and no three of the item's words stand in a row."""
+    item = [f"i{k}" for k in range(24)]
+    spread = [w for k in range(0, 24, 2) for w in (*item[k : k + 2], f"x{k}")]  # 36 words: a word after each two
+    passage = ["y"] * 8 + spread[:20] + ["noise", *spread[21:]]
+    text = " ".join(passage + ["y"] * 4 + [w for n in (1, 2, 3, 4, 5) for w in [item[0]] * n + ["y"] * (8 - n)]).encode()
+    table = np.zeros((decontaminate.TERMS, 2), np.float32)
+    term = lambda w: decontaminate.words([w.encode()])[0][0] % decontaminate.TERMS
+    for w in item:
+        table[term(w)] = (0.1, 0)
+    table[term(item[0])] = (1, 0)
+    table[term("noise")] = (0, 1)
+    known = decontaminate.Items([(1, " ".join(item))], table, 0.75, 0.6, 8)
+    ids, n = decontaminate.words([text])
+    found = [{}]
+    decontaminate._find(ids, n, table, known, found, 0.75)
+    assert found[0].keys() == {0}  # by its place among the items
