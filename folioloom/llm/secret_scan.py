@@ -1,7 +1,8 @@
 """Secret scans: candidate strings, and a random forest that removes false positives (native).
 
-Candidates are long strings of key-like characters that hold a digit, found by pattern in the
-whole text.  The forest sees each candidate's length, its transitions between character
+Candidates are found by pattern in the whole text: whatever a secret name is assigned, of any
+length and characters; strings that begin as known keys do; and other strings of 16 or more
+key-like characters that hold a digit.  The forest sees each candidate's length, its transitions between character
 classes, how much of it dictionary words cover, whether it looks like a path, and the words
 beside it; it is trained from labelled findings.  The trained trees become one SQL
 expression, so scoring and redaction stay inside the row: no shuffle, no Python.
@@ -21,12 +22,17 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 MARK = "￿"
-#: A run of key characters with at least one digit; 16 characters at least.
-CANDIDATE = "(?<![A-Za-z0-9+/_.-])(?=[A-Za-z+/_.-]{0,200}[0-9])([A-Za-z0-9+/_.-]{16,}={0,2})"
-
 # Words beside a candidate that speak for or against a secret, and words that names are made of.
 FOR_WORDS = "token|secret|password|passwd|pwd|apikey|api_key|api-key|access_key|auth|bearer|credential|private_key"
 AGAINST_WORDS = "commit|sha1|sha256|md5|checksum|digest|etag|uuid|guid|isbn|revision|order|card|phone|invoice|example|placeholder|href|src"
+#: A secret name and its assignment, in front of the value.
+NAMED = f"(?i:{FOR_WORDS})[A-Za-z0-9_-]{{0,40}}+[\"'`]?[ \\t]{{0,8}}(?::=|=>|[:=])[ \\t]{{0,8}}(?:(?i:bearer|basic)[ \\t]{{1,8}})?"
+VALUE = "(?<=[\"'`])[^\"'`\\n]+(?=[\"'`])|[^\\s\"'`]*[^\\s\"'`,;.)\\]}]"
+KNOWN = (
+    "(?<![A-Za-z0-9])(?:(?:AKIA|ASIA)[A-Z0-9]{16}(?![A-Za-z0-9])|(?:gh[opsur]_|github_pat_|glpat-|[sr]k_(?:live|test)_|xox[abeprs]-|AIza|npm_|hf_|sk-)[A-Za-z0-9_-]{16,})"
+)
+#: The value of a secret name ($2 after $1), a key of known make, or a run of key characters with at least one digit, 16 characters at least ($3).
+CANDIDATE = f"({NAMED}[\"'`]?)({VALUE})|((?<![A-Za-z0-9+/_.-])(?=[A-Za-z+/_.-]*+[0-9])[A-Za-z0-9+/_.-]{{16,}}={{0,2}}|{KNOWN})"
 DICTIONARY = (
     "access account address admin agent alpha android apple array asset backup batch beta binary block board book branch bucket build button cache "
     "camera center change chapter class client cloud code color column comment commit common config content context control copy count create custom "
@@ -63,15 +69,16 @@ def features(c: Column, before: Column, after: Column) -> dict[str, Column]:
         "against_words": F.least(F.regexp_count(near, F.lit(AGAINST_WORDS)), F.lit(3)).cast("double"),
         "assigned": F.right(before, F.lit(4)).rlike("[:=]\\s?[\"']?$").cast("double"),
         "only_digits": c.rlike("^[0-9.-]+$").cast("double"),
-        "placeholder": F.lower(c).rlike("(.)\\1{5}|12345678|abcdefgh|xxxx").cast("double"),
+        "placeholder": F.lower(c).rlike("(.)\\1{5}|12345678|abcdefgh|xxxx|^[$<{%\\[]|[(]|^(?:none|null|nil|true|false|required|optional|changeme)$").cast("double"),
     }
 
 
 def labelled_findings(spark: SparkSession, rows: int = 4000) -> DataFrame:
     """Labelled findings (candidate, before, after, label) made by rule from hashes of a row number.
 
-    Half are secrets: keys of several makes after words that name them.  Half are findings
-    that reviewers reject: digests, identifiers, paths, compound names, numbers, placeholders.
+    Half are secrets: keys of several makes and passwords, after words that name them.  Half are
+    findings that reviewers reject: digests, identifiers, paths, compound names, numbers,
+    placeholders, and words, references and calls after secret names.
     """
     h = F.sha2(F.concat(F.lit("f"), F.col("id").cast("string")), 512)
     pick = lambda at, *xs: F.element_at(F.array(*map(F.lit, xs)), (F.conv(F.substring(h, at, 4), 16, 10).cast("int") % len(xs) + 1).cast("int"))
@@ -94,10 +101,24 @@ def labelled_findings(spark: SparkSession, rows: int = 4000) -> DataFrame:
         .when(kind == 5, F.concat_ws("_", word(8), word(12), word(16), F.substring(digits, 1, 4))).when(kind == 7, digits)
         .otherwise(F.element_at(F.array(F.lit("xxxxxxxxxxxxxxxxxxxx1234"), F.lit("1234567890123456789012"), F.concat(F.lit("your-"), word(8), F.lit("-key-here-0000000"))), (F.col("id") / 10 % 3 + 1).cast("int")))
     )
+    turn = (F.col("id") / 10).cast("int")
+    choose = lambda *xs: F.element_at(F.array(*xs), (turn / 3).cast("int") % len(xs) + 1)
+    letters = F.translate(F.substring(h, 5, 16), "0123456789", "ghijklmnop")
+    mixed = F.regexp_replace(b64, "[+/=]", "x")
+    password = choose(
+        F.substring(mixed, 1, 10), F.concat(word(8), F.substring(digits, 1, 2), F.lit("!")), F.substring(letters, 1, 9), F.concat(F.lit("AKIA"), F.upper(letters)),
+        F.concat(F.substring(mixed, 1, 4), F.lit("#"), F.substring(mixed, 5, 4)), F.substring(F.translate(mixed, "0123456789", "qwzyvQWZYV"), 1, 24),
+    )
+    no_value = choose(
+        word(8), F.concat_ws("_", word(8), word(12)), F.concat(F.lit("${"), F.upper(word(8)), F.lit("_TOKEN}")), F.concat_ws(".", word(8), word(12)),
+        F.concat(F.lit("get_"), word(8), F.lit("()")), pick(8, "none", "null", "true", "false", "required", "optional", "<password>"),
+    )
+    named = (turn % 3 == 1) & kind.isin(4, 5, 8, 9)
+    secret, other = F.when(named, password).otherwise(secret), F.when(named, no_value).otherwise(other)
     is_secret = F.col("id") % 2 == 0
     return spark.range(rows).select(
         F.when(is_secret, secret).otherwise(other).alias("candidate"),
-        F.when(is_secret | ((kind == 9) & (F.col("id") % 3 == 0)), given).otherwise(plain).alias("before"),
+        F.when(is_secret | named | ((kind == 9) & (F.col("id") % 3 == 0)), given).otherwise(plain).alias("before"),
         F.when(quote == "", F.lit(" ")).otherwise(F.concat(quote, F.lit(" and more"))).alias("after"),
         is_secret.cast("double").alias("label"),
     )
@@ -152,8 +173,8 @@ def secret_scan(documents: DataFrame, text: str = "text", forest: Forest | None
     cols = [F.col(f"`{c}`") for c in df.columns]
     t = F.col(f"`{text}`")
     clean = F.when(F.contains(t, F.lit(MARK)), F.translate(t, MARK, " ")).otherwise(t)
-    # a cheap test first: most documents hold no run of 16 key characters with a digit
-    parts = F.when(t.rlike("[A-Za-z0-9+/_.-]{16}"), F.split(F.regexp_replace(clean, CANDIDATE, f"{MARK}$1{MARK}"), MARK))
+    # a cheap test first: most documents hold neither a run of 16 key characters nor a secret name
+    parts = F.when(t.rlike(f"[A-Za-z0-9+/_.-]{{16}}|(?i:{FOR_WORDS})"), F.split(F.regexp_replace(clean, CANDIDATE, f"$1{MARK}$2$3{MARK}"), MARK))
     df = df.select(*cols, parts.alias("__parts"))
     df = df.select("*", F.when(F.size("__parts") > 1, F.col("__parts")).alias("__p"))
     seen = F.transform(
