@@ -56,16 +56,19 @@ def broken_relationships(rels: DataFrame, package_parts: DataFrame) -> DataFrame
 
 
 def closure(edges: DataFrame, roots: DataFrame, rounds: int = 1000) -> DataFrame:
-    """(root, node): every node that can be reached; cycles end by the anti join with what is known."""
+    """(root, node): every node that can be reached; cycles end by the anti join with what is known.
+
+    Raises where nodes are left after ``rounds`` steps, so no closure is ever returned in part.
+    """
     step = edges.select(F.col("src").alias("node"), F.col("dst").alias("next")).where("node IS NOT NULL AND next IS NOT NULL").distinct()
     known = roots.select(F.col("root"), F.col("root").alias("node")).distinct().checkpoint()
     fresh = known
-    for _ in range(rounds):
+    for _ in range(rounds + 1):
         fresh = fresh.join(step, "node").select("root", F.col("next").alias("node")).distinct().join(known, ["root", "node"], "left_anti").checkpoint()
         if fresh.isEmpty():
-            break
+            return known
         known = known.unionByName(fresh)
-    return known
+    raise ValueError(f"closure: nodes over {rounds} steps from their root")
 
 
 def remap_ids(required: DataFrame, used: DataFrame) -> DataFrame:
