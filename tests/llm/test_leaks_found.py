@@ -45,3 +45,21 @@ def test_windows_beside_a_higher_cosine_are_checked():
     found = [{}]
     decontaminate._find(ids, n, table, known, found, 0.75)
     assert found[0].keys() == {0}  # by its place among the items
+
+
+def test_planted_leaks_at_the_default_cosine(spark):
+    """The cases of test_copies.test_leaks, at the threshold of production."""
+    rng = random.Random(9)
+    vocab = ["".join(rng.choices("abcdefghij", k=5)) for _ in range(4000)]
+    items = [" ".join(rng.choices(vocab, k=rng.randint(16, 60))) for _ in range(30)]
+    docs = [" ".join(rng.choices(vocab, k=rng.randint(60, 400))) for _ in range(200)]
+    for k in range(0, 30, 2):
+        w = docs[k].split()
+        at = rng.randint(0, len(w))
+        item = items[k].split()
+        if k % 4 == 0:  # a paraphrase: some words in the middle differ
+            item[3 : 3 + len(item) // 6] = rng.choices(vocab, k=len(item) // 6)
+        docs[k] = " ".join(w[:at] + item + w[at:])
+    bench = spark.createDataFrame(list(enumerate(items)), "item_id bigint, text string")
+    got = decontaminate.flag(spark.createDataFrame(list(enumerate(docs)), "doc_id bigint, text string"), bench).collect()
+    assert {(r["doc_id"], x["item_id"]) for r in got for x in r["leaks"]} == {(k, k) for k in range(0, 30, 2)}
