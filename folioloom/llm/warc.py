@@ -1,10 +1,11 @@
 """WARC archives of pages: written segmented and chunked, read back whole.
 
-Writing is native: each row of the text sink is one record and the line separator is the
+The engine finds equal payloads by their digests; an Arrow step then frames each page once, in
+time linear in its length, and the text sink writes the records.  The line separator is the
 blank lines that end a record, so every part is a WARC file (gzip over the whole file) on any
-file system that Spark writes.  A block over ``SEGMENT`` characters becomes a first record and
+file system that Spark writes.  A block over ``SEGMENT`` bytes becomes a first record and
 continuations; payloads carry chunked transfer framing; equal payloads after the first become
-revisits.  A file holds at most ``RECORDS`` records, so its size has a bound.
+revisits.  A file holds at most ``RECORDS`` records of a segment each, so its size has a bound.
 
 Reading parses whole files by content length.  Continuations meet by origin id, are ordered
 by segment number and checked against the total length; then the framing is decoded and the
@@ -12,7 +13,8 @@ payload held against its digest.
 
 Defined cases: a null html is an empty payload; the least page id of equal payloads is the
 response, one row of it where rows repeat; a null page id counts as the least and is kept
-null; an empty table gives an archive without records; further columns are not archived.
+null; an empty table gives an archive without records; further columns are not archived; a
+page of any length is cut into segments, never in the middle of a character.
 """
 
 from __future__ import annotations
@@ -22,12 +24,14 @@ import gzip
 import hashlib
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from folioloom.llm import store
 
-SEGMENT, CHUNK, RECORDS = 8192, 2048, 1000
+#: Bytes of a segment and of a chunk at most, records of a file, and bytes of records handed on at once.
+SEGMENT, CHUNK, RECORDS, BYTES_AT_ONCE = 32_768, 16_384, 1000, 4_000_000
 #: Payloads of at least so many bytes are revisited.
 LEAST = 0
 DATE = "2024-01-01T00:00:00Z"
@@ -42,53 +46,86 @@ def base32_sha1(data: Column) -> Column:
     return F.translate(F.concat(*groups), digits, "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567")
 
 
-def _cut(text: Column, size: int) -> Column:
-    """Pieces of ``size`` characters; one empty piece for an empty text."""
-    last = F.greatest(F.length(text) - 1, F.lit(0))
-    return F.transform(F.sequence(F.lit(0), last, F.lit(size)), lambda i: F.substring(text, i + 1, F.lit(size)))
-
-
-def _chunked(payload: Column) -> Column:
-    chunks = F.transform(F.filter(_cut(payload, CHUNK), lambda c: c != ""), lambda c: F.concat(F.lower(F.hex(F.octet_length(c))), F.lit("\r\n"), c, F.lit("\r\n")))
-    return F.concat(F.array_join(chunks, ""), F.lit("0\r\n\r\n"))
-
-
-def _header(*lines: tuple[str, Column]) -> Column:
-    """Lines whose value is null are left out."""
-    return F.concat(F.lit("WARC/1.1\r\n"), F.concat_ws("", *[F.concat(F.lit(f"{name}: "), value.cast("string"), F.lit("\r\n")) for name, value in lines]), F.lit("\r\n"))
+def cut(data: bytes, size: int) -> list[bytes]:
+    """Pieces of ``size`` bytes at most, each ending with a whole character; one empty piece of no bytes."""
+    out, at, n = [], 0, len(data)
+    while n - at > size:
+        end = at + size
+        while end > at + size - 4 and data[end] & 0xC0 == 0x80:
+            end -= 1
+        out.append(data[at:end])
+        at = end
+    out.append(data[at:])
+    return out
+
+
+def chunked(body: bytes) -> bytes:
+    """Chunked transfer framing."""
+    parts = [b"%x\r\n%b\r\n" % (len(c), c) for c in cut(body, CHUNK) if c]
+    return b"".join([*parts, b"0\r\n\r\n"])
+
+
+def _name(page: int | None, row: int, k: int) -> bytes:
+    return f"<urn:page:{'null' if page is None else page}:{row}:{k}>".encode()
+
+
+_HTTP = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n"
+_PROFILE = b"http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
+
+
+def page_records(page: int | None, row: int, url: bytes | None, body: bytes, digest: bytes, first: tuple | None):
+    """Records of one page, without the blank lines that end them; ``first`` is the (page, row) that it revisits."""
+    block = b"%bContent-Length: %d\r\n\r\n" % (_HTTP, len(body)) if first else b"%bTransfer-Encoding: chunked\r\n\r\n%b" % (_HTTP, chunked(body))
+    parts = cut(block, SEGMENT)
+    uri = None if url is None else url.replace(b"\r", b"").replace(b"\n", b"")
+    for k, part in enumerate(parts):
+        lines: list[tuple[bytes, bytes | None]] = [
+            (b"WARC-Type", b"continuation" if k else b"revisit" if first else b"response"),
+            (b"WARC-Record-ID", _name(page, row, k + 1)),
+            (b"WARC-Date", DATE.encode()),
+            (b"WARC-Target-URI", uri),
+            (b"Content-Length", b"%d" % len(part)),
+        ]
+        if k:
+            lines.append((b"WARC-Segment-Origin-ID", _name(page, row, 1)))
+        else:
+            lines += [(b"WARC-Payload-Digest", b"sha1:" + digest), (b"Content-Type", b"application/http; msgtype=response")]
+            if first:
+                lines += [(b"WARC-Profile", _PROFILE), (b"WARC-Refers-To", _name(*first, 1))]
+        if len(parts) > 1:
+            lines.append((b"WARC-Segment-Number", b"%d" % (k + 1)))
+            if k == len(parts) - 1:
+                lines.append((b"WARC-Segment-Total-Length", b"%d" % len(block)))
+        yield b"WARC/1.1\r\n%b\r\n%b" % (b"".join(b"%b: %b\r\n" % x for x in lines if x[1] is not None), part)
+
+
+def _frame(batches):
+    for batch in batches:
+        raw = {c: pc.cast(batch.column(c), pa.binary()).to_pylist() for c in ("url", "payload", "digest")}
+        ids = (batch.column(c).to_pylist() for c in ("page_id", "row", "revisit", "first_id", "first_row"))
+        out, size = [], 0
+        for page, row, revisit, first_id, first_row, url, body, digest in zip(*ids, raw["url"], raw["payload"], raw["digest"], strict=True):
+            for record in page_records(page, row, url, body, digest, (first_id, first_row) if revisit else None):
+                out.append(record)
+                size += len(record)
+                if size >= BYTES_AT_ONCE:
+                    yield pa.RecordBatch.from_pydict({"value": pa.array(out, pa.binary())})
+                    out, size = [], 0
+        yield pa.RecordBatch.from_pydict({"value": pa.array(out, pa.binary())})
 
 
 def records(pages: DataFrame) -> DataFrame:
-    """One row a record: column ``value``, without the blank lines that end it."""
-    p = pages.select("page_id", F.col("url").alias("url"), F.coalesce("html", F.lit("")).alias("payload"))
+    """One row a record: column ``value``, without the blank lines that end it.
+
+    Digests are grouped without the pages; only those that occur again are joined.
+    """
+    p = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").alias("url"), F.coalesce("html", F.lit("")).alias("payload"))
     p = p.withColumn("row", F.monotonically_increasing_id()).withColumn("digest", base32_sha1(F.col("payload")))
-    # only payloads that occur again are looked up
     first = p.where(F.octet_length("payload") >= LEAST).groupBy("digest").agg(F.min(F.struct("page_id", "row")).alias("first"), F.count("*").alias("n")).where("n > 1").select("digest", "first")
     p = p.join(first, "digest", "left")
     revisit = F.col("first").isNotNull() & ((F.col("first.row") != F.col("row")) | F.col("first.row").isNull())
-    http = F.lit("HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n")
-    length = F.concat(F.lit("Content-Length: "), F.octet_length("payload").cast("string"), F.lit("\r\n\r\n"))
-    block = F.when(revisit, F.concat(http, length)).otherwise(F.concat(http, F.lit("Transfer-Encoding: chunked\r\n\r\n"), _chunked(F.col("payload"))))
-    p = p.select("page_id", "url", "row", "digest", "first", revisit.alias("revisit"), block.alias("block"))
-    p = p.select("*", F.octet_length("block").alias("total"), _cut(F.col("block"), SEGMENT).alias("parts"))
-    p = p.select("*", F.size("parts").alias("n"), F.posexplode("parts").alias("k", "part")).drop("parts", "block")
-    name = lambda page, row, k: F.concat(F.lit("<urn:page:"), F.coalesce(page.cast("string"), F.lit("null")), F.lit(":"), row.cast("string"), F.lit(":"), k.cast("string"), F.lit(">"))
-    many, later = F.col("n") > 1, F.col("k") > 0
-    header = _header(
-        ("WARC-Type", F.when(later, "continuation").when(F.col("revisit"), "revisit").otherwise("response")),
-        ("WARC-Record-ID", name(F.col("page_id"), F.col("row"), F.col("k") + 1)),
-        ("WARC-Date", F.lit(DATE)),
-        ("WARC-Target-URI", F.translate("url", "\r\n", "")),
-        ("WARC-Payload-Digest", F.when(~later, F.concat(F.lit("sha1:"), F.col("digest")))),
-        ("WARC-Profile", F.when(F.col("revisit") & ~later, "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest")),
-        ("WARC-Refers-To", F.when(F.col("revisit") & ~later, name(F.col("first.page_id"), F.col("first.row"), F.lit(1)))),
-        ("WARC-Segment-Origin-ID", F.when(later, name(F.col("page_id"), F.col("row"), F.lit(1)))),
-        ("WARC-Segment-Number", F.when(many, F.col("k") + 1)),
-        ("WARC-Segment-Total-Length", F.when(many & (F.col("k") == F.col("n") - 1), F.col("total"))),
-        ("Content-Type", F.when(~later, "application/http; msgtype=response")),
-        ("Content-Length", F.octet_length("part")),
-    )
-    return p.select(F.concat(header, F.col("part")).alias("value"))
+    p = p.select("page_id", "url", "payload", "row", "digest", revisit.alias("revisit"), F.col("first.page_id").alias("first_id"), F.col("first.row").alias("first_row"))
+    return p.mapInArrow(_frame, "value binary").select(F.col("value").cast("string").alias("value"))
 
 
 def write(pages: DataFrame, path: str) -> None:
