@@ -30,8 +30,10 @@ from pyspark.sql import functions as F
 
 from folioloom.llm import store
 
-#: Bytes of a segment and of a chunk at most, records of a file, and bytes of records handed on at once.
-SEGMENT, CHUNK, RECORDS, BYTES_AT_ONCE = 32_768, 16_384, 1000, 4_000_000
+#: Bytes of a segment and of a chunk at most, and records of a file.
+SEGMENT, CHUNK, RECORDS = 32_768, 16_384, 1000
+#: Pages framed at once and bytes of records handed on at once: bounds of a task's memory.
+ROWS_AT_ONCE, BYTES_AT_ONCE = 500, 2_000_000
 #: Payloads of at least so many bytes are revisited.
 LEAST = 0
 DATE = "2024-01-01T00:00:00Z"
@@ -100,7 +102,7 @@ def page_records(page: int | None, row: int, url: bytes | None, body: bytes, dig
 
 
 def _frame(batches):
-    for batch in batches:
+    for batch in (whole.slice(at, ROWS_AT_ONCE) for whole in batches for at in range(0, max(1, whole.num_rows), ROWS_AT_ONCE)):
         raw = {c: pc.cast(batch.column(c), pa.binary()).to_pylist() for c in ("url", "payload", "digest")}
         ids = (batch.column(c).to_pylist() for c in ("page_id", "row", "revisit", "first_id", "first_row"))
         out, size = [], 0
@@ -129,6 +131,11 @@ def records(pages: DataFrame) -> DataFrame:
 
 
 def write(pages: DataFrame, path: str) -> None:
+    with store.arrow_rows(pages.sparkSession, ROWS_AT_ONCE):
+        _write(pages, path)
+
+
+def _write(pages: DataFrame, path: str) -> None:
     records(pages).write.option("lineSep", END).option("maxRecordsPerFile", RECORDS).option("compression", "gzip").text(path)
 
 
