@@ -31,12 +31,14 @@ def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def simhash_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """A document is told by its id and a hash of its text; of repeated rows one stays."""
+    """A document is told by its id and a hash of its text; of repeated rows one stays, null ids come last."""
     importable(spark)
-    keyed = docs.select(*COLUMNS).withColumn("key", F.struct(F.coalesce("doc_id", F.lit(-(1 << 63))).alias("k"), F.xxhash64("text").alias("th")))
+    key = ["z", "k", "th"]
+    told = F.struct(F.col("doc_id").isNull().alias("z"), F.coalesce("doc_id", F.lit(0)).alias("k"), F.xxhash64("text").alias("th"))
+    keyed = docs.select(*COLUMNS).withColumn("key", told)
     found = simhash.similar_documents(keyed.select("key", "text"), "key")
-    first = found.where("key = component_id").select("key.k", "key.th").distinct()
-    return keyed.select(*COLUMNS, "key.k", "key.th").join(first, ["k", "th"], "left_semi").dropDuplicates(["k", "th"]).select(*COLUMNS)
+    first = found.where("key = component_id").select("key.*").distinct()
+    return keyed.select(*COLUMNS, "key.*").join(first, key, "left_semi").dropDuplicates(key).select(*COLUMNS)
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
