@@ -390,7 +390,8 @@ class _Sets:
             return both >= self.similarity * (len(mine) + self.size[others] - both)
         limit = np.uint32(1 << 32 - zeros)
         size = np.array([np.count_nonzero(self.values[self.mine[j]] < limit) for j in others])
-        close = both >= (self.similarity - 0.05) * (len(mine) + size - both)
+        union = np.maximum(len(mine) + size - both, 1)  # a share of so many is off by 0.4 over the root of their number
+        close = both >= (self.similarity - 2.4 / np.sqrt(union)) * union
         self.unsure += [(k, int(j)) for j in others[close]]
         return np.zeros(len(others), bool)
 
