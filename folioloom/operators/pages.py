@@ -1,19 +1,22 @@
 """Page parser: ordered lines of a page become typed blocks, and doubts become reviews.
 
-What a line is follows from the line alone (:func:`kind_of`).  What it belongs to follows
-from the lines before it, so a page is read in order by one task and pages are read in
-parallel.  Nothing is guessed: a doubtful block is of medium confidence and has a review.
+Everything is declared over whole tables.  A line's kind follows from the line and its
+neighbour.  Lines that nothing before them can reach past (headings, questions, ruled lines)
+begin an epoch; what an epoch holds depends on its own lines alone, so one grouping by epoch
+gives all blocks.  A fold is kept only for what truly depends on history: which option a line
+without an anchor goes on with.  Pages are shuffled once.
+
+Nothing is guessed: a doubtful block is of medium confidence and has a review.  Blank and null
+lines are no content; a page without lines has no blocks; lines of one number stand in the order of their text.
 """
 
 from __future__ import annotations
 
-import re
-import unicodedata
-from dataclasses import dataclass, field
-
-import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
 
+from folioloom.functions import text as T
+from folioloom.operators.ordered import carry_reset, island
 from folioloom.profile import DEFAULT, Profile
 
 BLOCKS = (
@@ -21,232 +24,225 @@ BLOCKS = (
     "hindi string, english string, text string, columns int, items array<struct<label:string,text:string>>, count int, spacing double, confidence string"
 )
 REVIEWS = "doc string, page int, review_id string, type string, for_question string, blocking boolean, description string"
-_COLUMNS = [c.split()[0] for c in re.sub(r"<[^>]*>+", "", BLOCKS).split(", ")]
-_DEVANAGARI = re.compile("[ऀ-ॿ]")
-
-
-def clean(text: str) -> str:
-    text = unicodedata.normalize("NFC", text.replace("\xa0", " ")).replace("﻿", "").replace("​", "")
-    return re.sub(r"[ \t]+", " ", text).strip()
-
-
-@dataclass(frozen=True)
-class Line:
-    text: str
-    raw: str
-
-    @property
-    def column(self) -> int:
-        return len(self.raw) - len(self.raw.lstrip())
-
-
-class Patterns:
-    def __init__(self, p: Profile):
-        self.unit, self.question, self.option = re.compile(p.unit_heading), re.compile(p.question), re.compile(p.option)
-        self.answer, self.folio, self.marks = re.compile(p.answer_line), re.compile(p.printed_page), re.compile(p.marks_wrap)
-        self.types = p.type_headings
-
-    def is_type(self, text: str) -> bool:
-        low = text.casefold()
-        return any(t in low for t in self.types)
-
-    def options(self, raw: str) -> list[tuple[str, int, str]]:
-        """(label, column, text) of each option, if the line begins with one."""
-        found = list(self.option.finditer(raw))
-        if not found or raw[: found[0].start()].strip():
-            return []
-        ends = [m.start() for m in found[1:]] + [len(raw)]
-        return [(m[1].upper(), m.start(), clean(raw[m.end() : end])) for m, end in zip(found, ends, strict=True)]
-
-
-def unwrap(lines: list[Line], p: Patterns) -> list[Line]:
-    """Join headings that the source has broken over two lines."""
-    out: list[Line] = []
-    rest = iter(range(len(lines)))
-    title_next = False
-    for k in rest:
-        line, after = lines[k], lines[k + 1] if k + 1 < len(lines) else None
-        is_open = line.text.count("(") > line.text.count(")")
-        joins = False
-        if title_next:
-            joins = bool(after) and is_open and not p.question.match(after.text) and not p.options(after.raw)
-            title_next = False
-        elif p.unit.match(line.text):
-            title_next = True
-        elif after and p.is_type(line.text):
-            split_marks = is_open and p.marks.fullmatch(after.text)
-            split_word = after.text.casefold() == "question" and re.search(r"(?i)\bmarks?$", line.text)
-            joins = bool(split_marks or split_word)
-        if joins:
-            line = Line(f"{line.text} {after.text}", f"{line.raw.rstrip()} {after.raw.lstrip()}")
-            next(rest)
-        out.append(line)
-    return out
-
-
-@dataclass
-class Reader:
-    """Reads the lines of one page; what is open closes before what comes next."""
-
-    doc: str
-    page: int
-    p: Patterns
-    profile: Profile
-    confidence: str = "high"
-    blocks: list[dict] = field(default_factory=list)
-    reviews: list[dict] = field(default_factory=list)
-    active: str | None = None
-    questions: int = 0
-    asked: dict | None = None
-    choices: list[dict] = field(default_factory=list)
-    widths: list[int] = field(default_factory=list)
-    ruled: int = 0
-    title_next: bool = False
-
-    def add(self, kind: str, **values) -> None:
-        self.blocks.append({"kind": kind, "confidence": self.confidence} | values)
-
-    def review(self, kind: str, text: str) -> None:
-        n = len(self.reviews) + 1
-        slug = re.sub(r"[^a-z0-9]+", "-", kind.casefold()).strip("-")
-        self.reviews.append({"review_id": f"review-p{self.page:03d}-{slug}-{n:03d}", "type": kind, "for_question": self.active, "blocking": True, "description": text})
-
-    def close_question(self) -> None:
-        q, self.asked = self.asked, None
-        if q is None:
-            return
-        hindi, english = (" ".join(q[k]).strip() for k in ("hindi", "english"))
-        if not hindi and not english:
-            self.add("paragraph", text=q["label"], confidence="medium")
-            self.review("orphan_question_label", f"{q['label']} has no statement.")
-            return
-        whole = bool(hindi and english)
-        values = {"hindi": hindi or None, "english": english or None} | ({} if whole else {"confidence": "medium"})
-        if not whole:
-            self.review("missing_translation", f"{q['label']} has a statement in one language.")
-        self.add("question", question_id=q["id"], label=q["label"], layout=q["layout"], **values)
-
-    def close_choices(self) -> None:
-        choices, widths = self.choices, self.widths
-        self.choices, self.widths = [], []
-        if not choices:
-            return
-        labels = [c["label"] for c in choices]
-        if len(set(labels)) == len(labels):
-            choices.sort(key=lambda c: c["label"])
-            labels.sort()
-        texts = [" ".join(c["parts"]).strip() for c in choices]
-        if not all(texts):
-            for label, text in zip(labels, texts, strict=True):
-                self.add("paragraph", text=f"({label}) {text}".strip(), confidence="medium")
-            self.review("incomplete_options", "An option has no text.")
-            return
-        columns = 4 if max(widths) >= 4 else 2 if max(widths) >= 2 else 1
-        odd = labels != ["A", "B", "C", "D"]
-        items = [{"label": a, "text": t} for a, t in zip(labels, texts, strict=True)]
-        self.add("options", columns=columns, layout=dict(self.profile.layouts)[columns], items=items, for_question=self.active, confidence="medium" if odd else self.confidence)
-        if odd:
-            self.review("option_sequence", f"Options are {', '.join(labels)}, not A to D once each.")
-
-    def close_ruled(self) -> None:
-        n, self.ruled = self.ruled, 0
-        if n:
-            self.add("answer_lines", count=n, spacing=self.profile.text_pitch, for_question=self.active)
-
-    def heading(self, line: Line) -> str | None:
-        if self.p.unit.match(line.text):
-            return "unit_heading"
-        if self.p.is_type(line.text):
-            return "question_type_heading"
-        return "chapter_heading" if self.title_next and not self.p.question.match(line.text) else None
-
-    def continues(self, line: Line) -> bool:
-        """Whether a line without an anchor still belongs to the open options."""
-        labels = {c["label"] for c in self.choices}
-        return len(labels) < 4 or (max(self.widths) == 1 and "D" not in labels) or (len(line.text) <= 48 and len(line.text.split()) <= 8)
-
-    def read(self, line: Line) -> None:
-        role = self.heading(line)
-        if role:
-            self.close_ruled()
-            self.close_choices()
-            self.close_question()
-            self.active = None
-            self.add("heading", role=role, text=line.text)
-            self.title_next = role == "unit_heading"
-            return
-        self.title_next = False
-        asked = self.p.question.match(line.text)
-        if asked:
-            self.close_ruled()
-            self.close_choices()
-            self.close_question()
-            self.questions += 1
-            body = asked[2].strip()
-            self.active = f"q-p{self.page:03d}-{self.questions:03d}"
-            self.asked = {"id": self.active, "label": f"Q{int(asked[1])}.", "layout": "inline" if body else "standalone", "hindi": [], "english": []}
-            self.state(body)
-        elif found := self.p.options(line.raw):
-            self.close_ruled()
-            self.close_question()
-            if {a for a, _, _ in found} & {c["label"] for c in self.choices}:
-                self.close_choices()
-            self.choices += [{"label": a, "column": c, "parts": [t] if t else []} for a, c, t in found]
-            self.widths.append(len(found))
-        elif self.p.answer.fullmatch(line.text):
-            self.close_choices()
-            self.close_question()
-            self.ruled += 1
-        elif self.choices and self.continues(line):
-            # the nearest column; of two at one distance the later option
-            gap = {k: abs(c["column"] - line.column) for k, c in enumerate(self.choices)}
-            self.choices[min(gap, key=lambda k: (gap[k], -k))]["parts"].append(line.text)
-        else:
-            self.close_choices()
-            self.close_ruled()
-            if self.asked is not None:
-                self.state(line.text)
-            else:
-                self.add("paragraph", text=line.text)
-
-    def state(self, text: str) -> None:
-        if text:
-            self.asked["hindi" if _DEVANAGARI.search(text) else "english"].append(text)
-
-    def close(self) -> None:
-        self.close_question()
-        self.close_choices()
-        self.close_ruled()
-
-
-def parse_page(doc: str, page: int, raw_lines: list[str], profile: Profile = DEFAULT) -> tuple[list[dict], list[dict]]:
-    """(blocks, reviews) of one page; a printed page number on the last line is no content."""
-    p = Patterns(profile)
-    lines = [Line(t, raw) for raw in raw_lines if (t := clean(raw or ""))]
-    if lines and p.folio.fullmatch(lines[-1].text):
-        lines.pop()
-    reader = Reader(doc, page, p, profile)
-    for line in unwrap(lines, p):
-        reader.read(line)
-    reader.close()
-    return reader.blocks, reader.reviews
-
-
-def _parsed(lines: DataFrame, schema: str, pick: int, names: list[str], profile: Profile) -> DataFrame:
-    def work(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("line_no")
-        doc, page = pdf["doc"].iloc[0], int(pdf["page"].iloc[0])
-        rows = parse_page(doc, page, pdf["raw"].tolist(), profile)[pick]
-        out = [{"doc": doc, "page": page, "pos": k + 1} | r for k, r in enumerate(rows)]
-        return pd.DataFrame([[r.get(c) for c in names] for r in out], columns=names, dtype=object)
-
-    return lines.select("doc", "page", "line_no", "raw").groupBy("doc", "page").applyInPandas(work, schema)
+PAGE = ["doc", "page"]
+LETTERS = ["A", "B", "C", "D"]
+
+
+def _by_page():
+    return Window.partitionBy(*PAGE).orderBy("line_no")
+
+
+def content_lines(lines: DataFrame, profile: Profile = DEFAULT) -> DataFrame:
+    """lines(doc, page, line_no, raw) numbered anew, with their clean ``text``; a printed page number at the end is none of them."""
+    kept = lines.select("doc", F.col("page").cast("int").alias("page"), "line_no", "raw", T.sanitize(F.col("raw")).alias("text")).where("text <> ''")
+    kept = kept.withColumn("line_no", F.row_number().over(Window.partitionBy(*PAGE).orderBy("line_no", "raw")))
+    last = F.lead("text").over(_by_page()).isNull()
+    return kept.withColumn("folio", last & F.col("text").rlike(profile.printed_page)).where("NOT folio").drop("folio")
+
+
+def unwrapped(lines: DataFrame, profile: Profile = DEFAULT) -> DataFrame:
+    """Join headings that the source has broken over two lines.
+
+    Of a run of lines that each want the next one, every second is that next one.
+    """
+    w = _by_page()
+    text, after = F.col("text"), F.col("after")
+    count = lambda mark: F.length(text) - F.length(F.replace(text, F.lit(mark)))
+    seen = lines.select("*", F.lead("text").over(w).alias("after"), F.lead("raw").over(w).alias("after_raw"), F.lag("text").over(w).alias("prior"))
+    open_ = count("(") > count(")")
+    title = open_ & T.question(after, profile).isNull() & (F.size(T.options(F.col("after_raw"), profile)) == 0)
+    typed = T.is_type_heading(text, profile) & ((open_ & after.rlike(profile.marks_wrap)) | ((F.lower(after) == "question") & text.rlike("(?i)\\bmarks?$")))
+    wants = after.isNotNull() & F.when(T.is_unit_heading(F.col("prior"), profile), title).otherwise(~T.is_unit_heading(text, profile) & typed)
+    seen = seen.withColumn("wants", F.coalesce(wants, F.lit(False))).withColumn("n", F.row_number().over(w))
+    since = F.col("n") - F.coalesce(F.max(F.when(~F.col("wants"), F.col("n"))).over(w), F.lit(0))
+    seen = seen.withColumn("joins", F.col("wants") & (since % 2 == 1))
+    seen = seen.withColumn("taken", F.coalesce(F.lag("joins").over(w), F.lit(False))).where("NOT taken")
+    both = F.when(F.col("joins"), F.concat_ws(" ", "text", "after")).otherwise(text)
+    raw = F.when(F.col("joins"), F.concat_ws(" ", F.rtrim("raw"), F.ltrim("after_raw"))).otherwise(F.col("raw"))
+    return seen.select(*PAGE, "line_no", raw.alias("raw"), both.alias("text"))
+
+
+def classified(lines: DataFrame, profile: Profile = DEFAULT) -> DataFrame:
+    """Kind, role, question, options and column of each line, its epoch, and the question that it is about."""
+    w, keys, order = _by_page(), PAGE, ["line_no"]
+    text = F.col("text")
+    found = lines.select("*", T.question(text, profile).alias("q"), T.options(F.col("raw"), profile).alias("opts"), F.lag("text").over(w).alias("prior"))
+    titled = T.is_unit_heading(F.col("prior"), profile) & F.col("q").isNull()
+    role = F.when(T.is_unit_heading(text, profile), "unit_heading").when(T.is_type_heading(text, profile), "question_type_heading").when(titled, "chapter_heading")
+    found = found.withColumn("role", role)
+    kind = (
+        F.when(F.col("role").isNotNull(), "heading").when(F.col("q").isNotNull(), "question")
+        .when(F.size("opts") > 0, "options").when(T.is_answer_line(text, profile), "ruled").otherwise("other")
+    )
+    column = F.length("raw") - F.length(F.regexp_replace("raw", "^\\s+", ""))
+    found = found.withColumn("kind", kind).withColumn("column", column)
+    ruled_on = (F.col("kind") == "ruled") & F.coalesce(F.lag("kind").over(w) == "ruled", F.lit(False))
+    found = found.withColumn("starts", F.col("kind").isin("heading", "question", "ruled") & ~ruled_on)
+    found = found.withColumn("asked", island(F.col("kind") == "question", keys, order))
+    named = F.when(F.col("kind") == "question", T.stable_id(F.col("page"), F.col("asked")))
+    return found.select(
+        *PAGE, "line_no", "kind", "role", "text", "q", "opts", "column", island(F.col("starts"), keys, order).alias("epoch"),
+        carry_reset(named, F.col("kind") == "heading", keys, order).alias("about"),
+    )
+
+
+_PIECE = "array<struct<n:int,set:int,slot:int,label:string,text:string,wide:int>>"
+_SLOT = "array<struct<label:string,column:int>>"
+
+
+def option_pieces(rows: Column) -> Column:
+    """(n, set, slot, label, text, wide) of each piece of text of the option sets among an epoch's lines.
+
+    A set is open until a line that can't go on with it, or an option whose letter it has.  A
+    line without an anchor goes on with the option of the nearest column, of two the later one,
+    while letters are missing or the line is short.
+    """
+    none = lambda kind: F.array().cast(kind)
+    start = F.struct(
+        F.lit(0).alias("set"), F.lit(False).alias("open"), none("array<string>").alias("labels"), none(_SLOT).alias("slots"), F.lit(0).alias("widest"), none(_PIECE).alias("out")
+    )
+
+    def step(a: Column, x: Column) -> Column:
+        letters = F.transform(x["opts"], lambda o: o["label"])
+        fresh = ~a["open"] | F.arrays_overlap(a["labels"], letters)
+        number = (a["set"] + fresh.cast("int")).cast("int")
+        slots = F.when(fresh, none(_SLOT)).otherwise(a["slots"])
+        pieces = F.transform(
+            x["opts"],
+            lambda o, i: F.struct(
+                x["n"].alias("n"), number.alias("set"), (F.size(slots) + i).cast("int").alias("slot"), o["label"].alias("label"), o["text"].alias("text"), F.size(x["opts"]).alias("wide")
+            ),
+        )
+        anchored = F.struct(
+            number.alias("set"), F.lit(True).alias("open"), F.array_union(F.when(fresh, none("array<string>")).otherwise(a["labels"]), letters).alias("labels"),
+            F.concat(slots, F.transform(x["opts"], lambda o: F.struct(o["label"].alias("label"), o["column"].alias("column")))).alias("slots"),
+            F.greatest(F.when(fresh, F.lit(0)).otherwise(a["widest"]), F.size(x["opts"])).alias("widest"), F.concat(a["out"], pieces).alias("out"),
+        )
+        short = (F.length(x["text"]) <= 48) & (F.size(F.split(x["text"], "\\s+")) <= 8)
+        goes_on = a["open"] & ((F.size(a["labels"]) < 4) | ((a["widest"] == 1) & ~F.array_contains(a["labels"], "D")) | short)
+        nearest = F.array_min(F.transform(a["slots"], lambda s, i: F.struct(F.abs(s["column"] - x["column"]).alias("gap"), (-i).alias("back"), s["label"].alias("label"))))
+        piece = F.struct(
+            x["n"].alias("n"), a["set"].alias("set"), (-nearest["back"]).cast("int").alias("slot"), nearest["label"].alias("label"), x["text"].alias("text"), F.lit(0).alias("wide")
+        )
+        more = F.struct(
+            a["set"].alias("set"), F.lit(True).alias("open"), a["labels"].alias("labels"), a["slots"].alias("slots"), a["widest"].alias("widest"), F.concat(a["out"], F.array(piece)).alias("out")
+        )
+        shut = F.struct(
+            a["set"].alias("set"), F.lit(False).alias("open"), none("array<string>").alias("labels"), none(_SLOT).alias("slots"), F.lit(0).alias("widest"), a["out"].alias("out")
+        )
+        return F.when(x["kind"] == "options", anchored).when(goes_on, more).otherwise(shut)
+
+    return F.aggregate(rows, start, step, lambda a: a["out"])
+
+
+_FIELDS = {
+    "n": "int", "slot": "int", "kind": "string", "role": "string", "question_id": "string", "for_question": "string", "label": "string", "layout": "string", "hindi": "string",
+    "english": "string", "text": "string", "columns": "int", "items": "array<struct<label:string,text:string>>", "count": "int", "spacing": "double", "confidence": "string",
+    "review": "string", "description": "string",
+}
+
+
+def _block(n: Column, kind: str, confidence: Column | str = "high", **values) -> Column:
+    given = {"n": n, "slot": 0, "kind": kind, "confidence": confidence} | values
+    as_column = lambda v: v if isinstance(v, Column) else F.lit(v)
+    return F.struct(*[as_column(given.get(name)).cast(kind_).alias(name) for name, kind_ in _FIELDS.items()])
+
+
+def _question_block(head: Column, body: Column, about: Column) -> Column:
+    """A question with its statements, or a paragraph of its label where it has none."""
+    own = F.filter(F.concat(F.array(head["q"]["body"]), F.transform(body, lambda x: x["text"])), lambda t: t != "")
+    side = lambda hindi: F.nullif(F.array_join(F.filter(own, lambda t: t.rlike(T.DEVANAGARI) == F.lit(hindi)), " "), F.lit(""))
+    hindi, english, label = side(True), side(False), head["q"]["label"]
+    whole = hindi.isNotNull() & english.isNotNull()
+    asked = _block(
+        head["n"], "question", F.when(whole, "high").otherwise("medium"), question_id=about, label=label, layout=head["q"]["layout"], hindi=hindi, english=english, for_question=F.when(whole, F.lit(None)).otherwise(about),
+        review=F.when(~whole, "missing_translation"), description=F.when(~whole, F.concat(label, F.lit(" has a statement in one language."))),
+    )
+    orphan = _block(head["n"], "paragraph", "medium", text=label, for_question=about, review="orphan_question_label", description=F.concat(label, F.lit(" has no statement.")))
+    return F.when(F.size(own) == 0, orphan).otherwise(asked)
+
+
+def _set_blocks(pieces: Column, number: Column, about: Column, profile: Profile) -> Column:
+    """The block of one option set, or a paragraph for each option where one has no text."""
+    own = F.filter(pieces, lambda p: p["set"] == number)
+    slots = F.transform(
+        F.sequence(F.lit(0), F.array_max(F.transform(own, lambda p: p["slot"]))),
+        lambda k: F.struct(
+            F.get(F.filter(own, lambda p: p["slot"] == k), F.lit(0))["label"].alias("label"),
+            F.array_join(F.transform(F.filter(own, lambda p: (p["slot"] == k) & (p["text"] != "")), lambda p: p["text"]), " ").alias("text"),
+        ),
+    )
+    n = F.array_min(F.transform(own, lambda p: p["n"]))
+    distinct = F.size(F.array_distinct(F.transform(slots, lambda s: s["label"]))) == F.size(slots)
+    items = F.when(distinct, F.sort_array(slots)).otherwise(slots)
+    labels = F.transform(items, lambda s: s["label"])
+    odd = labels != F.array(*map(F.lit, LETTERS))
+    columns = T.option_columns(F.array_max(F.transform(own, lambda p: p["wide"])))
+    layout = F.element_at(F.create_map(*[F.lit(x) for pair in profile.layouts for x in pair]), columns)
+    whole = F.array(
+        _block(
+            n, "options", F.when(odd, "medium").otherwise("high"), columns=columns, layout=layout, items=items, for_question=about, review=F.when(odd, "option_sequence"),
+            description=F.when(odd, F.concat(F.lit("Options are "), F.array_join(labels, ", "), F.lit(", not A to D once each."))),
+        )
+    )
+    torn = F.transform(
+        items,
+        lambda s, i: _block(
+            n, "paragraph", "medium", slot=i, text=F.trim(F.concat(F.lit("("), s["label"], F.lit(") "), s["text"])), for_question=about,
+            review=F.when(i == F.size(items) - 1, "incomplete_options"), description=F.when(i == F.size(items) - 1, "An option has no text."),
+        ),
+    )
+    return F.when(F.exists(slots, lambda s: s["text"] == ""), torn).otherwise(whole)
+
+
+def parsed(lines: DataFrame, profile: Profile = DEFAULT) -> DataFrame:
+    """Blocks in order with the review that each gives rise to, if any; ``about`` is the question it belongs to."""
+    rows = classified(unwrapped(content_lines(lines, profile), profile), profile)
+    line = F.struct(F.col("line_no").cast("int").alias("n"), "kind", "role", "text", "q", "opts", "column")
+    epochs = rows.groupBy(*PAGE, "epoch").agg(F.sort_array(F.collect_list(line)).alias("ls"), F.max("about").alias("about"))
+    # an epoch's lines before its first options, and from there on
+    first = F.get(F.filter(F.transform("ls", lambda x, i: F.when(x["kind"] == "options", i)), lambda i: i.isNotNull()), F.lit(0))
+    epochs = epochs.withColumn("cut", F.coalesce(first, F.size("ls")))
+    epochs = epochs.withColumn("early", F.slice("ls", 1, F.col("cut"))).withColumn("late", F.expr("slice(ls, cut + 1, size(ls))"))
+    epochs = epochs.withColumn("pieces", option_pieces(F.col("late")))
+    head, about = F.get("ls", F.lit(0)), F.col("about")
+    others = lambda rows: F.filter(rows, lambda x: x["kind"] == "other")
+    paragraph = lambda x: _block(x["n"], "paragraph", text=x["text"])
+    ruled = F.size(F.filter("ls", lambda x: x["kind"] == "ruled"))
+    opened = (
+        F.when(head["kind"] == "heading", F.array(_block(head["n"], "heading", role=head["role"], text=head["text"])))
+        .when(head["kind"] == "question", F.array(_question_block(head, others(F.col("early")), about)))
+        .when(head["kind"] == "ruled", F.array(_block(head["n"], "answer_lines", count=ruled, spacing=profile.text_pitch, for_question=about)))
+    )
+    early = F.transform(F.when(head["kind"] == "question", F.array().cast(epochs.schema["early"].dataType)).otherwise(others(F.col("early"))), paragraph)
+    used = F.transform("pieces", lambda p: p["n"])
+    late = F.transform(F.filter(others(F.col("late")), lambda x: ~F.array_contains(used, x["n"])), paragraph)
+    numbers = F.array_distinct(F.transform("pieces", lambda p: p["set"]))
+    sets = F.flatten(F.transform(numbers, lambda k: _set_blocks(F.col("pieces"), k, about, profile)))
+    nothing = F.array().cast(f"array<struct<{','.join(f'{n}:{k}' for n, k in _FIELDS.items())}>>")
+    found = epochs.select(*PAGE, F.explode(F.concat(*[F.coalesce(x, nothing) for x in (opened, early, late, sets)])).alias("b"))
+    pos = F.row_number().over(Window.partitionBy(*PAGE).orderBy("b.n", "b.slot"))
+    return found.select(*PAGE, pos.alias("pos"), "b.*")
 
 
 def blocks(lines: DataFrame, profile: Profile = DEFAULT) -> DataFrame:
     """Blocks of lines(doc, page, line_no, raw)."""
-    return _parsed(lines, BLOCKS, 0, _COLUMNS, profile)
+    names = [c.split()[0] for c in BLOCKS.replace(", ", "\n").split("\n")]
+    mine = F.when(F.col("kind").isin("options", "answer_lines"), F.col("for_question"))
+    return parsed(lines, profile).withColumn("for_question", mine).select(*names)
 
 
 def reviews(lines: DataFrame, profile: Profile = DEFAULT) -> DataFrame:
-    return _parsed(lines, REVIEWS, 1, [c.split()[0] for c in REVIEWS.split(", ")], profile)
+    """Doubts of lines(doc, page, line_no, raw), numbered in the order of their blocks."""
+    doubts = parsed(lines, profile).where("review IS NOT NULL")
+    n = F.row_number().over(Window.partitionBy(*PAGE).orderBy("pos"))
+    named = T.review_id(F.col("page"), F.col("review"), n)
+    return doubts.select(*PAGE, named.alias("review_id"), F.col("review").alias("type"), "for_question", F.lit(True).alias("blocking"), "description")
+
+
+def parse_page(doc: str, page: int, raw_lines: list[str], profile: Profile = DEFAULT) -> tuple[list[dict], list[dict]]:
+    """(blocks, reviews) of one page that is at hand, in the session that is running."""
+    spark = SparkSession.builder.getOrCreate()
+    lines = spark.createDataFrame([(doc, page, k, raw) for k, raw in enumerate(raw_lines)], "doc string, page int, line_no int, raw string")
+    found = blocks(lines, profile).orderBy("pos").collect()
+    return [r.asDict(recursive=True) for r in found], [r.asDict() for r in reviews(lines, profile).orderBy("review_id").collect()]

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from importlib import import_module
+
 _QUERIES: dict = {}
 _SQL: dict = {}
 
@@ -18,9 +20,13 @@ def query(name: str, sql: str | None = None):
     return keep
 
 
-def queries() -> dict:
-    from folioloom.plans import queries as _  # noqa: F401  registers on import
+def table(spark, sf_dir: str, name: str):
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
+
+def queries() -> dict:
+    for module in ("queries", "page_queries"):  # they register on import
+        import_module(f"folioloom.plans.{module}")
     return dict(_QUERIES)
 
 

@@ -10,11 +10,7 @@ from folioloom.operators import contracts as C
 from folioloom.operators import ordered as O
 from folioloom.operators import packages as K
 from folioloom.operators.ordered import number_rows
-from folioloom.plans.catalogue import query
-
-
-def table(spark, sf_dir: str, name: str):
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+from folioloom.plans.catalogue import query, table
 
 
 @query(
