@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import re
 import unicodedata
+from dataclasses import dataclass
 
 import pandas as pd
 from pyspark.sql import Column
@@ -38,19 +40,38 @@ def script(text: Column) -> Column:
 
 
 def language_runs(text: Column, fallback: str | None = None) -> Column:
-    """Maximal runs of one script as array of (text, language); blank gaps join the run before."""
+    """Maximal runs of one script as array of (text, language); blank gaps join the run before.
+
+    One pattern finds whole runs: Devanagari with the blanks between and, at the end, after
+    it; or anything up to the next Devanagari.
+    """
     other = F.lit(fallback) if fallback else F.when(text.rlike(DEVANAGARI), "math").otherwise("latin")
-    parts = F.regexp_extract_all(text, F.lit("([\\x{0900}-\\x{097F}]+|[^\\x{0900}-\\x{097F}]+)"), F.lit(1))
-    runs = F.transform(parts, lambda p: F.struct(p.alias("text"), F.when(p.rlike(DEVANAGARI), F.lit("hindi")).otherwise(other).alias("language")))
-    empty = F.array().cast("array<struct<text:string,language:string>>")
+    pattern = f"({DEVANAGARI}+(?:\\s+{DEVANAGARI}+)*(?:\\s+\\z)?|[^\\x{{0900}}-\\x{{097F}}]+)"
+    return F.transform(F.regexp_extract_all(text, F.lit(pattern), F.lit(1)), lambda p: F.struct(p.alias("text"), F.when(p.rlike(DEVANAGARI), F.lit("hindi")).otherwise(other).alias("language")))
+
+
+# Characters that take the script of what stands before them.
+NEUTRAL = " \\t\\r\\n,.:;?!()₹%\\-0-9/\\\\"
+
+
+def mixed_tokens(text: Column) -> Column:
+    """Array of (text, type) where neutral characters belong to the token before; at the start they are latin."""
+    pattern = f"({DEVANAGARI}[\\x{{0900}}-\\x{{097F}}{NEUTRAL}]*|[^\\x{{0900}}-\\x{{097F}}]+)"
+    return F.transform(F.regexp_extract_all(text, F.lit(pattern), F.lit(1)), lambda p: F.struct(p.alias("text"), F.when(p.rlike("\\A" + DEVANAGARI), "hindi").otherwise("latin").alias("type")))
+
 
-    def join(done: Column, run: Column) -> Column:
-        last = F.get(done, F.size(done) - 1)
-        glued = F.concat(F.slice(done, 1, F.greatest(F.size(done) - 1, F.lit(0))), F.array(F.struct(F.concat(last["text"], run["text"]).alias("text"), last["language"].alias("language"))))
-        same = (F.size(done) > 0) & ((F.trim(run["text"]) == "") | (last["language"] == run["language"]))
-        return F.when(same, glued).otherwise(F.concat(done, F.array(run)))
+# Why a page's formulas may have lost their layout.
+NOTATION, STACKED = "root, integral, summation, limit, or determinant notation", "a short split formula line that may be a stacked fraction"
 
-    return F.aggregate(runs, empty, join)
+
+def formula_reasons(text: Column) -> Column:
+    """Array of the reasons that a text shows, each once."""
+    def stacked(line: Column) -> Column:
+        t = F.replace(F.regexp_replace(line, "(?U)^\\s+|\\s+$", ""), F.lit("\u200b"), F.lit(""))
+        return F.length(t).between(2, 24) & t.rlike("^[0-9A-Za-z(){}+\\-−=./,\\s]+$") & t.rlike("[0-9]") & t.rlike("[+\\-−=/xy]")
+
+    lines = F.split(text, "\r\n|[\n\r]")
+    return F.array_compact(F.array(F.when(text.rlike("(?i)[√∑∫]|\\b(?:lim|det)\\b"), F.lit(NOTATION)), F.when(F.exists(lines, stacked), F.lit(STACKED))))
 
 
 def is_unit_heading(line: Column, profile: Profile = DEFAULT) -> Column:
@@ -172,16 +193,70 @@ def upper_sha256(data: Column) -> Column:
     return F.upper(F.sha2(data, 256))
 
 
-def transliterator(pairs: list[tuple[str, str]]):
-    """Ordered replacement of legacy glyph codes; one pass for each pair, in an Arrow UDF."""
+@dataclass(frozen=True)
+class Glyphs:
+    """A legacy glyph code: ordered pairs (code, text), and the codes that stand out of order.
+
+    ``before`` is written before the consonant cluster that it follows in text; ``after`` is a
+    reph, written after the cluster (and its vowel signs) that it comes before.  ``halves`` are
+    half consonants, which ``stem`` completes; ``low`` may end a cluster.
+    """
+
+    pairs: tuple[tuple[str, str], ...]
+    before: str = ""
+    before_text: str = ""
+    after: str = ""
+    after_code: str = ""
+    halves: str = ""
+    stem: str = ""
+    low: str = ""
+    signs: str = ""
+
+
+def _cluster(g: Glyphs) -> str:
+    half = f"[{re.escape(g.halves)}]" if g.halves else "(?!)"
+    stem = re.escape(g.stem) if g.stem else "(?!)"
+    return f"(?:(?:{half}(?!{stem}))*(?:{half}{stem}|.){f'{re.escape(g.low)}?' if g.low else ''})"
+
+
+def transliterator(glyphs: Glyphs | list[tuple[str, str]]):
+    """Legacy glyph codes as Unicode text, in an Arrow UDF: signs are put in order, then each pair replaced in turn."""
+    g = glyphs if isinstance(glyphs, Glyphs) else Glyphs(tuple(glyphs))
+    early = re.compile(f"{re.escape(g.before)}({_cluster(g)})", re.S) if g.before else None
+    late = re.compile(f"(.)([{re.escape(g.signs)}]?){re.escape(g.after)}" if g.signs else f"(.)(){re.escape(g.after)}", re.S) if g.after else None
+
+    def one(t: str) -> str:
+        if early is not None:
+            t = early.sub(lambda m: m[1] + g.before_text, t)
+        while late is not None and (m := late.search(t)):
+            t = t[: m.start()] + g.after_code + m[1] + m[2] + t[m.end() :]
+        for old, new in g.pairs:
+            t = t.replace(old, new)
+        return t
 
     @F.pandas_udf(StringType())
     def convert(text: pd.Series) -> pd.Series:
-        def one(t: str) -> str:
-            for old, new in pairs:
-                t = t.replace(old, new)
-            return t
-
         return text.map(one, na_action="ignore")
 
     return convert
+
+
+def canonical_digest(value: Column) -> Column:
+    """Upper-case SHA-256 of compact JSON, whose keys stand as the struct has them."""
+    return F.upper(F.sha2(F.to_json(value, {"ignoreNullFields": "false"}), 256))
+
+
+def on_off(present: Column, value: Column, default: bool = False) -> Column:
+    """A switch: absent or of another word is the default, present without a value is on."""
+    low = F.lower(value)
+    return F.when(~present, F.lit(default)).when(value.isNull(), F.lit(True)).when(low.isin("1", "true", "on"), F.lit(True)).when(low.isin("0", "false", "off"), F.lit(False)).otherwise(F.lit(default))
+
+
+def casefold_key(text: Column) -> Column:
+    """Sort key without regard to case; sharp s counts as ss."""
+    return F.replace(F.lower(text), F.lit("ß"), F.lit("ss"))
+
+
+def file_number(name: Column) -> Column:
+    """The last number in a file's name, by which rendered pages stand in order."""
+    return F.regexp_extract(name, "(\\d+)\\D*$", 1).try_cast("int")

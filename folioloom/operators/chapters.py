@@ -6,6 +6,8 @@ by one window, books are independent.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -100,3 +102,25 @@ def missing_fonts(required: DataFrame, installed: DataFrame, generic: tuple[str,
     r = required.select("font", F.lower("font").alias("low")).where(~F.lower("font").isin(*generic)).join(F.broadcast(low), F.lit(True), "left")
     near = F.exists("have", lambda h: (h == F.col("low")) | ((F.length(h) > 4) & (F.contains(h, F.col("low")) | F.contains(F.col("low"), h))))
     return r.where(~F.coalesce(near, F.lit(False))).select("font").distinct()
+
+
+def paragraph_texts(runs: DataFrame, convert: Callable[[Column], Column] | None = None) -> DataFrame:
+    """(doc, par, text) of runs(doc, par, n, text, font): those in a legacy font converted, all joined in order and trimmed."""
+    text = F.coalesce("text", F.lit(""))
+    if convert is not None:
+        text = F.when(T.is_legacy_font(F.col("font")), convert(text)).otherwise(text)
+    parts = F.transform(F.sort_array(F.collect_list(F.struct("n", "t"))), lambda s: s["t"])
+    return runs.withColumn("t", text).groupBy("doc", "par").agg(F.trim(F.array_join(parts, "")).alias("text"))
+
+
+def contents(paragraphs: DataFrame, heading: str, never: str, longest: int = 250) -> DataFrame:
+    """(doc, idx, entry, anchor, text) of a table of contents: headings that aren't long, links or of the words in ``never``."""
+    p = paragraphs.where(F.col("text").rlike(heading) & (F.length("text") < longest) & ~F.col("text").rlike(never) & ~F.coalesce("is_link", F.lit(False)))
+    entry = F.row_number().over(Window.partitionBy("doc").orderBy("idx"))
+    return p.select("doc", "idx", entry.alias("entry"), F.concat(F.lit("ch_"), entry.cast("string")).alias("anchor"), "text")
+
+
+def chapter_members(members: DataFrame, ranges: DataFrame) -> DataFrame:
+    """members(doc, idx, kind, ...) inside their document's range(s); a table belongs where the paragraph before it does."""
+    own = F.last(F.when(F.col("kind") == "paragraph", F.col("idx")), ignorenulls=True).over(Window.partitionBy("doc").orderBy("idx").rowsBetween(Window.unboundedPreceding, 0))
+    return members.withColumn("__at", own).join(ranges, "doc").where(F.col("__at").between(F.col("first"), F.col("last"))).drop("__at")

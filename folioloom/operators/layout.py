@@ -85,3 +85,75 @@ def outside_frame(boxes: DataFrame, left_mm: float, right_mm: float) -> DataFram
     """Boxes that cross the frame by more than the tolerance; coordinates in points."""
     mm = lambda c: F.col(c) * 25.4 / 72
     return boxes.where((mm("x0") < left_mm - FRAME_SLACK_MM) | (mm("x1") > right_mm + FRAME_SLACK_MM))
+
+
+# Millimetres of the live frame, and points above its bottom that answers may reach.
+POINTS = 72 / 25.4
+SAFE_TOP, SAFE_BOTTOM, FOOTER_TOP, FOLIO_TOP = 28.0, 267.0, 276.0, 270.0
+CENTER_INSET, TOP_SLACK, WHOLE_PAGE, OUTER = 4.0, 2.0, 0.9, 18.0
+ANSWER_BOTTOM, ANSWER_TOP, ANSWER_LEAST_WIDTH, ANSWER_SIDE, ANSWER_HIGH, ANSWER_STEP = 260.0, 55.0, 150.0, 6.0, 1.5, 1.5
+WRITTEN_LIFT = 27.0
+
+
+def visual_boxes(boxes: DataFrame, pages: DataFrame) -> DataFrame:
+    """Boxes that are content: not as large as the page, in the middle of the frame, and between top and footer.
+
+    Pages are (page, width, height, left, right) in points.
+    """
+    b = boxes.where("kind <> 'word'").join(pages.select("page", "width", "height", "left", "right"), "page")
+    center, small = (F.col("x0") + F.col("x1")) / 2, (F.col("x1") - F.col("x0") < F.col("width") * WHOLE_PAGE) & (F.col("bottom") - F.col("top") < F.col("height") * WHOLE_PAGE)
+    inside = center.between(F.col("left") + CENTER_INSET * POINTS, F.col("right") - CENTER_INSET * POINTS)
+    high = (F.col("bottom") >= (SAFE_TOP - TOP_SLACK) * POINTS) & (F.col("top") <= FOOTER_TOP * POINTS)
+    return b.where(small & inside & high).select(*boxes.columns)
+
+
+def content_words(boxes: DataFrame, pages: DataFrame, in_frame: bool = False) -> DataFrame:
+    """Words above the footer that are no page number; with ``in_frame`` only those that reach into the frame."""
+    b = boxes.where("kind = 'word'").join(pages.select("page", "left", "right"), "page")
+    folio = (F.col("top") > FOLIO_TOP * POINTS) & F.trim("text").rlike("^\\d+$")
+    keep = (F.col("bottom") < FOOTER_TOP * POINTS) & ~F.coalesce(folio, F.lit(False))
+    if in_frame:
+        keep = keep & (F.col("x1") > F.col("left")) & (F.col("x0") < F.col("right"))
+    return b.where(keep).select(*boxes.columns)
+
+
+def answer_extent(boxes: DataFrame, pages: DataFrame) -> DataFrame:
+    """(page, extent): the lowest ruled line, made of pieces of one height, that spans the frame."""
+    b = boxes.where("kind IN ('line', 'curve', 'rect')").join(pages.select("page", "left", "right"), "page")
+    y = (F.col("top") + F.col("bottom")) / 2
+    flat = (F.col("bottom") - F.col("top") <= ANSWER_HIGH * POINTS) & y.between(ANSWER_TOP * POINTS, SAFE_BOTTOM * POINTS)
+    rules = b.where(flat).groupBy("page", F.rint(y / ANSWER_STEP).alias("step"))
+    rules = rules.agg(F.min("x0").alias("x0"), F.max("x1").alias("x1"), F.max(y).alias("y"), F.first("left").alias("left"), F.first("right").alias("right"))
+    near = lambda a, c: F.abs(F.col(a) - F.col(c)) <= ANSWER_SIDE * POINTS
+    return rules.where((F.col("x1") - F.col("x0") >= ANSWER_LEAST_WIDTH * POINTS) & near("x0", "left") & near("x1", "right")).groupBy("page").agg(F.max("y").alias("extent"))
+
+
+def page_content(boxes: DataFrame, pages: DataFrame, in_frame: bool = False) -> DataFrame:
+    """(page, top, bottom, utilization) of every page: content words, content boxes and ruled lines together."""
+    both = content_words(boxes, pages, in_frame).select("page", "top", "bottom").unionByName(visual_boxes(boxes, pages).select("page", "top", "bottom"))
+    ends = both.groupBy("page").agg(F.min("top").alias("top"), F.max("bottom").alias("low"))
+    found = pages.select("page").join(ends, "page", "left").join(answer_extent(boxes, pages), "page", "left").withColumn("bottom", F.greatest("low", "extent"))
+    share = 100 * F.greatest(F.lit(0.0), F.least(F.lit(SAFE_BOTTOM * POINTS), F.col("bottom")) - SAFE_TOP * POINTS) / ((SAFE_BOTTOM - SAFE_TOP) * POINTS)
+    return found.select("page", "top", "bottom", F.when(F.col("bottom").isNull(), F.lit(0.0)).otherwise(share).alias("utilization"))
+
+
+def source_measurements(boxes: DataFrame, pages: DataFrame, selected: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(measurements of the selected pages within the outer margins, selected pages that the source hasn't)."""
+    framed = pages.join(selected.select("page").distinct(), "page", "left_semi").select("page", "width", "height", F.lit(OUTER * POINTS).alias("left"), (F.col("width") - OUTER * POINTS).alias("right"))
+    lost = selected.select("page").distinct().join(pages.select("page"), "page", "left_anti")
+    return page_content(boxes.join(framed.select("page"), "page", "left_semi"), framed, in_frame=True), lost
+
+
+def answer_space(blocks: DataFrame, pages: DataFrame) -> DataFrame:
+    """(page, has_canvas, requires_lines, target) of pages(page, page_type, source_bottom) by their blocks(page, kind, bbox).
+
+    Written answers reach to just above the frame's bottom; others as low as the source's own, but no lower than fixed.
+    """
+    box = F.when((F.size("bbox") == 4) & (F.get("bbox", F.lit(3)) > F.get("bbox", F.lit(1))), F.get("bbox", F.lit(3)))
+    lines = F.col("kind") == "answer_lines"
+    b = blocks.groupBy("page").agg(F.max(F.col("kind") == "answer_canvas").alias("canvas"), F.max(lines).alias("lines"), F.max(F.when(lines, box)).alias("deepest"))
+    p = pages.join(b, "page", "left")
+    low = F.lit(ANSWER_BOTTOM * POINTS)
+    other = F.when(F.col("deepest").isNotNull(), F.least("deepest", low)).when(F.col("source_bottom").isNotNull(), F.least("source_bottom", low))
+    target = F.when(F.col("page_type").isin("short_answer", "long_answer"), F.lit(SAFE_BOTTOM * POINTS - WRITTEN_LIFT)).otherwise(other)
+    return p.select("page", F.coalesce("canvas", F.lit(False)).alias("has_canvas"), F.coalesce("lines", F.lit(False)).alias("requires_lines"), F.when(F.col("lines"), target).alias("target"))

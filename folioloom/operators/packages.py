@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
 from folioloom.operators.ordered import number_rows
+from folioloom.tables import written
 
 
 def parts(files: DataFrame) -> DataFrame:
@@ -55,20 +56,27 @@ def broken_relationships(rels: DataFrame, package_parts: DataFrame) -> DataFrame
     return inner.join(package_parts.select("path", "part"), ["path", "part"], "left_anti")
 
 
-def closure(edges: DataFrame, roots: DataFrame, rounds: int = 1000) -> DataFrame:
-    """(root, node): every node that can be reached; cycles end by the anti join with what is known.
+def closure(edges: DataFrame, roots: DataFrame, rounds: int | None = None, depth: bool = False) -> DataFrame:
+    """(root, node), and if asked the fewest steps to it: every node that can be reached, the root included.
 
-    Raises where nodes are left after ``rounds`` steps, so no closure is ever returned in part.
+    Cycles end by the anti join with what is known.  Rounds go on until nothing is new; where
+    ``rounds`` bounds them and nodes are left, it raises, so no closure is ever returned in part.
     """
     step = edges.select(F.col("src").alias("node"), F.col("dst").alias("next")).where("node IS NOT NULL AND next IS NOT NULL").distinct()
-    known = roots.select(F.col("root"), F.col("root").alias("node")).distinct().checkpoint()
-    fresh = known
-    for _ in range(rounds + 1):
-        fresh = fresh.join(step, "node").select("root", F.col("next").alias("node")).distinct().join(known, ["root", "node"], "left_anti").checkpoint()
+    step = written(step, "edges")
+    known = written(roots.select("root", F.col("root").alias("node"), F.lit(0).alias("depth")).distinct(), "closure")
+    fresh, k = known, 0
+    while True:
+        k += 1
+        found = fresh.join(step, "node").select("root", F.col("next").alias("node")).distinct().join(known, ["root", "node"], "left_anti")
+        fresh = written(found.withColumn("depth", F.lit(k)), "frontier")
         if fresh.isEmpty():
-            return known
+            return known if depth else known.drop("depth")
+        if rounds is not None and k > rounds:
+            raise ValueError(f"closure: nodes over {rounds} steps from their root")
         known = known.unionByName(fresh)
-    raise ValueError(f"closure: nodes over {rounds} steps from their root")
+        if k % 16 == 0:  # a plan of few tables, however deep the graph
+            known = written(known, "closure")
 
 
 def remap_ids(required: DataFrame, used: DataFrame) -> DataFrame:

@@ -691,16 +691,34 @@ def anchor_containment(spark, sf_dir):
 @query(
     "closure_tree",
     """
-WITH RECURSIVE c AS (SELECT p_partkey AS root, p_partkey AS node, 0 AS depth FROM part WHERE p_partkey % 100 = 7
-  UNION ALL SELECT root, node // 10, depth + 1 FROM c WHERE node // 10 > 0 AND depth < 20)
+WITH RECURSIVE c AS (SELECT p_partkey AS root, p_partkey AS node, 0 AS depth FROM part
+  UNION ALL SELECT root, node // 10, depth + 1 FROM c WHERE node // 10 > 0)
 SELECT root, node, CAST(depth AS BIGINT) AS depth FROM c
 """,
 )
 def closure_tree(spark, sf_dir):
-    """Every ancestor of each root, where the parent of a part is its key without the last digit."""
-    roots = table(spark, sf_dir, "part").where("p_partkey % 100 = 7").select(F.col("p_partkey").alias("root"))
-    steps = F.transform(F.sequence(F.lit(0), F.lit(20)), lambda k: F.struct(k.cast("long").alias("depth"), F.floor(F.col("root") / F.pow(F.lit(10.0), k)).cast("long").alias("node")))
-    return roots.select("root", F.explode(F.filter(steps, lambda s: s["node"] > 0)).alias("s")).select("root", "s.node", "s.depth")
+    """Every ancestor of each part, where a part's parent is its key without the last digit."""
+    parts = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("root"))
+    edges = parts.select(F.col("root").alias("src"), F.floor(F.col("root") / 10).cast("long").alias("dst")).where("dst > 0")
+    return K.closure(edges, parts, depth=True).select("root", "node", F.col("depth").cast("long").alias("depth"))
+
+
+@query(
+    "closure_cycles",
+    """
+WITH RECURSIVE e AS (SELECT s_suppkey AS src, (s_suppkey * 7 + 3) % (SELECT count(*) FROM supplier) + 1 AS dst FROM supplier
+                     UNION SELECT s_suppkey, s_suppkey + s_nationkey FROM supplier WHERE s_nationkey < 6),
+c AS (SELECT s_suppkey AS root, s_suppkey AS node FROM supplier WHERE s_acctbal > 5000 UNION SELECT root, dst FROM c JOIN e ON c.node = e.src)
+SELECT root, node FROM c
+""",
+)
+def closure_cycles(spark, sf_dir):
+    """What each rich supplier reaches in a graph with loops and cycles."""
+    s = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey", "s_acctbal")
+    n = s.agg(F.count("*").alias("n"))
+    ring = s.join(F.broadcast(n), F.lit(True)).select(F.col("s_suppkey").alias("src"), ((F.col("s_suppkey") * 7 + 3) % F.col("n") + 1).alias("dst"))
+    near = s.where("s_nationkey < 6").select(F.col("s_suppkey").alias("src"), (F.col("s_suppkey") + F.col("s_nationkey")).alias("dst"))
+    return K.closure(ring.unionByName(near), s.where("s_acctbal > 5000").select(F.col("s_suppkey").alias("root")))
 
 
 @query(
