@@ -45,9 +45,11 @@ def language_runs(text: Column, fallback: str | None = None) -> Column:
     One pattern finds whole runs: Devanagari with the blanks between and, at the end, after
     it; or anything up to the next Devanagari.
     """
-    other = F.lit(fallback) if fallback else F.when(text.rlike(DEVANAGARI), "math").otherwise("latin")
     pattern = f"({DEVANAGARI}+(?:\\s+{DEVANAGARI}+)*(?:\\s+\\z)?|[^\\x{{0900}}-\\x{{097F}}]+)"
-    return F.transform(F.regexp_extract_all(text, F.lit(pattern), F.lit(1)), lambda p: F.struct(p.alias("text"), F.when(p.rlike(DEVANAGARI), F.lit("hindi")).otherwise(other).alias("language")))
+    one = lambda t, language: F.struct(t.alias("text"), language.alias("language"))
+    runs = F.transform(F.regexp_extract_all(text, F.lit(pattern), F.lit(1)), lambda p: one(p, F.when(p.rlike(DEVANAGARI), F.lit("hindi")).otherwise(F.lit(fallback or "math"))))
+    whole = F.filter(F.array(one(text, F.lit(fallback or "latin"))), lambda r: r["text"] != "")
+    return F.when(text.rlike(DEVANAGARI), runs).otherwise(whole)
 
 
 # Characters that take the script of what stands before them.

@@ -24,8 +24,13 @@ def table(spark, sf_dir: str, name: str):
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def made(spark, sf_dir: str, sql: str, *names: str):
+    """Rows of ``sql``, whose tables stand in it as {name}."""
+    return spark.sql(sql, **{n: table(spark, sf_dir, n) for n in names})
+
+
 def queries() -> dict:
-    for module in ("queries", "page_queries"):  # they register on import
+    for module in ("queries", "page_queries", "text_queries"):  # they register on import
         import_module(f"folioloom.plans.{module}")
     return dict(_QUERIES)
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from folioloom.operators import pages as P
-from folioloom.plans.catalogue import query, table
+from folioloom.plans.catalogue import made, query
 
 # What line an order line stands for, by its part: each order is a page.
 _LINES = """
@@ -17,11 +17,11 @@ SELECT 'orders' AS doc, CAST(l_orderkey AS INT) AS page, CAST(row_number() OVER
          WHEN 10 THEN concat('यदि y = ', l_suppkey) WHEN 11 THEN concat('       tail ', l_suppkey)
          WHEN 12 THEN concat('  a longer line that says what is to be found here and goes on for more than eight words ', l_suppkey)
          ELSE CAST(l_linenumber AS STRING) END AS raw
-FROM lineitem
+FROM {lineitem}
 """
 
 _PARSER = f"""
-WITH RECURSIVE raw AS ({_LINES}),
+WITH RECURSIVE raw AS ({_LINES.format(lineitem="lineitem")}),
 t AS (SELECT page, line_no, raw, trim(regexp_replace(raw, '[ \\t]+', ' ', 'g')) AS text FROM raw),
 x AS (SELECT *, lead(text) OVER (PARTITION BY page ORDER BY line_no) IS NULL AND regexp_full_match(text, '\\d{{1,4}}') AS folio FROM t),
 c AS (
@@ -89,8 +89,7 @@ p AS (SELECT *, row_number() OVER (PARTITION BY page ORDER BY n, slot) AS pos FR
 
 
 def _pages(spark, sf_dir):
-    table(spark, sf_dir, "lineitem").createOrReplaceTempView("folioloom_lines_of")
-    return spark.sql(_LINES.replace("FROM lineitem", "FROM folioloom_lines_of"))
+    return made(spark, sf_dir, _LINES, "lineitem")
 
 
 @query(
