@@ -15,6 +15,8 @@ from pyspark.sql.types import StringType
 
 from folioloom.operators.contracts import RowRule, row_violations
 
+#: Elements handed on at once.
+ROWS_AT_ONCE = 10_000
 ELEMENTS = "path string, part string, n int, parent int, depth int, tag string, text string, attrs map<string,string>, error string"
 
 # Elements that are counted, and those that need a review or stop a merge.
@@ -52,9 +54,14 @@ def elements(parts: DataFrame) -> DataFrame:
 
     def work(batches):
         names = [c.split()[0] for c in ELEMENTS.split(", ")]
+        rows: list[tuple] = []
         for pdf in batches:
             for path, part, content in zip(pdf["path"], pdf["part"], pdf["content"], strict=True):
-                yield pd.DataFrame(_rows(path, part, content or b""), columns=names, dtype=object)
+                rows += _rows(path, part, content or b"")
+                if len(rows) >= ROWS_AT_ONCE:
+                    yield pd.DataFrame(rows, columns=names, dtype=object)
+                    rows = []
+        yield pd.DataFrame(rows, columns=names, dtype=object)
 
     return parts.select("path", "part", "content").mapInPandas(work, ELEMENTS)
 

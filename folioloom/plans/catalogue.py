@@ -30,7 +30,7 @@ def made(spark, sf_dir: str, sql: str, *names: str):
 
 
 def queries() -> dict:
-    for module in ("queries", "page_queries", "text_queries"):  # they register on import
+    for module in ("queries", "page_queries", "text_queries", "book_queries"):  # they register on import
         import_module(f"folioloom.plans.{module}")
     return dict(_QUERIES)
 
