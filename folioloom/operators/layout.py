@@ -20,6 +20,8 @@ def normal_box(df: DataFrame, page_height: float) -> DataFrame:
     """top and bottom from y0 and y1 where they are missing, edges in order; boxes without numbers go."""
     top = F.coalesce("top", F.lit(page_height) - F.col("y1"))
     bottom = F.coalesce("bottom", F.lit(page_height) - F.col("y0"))
+    df = df.where(top.isNotNull() & bottom.isNotNull())
+    df = df.dropna(subset=["x0", "x1"])
     edges = {"x0": F.least("x0", "x1"), "x1": F.greatest("x0", "x1"), "top": F.least(top, bottom), "bottom": F.greatest(top, bottom)}
     kept = [c for c in df.columns if c not in ("x0", "x1", "top", "bottom", "y0", "y1")]
     return df.select(*kept, *[v.alias(k) for k, v in edges.items()]).dropna(subset=list(edges))
