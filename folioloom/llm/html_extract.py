@@ -1,40 +1,46 @@
 """Main text of pages by wrappers: union-free regular expressions inferred for each host.
 
-A page's tags form a stream of labels (tag and class words).  Neighbouring repeats of a run
-of siblings fold into one repeated group.  The wrapper of a host is aligned with page after
-page: labels that match are aligned further inside, a label that only one side has becomes
-optional, a run that repeats becomes a repeated group, and text becomes a slot with counts of
-what it held.  Alignment works on parts in any order, so tasks align their own pages first
-and partial wrappers meet by host: a host with a third of all pages is as many partial
-wrappers as tasks, never as many as pages.
+A page's tags form a stream of labels (tag and class words).  Neighbouring repeats of a run of
+siblings fold into one repeated group, whatever its length.  Streams of one host are aligned
+level by level: an element meets that of the same label and turn below the same parent; what
+some pages lack is optional, and the text of an element is a slot that is fixed or varies.
+What is kept of a slot (pages, characters, least and greatest hash of its text) adds up in any
+order, so the engine aggregates slots and not pages: a host with a third of all pages is as
+many rows as it has slots, and the wrapper doesn't depend on the order of its pages.
 
 The finished wrapper names the host's main region: its article or main element, else the
 element that holds most of the varying text outside menus, headers, footers, sidebars,
-notices, adverts, forms and comments.  Every page's text then comes from that region; a page
-that doesn't have it is read by its own structure.
+notices, adverts, forms and comments; most of a menu's text is in links.  A slot in the region
+that reads the same on five pages or more, while the region varies, is the site's and not the
+article's, unless it is a heading, a list item or a cell.  Every page's text comes from that
+region; a page that doesn't have it is read by its own structure.
 
 Defined cases: null, empty and tagless pages give the text outside all boilerplate, or the
 empty text; a null url is a host of its own; unclosed and misplaced tags close where HTML
-closes them; repeated rows and further columns pass through; an empty table gives an empty
-result.
+closes them; a quote that isn't closed ends with its word; tags nest to any depth; repeated
+rows and further columns pass through; an empty table gives an empty result.
 """
 
 from __future__ import annotations
 
 import json
 import re
-from difflib import SequenceMatcher
+import zlib
 from html import unescape
 
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from folioloom.llm import store
 
-HOSTS_HELD = 5000
-#: Repeated runs of up to so many siblings fold into groups.
-LONGEST_RUN = 4
+#: Slots held by a task before they are handed on, and hosts whose wrappers a task remembers.
+SLOTS_HELD, HOSTS_HELD = 200_000, 5000
+#: A slot counts for the region where so large a share of the host's pages has it.
+COMMON = 0.2
+#: Pages on which a slot must read the same to be the site's own, and their share of the host's pages.
+FIXED_PAGES, FIXED_SHARE = 5, 0.8
 
 # Element kinds of HTML.
 BLOCKS = set("address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol p pre section summary table tbody tfoot thead tr ul head title noscript template iframe svg canvas video audio object select button textarea".split())
@@ -48,41 +54,53 @@ DROPPED_WORDS = set(
 )
 MAIN_WORDS = set("article content entry main post story maincontent articlebody postcontent entrycontent body-text".split())
 P_ENDS = BLOCKS - {"html", "body", "head", "title"}
+#: Elements whose text stays even where it is the same on every page.
+OWN_WORDS = set("h1 h2 h3 h4 h5 h6 li dt dd td th caption summary pre".split())
 
-_TAG = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|[^<]+|<", re.S)
-_ATTR = re.compile(r"\b(class|id|role|hidden)\b(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?", re.I)
+_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)(>?)|[^<]+|<", re.S)
+_ATTR = re.compile(r"[\s/]*(?:(>)|([^\s/>=]+|=)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]*)))?)")
+_TELLING = ("class", "id", "role", "hidden")
 _WORDS = re.compile(r"[a-z]+")
 
 
 class Element:
-    __slots__ = ("kids", "label", "tag", "words")
+    __slots__ = ("key", "kids", "label", "tag", "words")
 
     def __init__(self, tag: str, words: tuple[str, ...] = ()):
-        self.tag, self.words, self.kids = tag, words, []
+        self.tag, self.words, self.kids, self.key = tag, words, [], 0
         self.label = ".".join((tag, *words))
 
 
-def _label_words(attributes: str) -> tuple[str, ...]:
-    """Words of class, id and role, without numbers, so that generated names agree."""
-    if "=" not in attributes and "hidden" not in attributes:
-        return ()
+def _attributes(html: str, at: int) -> tuple[tuple[str, ...], bool, int]:
+    """(words of class, id and role, whether the tag closes itself, end) of the attributes from ``at``.
+
+    Numbers in names are left out, so that generated names agree.
+    """
     words: list[str] = []
-    for m in _ATTR.finditer(attributes):
-        if m[1].lower() == "hidden":
-            words.append("hidden")
-        else:
-            value = (m[2] or m[3] or m[4] or "").lower()
+    begun = at
+    while m := _ATTR.match(html, at):
+        at = m.end()
+        if m[1]:
+            break
+        name = m[2].lower()
+        if name in _TELLING:
+            if name == "hidden":
+                words.append("hidden")
+                continue
+            value = (m[3] or m[4] or m[5] or "").lower()
             words += [w for w in _WORDS.findall(value) if w != "hidden"]
             words += [w.replace("-", "").replace("_", "") for w in value.split() if "-" in w or "_" in w]
-    return tuple(dict.fromkeys(words))
+    else:
+        at = len(html)  # the tag isn't closed
+    return tuple(dict.fromkeys(words)), html[begun : at - 1].rstrip().endswith("/"), at
 
 
 def tree(html: str) -> Element:
-    """Block elements with their kids: elements, and text as str.  Inline tags leave only their text."""
+    """Block elements with their kids: elements, and text as str.  Inline tags leave only their text; a link's is marked."""
     root = Element("#root")
     stack = [root]
-    at = 0
-    while m := _TAG.match(html, at):
+    at, n = 0, len(html)
+    while at < n and (m := _TOKEN.match(html, at)):
         at = m.end()
         tag = m[2]
         if tag is None:
@@ -90,6 +108,9 @@ def tree(html: str) -> Element:
                 stack[-1].kids.append(m[0])
             continue
         tag = tag.lower()
+        words, closed = (), False
+        if not m[3]:
+            words, closed, at = _attributes(html, at)
         if m[1]:
             if tag in BLOCKS:
                 for k in range(len(stack) - 1, 0, -1):
@@ -98,14 +119,18 @@ def tree(html: str) -> Element:
                         break
             elif tag in ("td", "th", "br"):
                 stack[-1].kids.append(" ")
+            elif tag == "a":
+                stack[-1].kids.append(LINK_END)
             continue
         if tag in RAW:
             end = re.compile(rf"</{tag}\s*>", re.I).search(html, at)
-            at = end.end() if end else len(html)
+            at = end.end() if end else n
             continue
         if tag not in BLOCKS:
             if tag == "br" or tag in ("td", "th"):
                 stack[-1].kids.append(" ")
+            elif tag == "a":
+                stack[-1].kids.append(LINK)
             continue
         if tag in P_ENDS and stack[-1].tag == "p":
             stack.pop()
@@ -116,13 +141,21 @@ def tree(html: str) -> Element:
                 if stack[k].tag == tag or {stack[k].tag, tag} == {"dt", "dd"}:
                     del stack[k:]
                     break
-        element = Element(tag, _label_words(m[3]))
+        element = Element(tag, words)
         stack[-1].kids.append(element)
-        if tag not in VOID and not m[3].rstrip().endswith("/"):
+        if tag not in VOID and not closed:
             stack.append(element)
     return root
 
 
+class _Mark(str):
+    __slots__ = ()
+
+
+#: Where a link begins and ends; no text.
+LINK, LINK_END = _Mark(), _Mark()
+
+
 def dropped(e: Element, inside: bool) -> bool:
     """Menus, headers, footers and the like; a header inside the article is the article's own."""
     if e.tag in DROPPED_TAGS:
@@ -133,217 +166,309 @@ def dropped(e: Element, inside: bool) -> bool:
     return "hidden" in e.words or bool(words - {"header"} if inside else words)
 
 
-def own_text(e: Element) -> str:
-    return "".join(k for k in e.kids if isinstance(k, str))
-
-
-# wrapper node: [label, optional, repeated, pages, characters, hash of the first text, varies, kids]
-LABEL, OPTIONAL, REPEATED, PAGES, CHARS, HASH, VARIES, KIDS = range(8)
-
-
-def fold(nodes: list[list]) -> list[list]:
-    """Fold neighbouring repeats of runs of siblings, shortest runs first."""
-    for size in range(1, LONGEST_RUN + 1):
-        out, k = [], 0
-        labels = [n[LABEL] for n in nodes]
-        while k < len(nodes):
-            run = labels[k : k + size]
-            n = 1
-            while len(run) == size and labels[k + n * size : k + (n + 1) * size] == run:
-                n += 1
-            if n > 1:
-                group = nodes[k : k + size]
-                for j in range(1, n):
-                    for a, b in zip(group, nodes[k + j * size : k + (j + 1) * size], strict=True):
-                        merge(a, b, same_page=True)
-                for a in group:
-                    a[REPEATED] = True
-                out += group
-                k += n * size
+def fold(labels: list[str]) -> list[list[int]]:
+    """Siblings as slots in order, each with the places that it holds: neighbouring repeats of a run share its slots."""
+    names, slots = list(labels), [[k] for k in range(len(labels))]
+    size = 0
+    while True:
+        # a run can repeat only at a distance between two equal labels
+        seen: dict[str, list[int]] = {}
+        for k, x in enumerate(names):
+            seen.setdefault(x, []).append(k)
+        sizes = {b - a for at in seen.values() for a, b in zip(at, at[1:])} | {b - at[0] for at in seen.values() for b in at[1:]}
+        size = min((x for x in sizes if x > size), default=0)
+        if not size:
+            return slots
+        out_names, out_slots, k, n = [], [], 0, len(names)
+        while k < n:
+            times = 1
+            if k + 2 * size <= n and names[k] == names[k + size]:
+                run = names[k : k + size]
+                while names[k + times * size : k + (times + 1) * size] == run:
+                    times += 1
+            if times > 1:
+                for j in range(size):
+                    out_names.append(names[k + j])
+                    out_slots.append([x for t in range(times) for x in slots[k + t * size + j]])
+                k += times * size
             else:
-                out.append(nodes[k])
+                out_names.append(names[k])
+                out_slots.append(slots[k])
                 k += 1
-        nodes = out
-    return nodes
+        names, slots = out_names, out_slots
+
+
+# what is kept of a slot, by its key
+PARENT, LABEL, DEPTH, PAGES, CHARS, LINKED, LEAST, MOST, PLACE, REPEATED = range(10)
+_KEYS: dict[tuple, int] = {}
+
+
+def _key(parent: int, label: str, turn: int) -> int:
+    known = (parent, label, turn)
+    if known not in _KEYS:
+        if len(_KEYS) > SLOTS_HELD:
+            _KEYS.clear()
+        _KEYS[known] = xxhash.xxh64_intdigest(f"{parent}/{turn}/{label}", 7) >> 1
+    return _KEYS[known]
+
+
+def page_slots(root: Element) -> dict[int, list]:
+    """The slots of one page; every element gets the key of its slot."""
+    out: dict[int, list] = {}
+    root.key = _key(0, root.label, 0)
+    todo = [(root.key, 0, root.label, 0, 0, [root], False)]
+    while todo:
+        key, parent, label, depth, place, members, repeated = todo.pop()
+        texts, linked = [], 0
+        for e in members:
+            inside, text = False, []
+            for k in e.kids:
+                if k is LINK or k is LINK_END:
+                    inside = k is LINK
+                elif isinstance(k, str):
+                    text.append(k)
+                    linked += len(k.strip()) if inside else 0
+            texts.append(" ".join("".join(text).split()))
+        own = "\n".join(texts)
+        h = zlib.crc32(own.encode("utf-8", "surrogatepass"))
+        out[key] = [parent, label, depth, 1, sum(map(len, texts)), linked, h, h, place, repeated]
+        # the members' kids fold together, so that a repeated element has one set of slots
+        slots: dict[tuple[str, int], tuple[list[Element], bool, int]] = {}
+        for e in members:
+            kids = [k for k in e.kids if isinstance(k, Element)]
+            turns: dict[str, int] = {}
+            for n, places in enumerate(fold([k.label for k in kids])):
+                name = kids[places[0]].label
+                turn = turns[name] = turns.get(name, -1) + 1
+                held, again, first = slots.get((name, turn), ([], False, n))
+                held += [kids[x] for x in places]
+                slots[name, turn] = (held, again or len(places) > 1, first)
+        for (name, turn), (held, again, n) in slots.items():
+            k = _key(key, name, turn)
+            for e in held:
+                e.key = k
+            todo.append((k, key, name, depth + 1, n, held, again))
+    return out
+
+
+def add(slots: dict[int, list], more: dict[int, list]) -> dict[int, list]:
+    """Align ``more`` into ``slots``; any order of pages gives the same."""
+    for key, x in more.items():
+        have = slots.get(key)
+        if have is None:
+            slots[key] = list(x)
+            continue
+        for k in (PAGES, CHARS, LINKED, PLACE):
+            have[k] += x[k]
+        have[LEAST], have[MOST] = min(have[LEAST], x[LEAST]), max(have[MOST], x[MOST])
+        have[REPEATED] |= x[REPEATED]
+    return slots
+
+
+# a wrapper as it is read: [label, optional, repeated, pages, characters, varies, kids, slots]
+KIDS = 6
+
+
+def nested(slots: dict[int, list]) -> list:
+    """The wrapper of slots: kids in their usual order, those that some pages lack optional."""
+    nodes, top = {}, None
+    for key in sorted(slots, key=lambda k: (slots[k][DEPTH], slots[k][PLACE] / slots[k][PAGES], slots[k][LABEL], k)):
+        x = slots[key]
+        above = slots.get(x[PARENT])
+        nodes[key] = [x[LABEL], above is not None and x[PAGES] < above[PAGES], bool(x[REPEATED]), x[PAGES], x[CHARS], x[LEAST] != x[MOST], [], slots]
+        if above is not None:
+            nodes[x[PARENT]][KIDS].append(nodes[key])
+        elif top is None:
+            top = nodes[key]
+    return top
 
 
 def page_wrapper(e: Element) -> list:
-    kids = fold([page_wrapper(k) for k in e.kids if isinstance(k, Element)])
-    text = " ".join(own_text(e).split())
-    return [e.label, False, False, 1, len(text), hash_text(text), False, kids]
-
-
-def hash_text(text: str) -> int:
-    import zlib
-
-    return zlib.crc32(text.encode("utf-8", "surrogatepass"))
-
-
-def merge(a: list, b: list, same_page: bool = False) -> list:
-    """Align wrapper ``b`` into wrapper ``a`` of the same label."""
-    a[OPTIONAL] |= b[OPTIONAL]
-    a[REPEATED] |= b[REPEATED]
-    a[VARIES] |= b[VARIES] or (not same_page and a[HASH] != b[HASH])
-    a[CHARS] += b[CHARS]
-    a[PAGES] += 0 if same_page else b[PAGES]
-    x, y = a[KIDS], b[KIDS]
-    if [k[LABEL] for k in x] == [k[LABEL] for k in y]:
-        for p, q in zip(x, y, strict=True):
-            merge(p, q, same_page)
-        return a
-    out = []
-    for op, i, j, u, v in SequenceMatcher(None, [k[LABEL] for k in x], [k[LABEL] for k in y], autojunk=False).get_opcodes():
-        if op == "equal":
-            out += [merge(p, q, same_page) for p, q in zip(x[i:j], y[u:v], strict=True)]
-        else:  # a mismatch: what one side lacks is optional
-            for k in (*x[i:j], *y[u:v]):
-                k[OPTIONAL] = True
-                out.append(k)
-    a[KIDS] = fold(out)
-    return a
+    return nested(page_slots(e))
+
+
+def merge(a: list, b: list) -> list:
+    """The wrapper of the pages of both."""
+    return nested(add({k: list(x) for k, x in a[-1].items()}, b[-1]))
+
+
+_ELEMENTS: dict[str, Element] = {}
 
 
 def _element_of(label: str) -> Element:
-    tag, *words = label.split(".")
-    return Element(tag, tuple(words))
-
-
-def main_region(wrapper: list) -> list[str]:
-    """Labels from the root to the main region."""
-    best: list[tuple] = []
-
-    def weigh(node: list, path: tuple) -> int:
-        e = _element_of(node[LABEL])
-        if path and dropped(e, False):
-            return 0
-        here = (*path, node[LABEL])
-        total = (node[CHARS] if node[VARIES] or node[PAGES] < 3 else 0) + sum(weigh(k, here) for k in node[KIDS])
-        rank = 3 if e.tag == "article" else 2 if e.tag == "main" or "main" in e.words else 1 if e.tag in ("div", "section") and MAIN_WORDS.intersection(e.words) else 0
-        best.append((rank, total, here, node))
-        return total
-
-    total = weigh(wrapper, ())
-    named = [b for b in best if b[0] and b[1] >= 0.2 * max(total, 1)]
+    if label not in _ELEMENTS:
+        if len(_ELEMENTS) > SLOTS_HELD:
+            _ELEMENTS.clear()
+        tag, *words = label.split(".")
+        _ELEMENTS[label] = Element(tag, tuple(words))
+    return _ELEMENTS[label]
+
+
+def _rank(e: Element) -> int:
+    if e.tag == "article":
+        return 3
+    if e.tag == "main" or "main" in e.words:
+        return 2
+    return 1 if e.tag in ("div", "section") and MAIN_WORDS.intersection(e.words) else 0
+
+
+def main_region(slots: dict[int, list]) -> tuple[int, list[int]]:
+    """(key of the main region, keys of the slots in it whose text is the site's own)."""
+    down = sorted(slots, key=lambda k: (slots[k][DEPTH], k))
+    top = down[0]
+    live, kids = {top}, {}
+    for key in down[1:]:
+        parent = slots[key][PARENT]
+        if parent in live and not dropped(_element_of(slots[key][LABEL]), False):
+            live.add(key)
+            kids.setdefault(parent, []).append(key)
+    weight: dict[int, int] = {}
+    for key in reversed(down):  # varying text that isn't in links, with all below
+        if key in live:
+            x = slots[key]
+            own = max(0, x[CHARS] - x[LINKED]) if x[LEAST] != x[MOST] or x[PAGES] < 3 else 0
+            weight[key] = own + sum(weight[k] for k in kids.get(key, ()))
+    total = max(weight[top], 1)
+    named = [(_rank(_element_of(slots[k][LABEL])), weight[k], slots[k][DEPTH], k) for k in live if weight[k] >= 0.2 * total and _rank(_element_of(slots[k][LABEL]))]
     if named:
-        top = max(b[0] for b in named)
-        return list(max((b for b in named if b[0] == top), key=lambda b: (b[1], len(b[2])))[2])
-    weight = {b[2]: b[1] for b in best}
-    path, node = (wrapper[LABEL],), wrapper
-    while True:  # down to the last element that holds most of the text
-        kids = [(weight.get((*path, k[LABEL]), 0), k) for k in node[KIDS]]
-        heavy = max(kids, key=lambda x: x[0], default=(0, None))
-        if heavy[1] is None or heavy[0] < 0.7 * max(weight[path], 1) or _element_of(heavy[1][LABEL]).tag in ("p", "h1", "h2", "h3", "li", "pre"):
-            return list(path)
-        node = heavy[1]
-        path = (*path, node[LABEL])
-
-
-def regions(root: Element, path: list[str]) -> list[Element]:
-    """Elements of the page on the wrapper's path; more than one where it repeats."""
-    found = [root] if path and path[0] == root.label else []
-    for label in path[1:]:
-        found = [k for e in found for k in e.kids if isinstance(k, Element) and k.label == label]
+        region = max(named)[3]
+    else:  # down to the last element that holds most of the text
+        region = top
+        while heavy := max(((weight[k], k) for k in kids.get(region, ())), default=None):
+            if heavy[0] < 0.7 * max(weight[region], 1) or _element_of(slots[heavy[1]][LABEL]).tag in ("p", "h1", "h2", "h3", "li", "pre"):
+                break
+            region = heavy[1]
+    pages, inside, fixed = slots[top][PAGES], {region}, []
+    if weight[region] and slots[region][PAGES] >= FIXED_PAGES:
+        for key in down:
+            x = slots[key]
+            if x[PARENT] in inside:
+                inside.add(key)
+                if x[LEAST] == x[MOST] and x[CHARS] and x[PAGES] >= max(FIXED_PAGES, FIXED_SHARE * pages) and _element_of(x[LABEL]).tag not in OWN_WORDS:
+                    fixed.append(key)
+    return region, fixed
+
+
+def regions(root: Element, key: int) -> list[Element]:
+    """Elements of the page in the region's slot, in page order; more than one where it repeats."""
+    found, todo = [], [root]
+    while todo:
+        e = todo.pop()
+        if e.key == key:
+            found.append(e)
+        else:
+            todo += [k for k in reversed(e.kids) if isinstance(k, Element)]
     return found
 
 
-def blocks(e: Element, out: list[str], inside: bool) -> None:
-    """Texts of the blocks in page order."""
+def blocks(e: Element, inside: bool, fixed: set[int]) -> list[str]:
+    """Texts of the blocks in page order, without boilerplate and the slots in ``fixed``."""
+    out: list[str] = []
     text: list[str] = []
+    stack = [(e, iter(e.kids))]
 
-    def close() -> None:
+    def close(owner: Element) -> None:
         if text:
             t = " ".join(unescape("".join(text)).split())
-            if t:
+            if t and owner.key not in fixed:
                 out.append(t)
             text.clear()
 
-    for k in e.kids:
-        if isinstance(k, str):
-            text.append(k)
-        else:
-            close()
+    while stack:
+        owner, rest = stack[-1]
+        for k in rest:
+            if isinstance(k, str):
+                text.append(k)
+                continue
+            close(owner)
             if not dropped(k, inside):
-                blocks(k, out, inside)
-    close()
+                stack.append((k, iter(k.kids)))
+                break
+        else:
+            close(owner)
+            stack.pop()
+    return out
 
 
-def main_text(html: str | None, path: list[str] | None) -> str:
+def main_text(html: str | None, found: tuple[int, list[int]] | None) -> str:
     root = tree(html or "")
-    found = regions(root, path) if path else []
-    if not found:
-        found = regions(root, main_region(page_wrapper(root)))
-    out: list[str] = []
-    for e in found:
-        blocks(e, out, _is_main(e))
-    return "\n".join(out)
+    slots = page_slots(root)
+    if found is None or found[0] not in slots:
+        found = main_region(slots)
+    fixed = set(found[1])
+    return "\n".join(t for e in regions(root, found[0]) for t in blocks(e, e.tag in ("article", "main"), fixed))
 
 
-def _is_main(e: Element) -> bool:
-    return e.tag in ("article", "main")
+HOST = "coalesce(regexp_extract(url, '^[a-zA-Z][a-zA-Z0-9+.-]*://([^/?#]*)', 1), '')"
+_SLOT = "host string, key bigint, parent bigint, label string, depth int, pages bigint, chars bigint, linked bigint, least bigint, most bigint, place bigint, repeated boolean"
+_NAMES = [c.split()[0] for c in _SLOT.split(", ")]
+_KINDS = {"string": pa.string(), "bigint": pa.int64(), "int": pa.int32(), "boolean": pa.bool_()}
 
 
-HOST = "coalesce(regexp_extract(url, '^[a-zA-Z][a-zA-Z0-9+.-]*://([^/?#]*)', 1), '')"
+def _slot_batch(held: dict[str, dict[int, list]]) -> pa.RecordBatch:
+    rows = [(host, key, *x) for host, slots in held.items() for key, x in slots.items()]
+    cols = list(zip(*rows, strict=True)) or [()] * len(_NAMES)
+    return pa.RecordBatch.from_pydict({c.split()[0]: pa.array(v, _KINDS[c.split()[1]]) for c, v in zip(_SLOT.split(", "), cols, strict=True)})
 
 
-def _partial(batches):
-    held: dict[str, list] = {}
+def _slots(batches):
+    """Slots of a task's pages, added up by host."""
+    held: dict[str, dict[int, list]] = {}
+    n = 0
     for batch in batches:
         for host, html in zip(batch.column("host").to_pylist(), batch.column("html").to_pylist(), strict=True):
-            w = page_wrapper(tree(html or ""))
-            held[host] = merge(held[host], w) if host in held else w
-            if len(held) >= HOSTS_HELD:
-                yield _wrapper_batch(held)
-                held = {}
-    yield _wrapper_batch(held)
+            mine = held.setdefault(host, {})
+            n -= len(mine)
+            n += len(add(mine, page_slots(tree(html or ""))))
+            if n >= SLOTS_HELD:
+                yield _slot_batch(held)
+                held, n = {}, 0
+    yield _slot_batch(held)
 
 
-def _wrapper_batch(held: dict[str, list]) -> pa.RecordBatch:
-    return pa.RecordBatch.from_pydict({"host": pa.array(list(held), pa.string()), "wrapper": pa.array([json.dumps(w) for w in held.values()], pa.string())})
+def wrappers(pages: DataFrame, html: str = "html") -> DataFrame:
+    """Slots of each host's wrapper: those on ``COMMON`` of its pages or more, the others can't be its region."""
+    rows = pages.select(F.expr(HOST).alias("host"), F.col(html).alias("html"))
+    made = rows.mapInArrow(_slots, _SLOT)
+    sums = [F.sum(c).alias(c) for c in ("pages", "chars", "linked", "place")]
+    slots = made.groupBy("host", "key").agg(F.first("parent").alias("parent"), F.first("label").alias("label"), F.first("depth").alias("depth"), *sums, F.min("least").alias("least"), F.max("most").alias("most"), F.max("repeated").alias("repeated"))
+    slots = store.materialize(slots.select(*_NAMES), "slots")
+    total = slots.where("depth = 0").select("host", F.col("pages").alias("total"))
+    return slots.join(total, "host").where(F.col("pages") >= COMMON * F.col("total")).select(*_NAMES)
 
 
-def _meet(batches):
-    """Partial wrappers come sorted by host; one host is held at a time."""
-    host, held, out = None, None, []
-    for batch in batches:
-        for h, raw in zip(batch.column("host").to_pylist(), batch.column("wrapper").to_pylist(), strict=True):
-            w = json.loads(raw)
-            if h == host:
-                held = merge(held, w)
-                continue
-            if held is not None:
-                out.append((host, json.dumps(main_region(held)), json.dumps(held)))
-            host, held = h, w
-        if out:
-            yield pa.RecordBatch.from_pydict(dict(zip(("host", "path", "wrapper"), (pa.array(c, pa.string()) for c in zip(*out, strict=True)), strict=True)))
-            out = []
-    if held is not None:
-        yield pa.RecordBatch.from_pydict({"host": pa.array([host]), "path": pa.array([json.dumps(main_region(held))]), "wrapper": pa.array([json.dumps(held)])})
+def host_regions(slots: DataFrame) -> DataFrame:
+    """(host, found): JSON of the main region and the site's own slots in it."""
+    row = F.struct(*_NAMES[1:])
+    hosts = slots.groupBy("host").agg(F.collect_list(row).alias("slots"))  # no more slots than some pages have
 
+    def work(batches):
+        for batch in batches:
+            found = []
+            for rows in batch.column("slots").to_pylist():
+                found.append(json.dumps(main_region({r["key"]: [r[c] for c in _NAMES[2:]] for r in rows})))
+            yield pa.RecordBatch.from_pydict({"host": batch.column("host"), "found": pa.array(found, pa.string())})
 
-def wrappers(pages: DataFrame, html: str = "html") -> DataFrame:
-    """host, path (JSON: labels down to the main region) and wrapper (JSON)."""
-    rows = pages.select(F.expr(HOST).alias("host"), F.col(html).alias("html"))
-    parts = rows.mapInArrow(_partial, "host string, wrapper string")
-    return parts.repartition("host").sortWithinPartitions("host").mapInArrow(_meet, "host string, path string, wrapper string")
+    return hosts.mapInArrow(work, "host string, found string")
 
 
 def extract(pages: DataFrame, html: str = "html") -> DataFrame:
     """pages without ``html``, plus ``text`` and ``n_chars``."""
-    paths = store.materialize(wrappers(pages, html).select("host", "path"), "wrappers")
-    df = pages.drop("text", "n_chars", "host", "path").withColumn("host", F.expr(HOST))
+    found = store.materialize(host_regions(wrappers(pages, html)), "wrappers")
+    df = pages.drop("text", "n_chars", "host", "found").withColumn("host", F.expr(HOST))
     kept = [f for f in df.schema.fields if f.name not in ("host", html)]
-    joined = df.join(paths, "host", "left")
+    joined = df.join(found, "host", "left")
 
     def work(batches):
-        parsed: dict[str | None, list | None] = {None: None}
+        parsed: dict[str | None, tuple | None] = {None: None}
         for batch in batches:
             texts = []
-            for raw, path in zip(batch.column(html).to_pylist(), batch.column("path").to_pylist(), strict=True):
-                if path not in parsed:
+            for raw, told in zip(batch.column(html).to_pylist(), batch.column("found").to_pylist(), strict=True):
+                if told not in parsed:
                     if len(parsed) > HOSTS_HELD:
                         parsed = {None: None}
-                    parsed[path] = json.loads(path)
-                texts.append(main_text(raw, parsed[path]))
+                    parsed[told] = json.loads(told)
+                texts.append(main_text(raw, parsed[told]))
             made = {"text": pa.array(texts, pa.string()), "n_chars": pa.array([len(t) for t in texts], pa.int64())}
             yield pa.RecordBatch.from_pydict({f.name: batch.column(f.name) for f in kept} | made)
 
