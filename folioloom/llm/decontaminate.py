@@ -14,7 +14,8 @@
 Items are searched in blocks of ``ITEMS_AT_ONCE``, so a benchmark of any size is held in part.
 
 Defined cases: null and empty texts hold nothing; items without words are never found; an
-empty benchmark or corpus gives no leaks; repeated rows and further columns pass through.
+empty benchmark or corpus gives no leaks; repeated rows and further columns pass through; ids of
+items may be of any type.  Terms in over 1 % of all passages weigh nothing in the latent space.
 """
 
 from __future__ import annotations
@@ -24,13 +25,17 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from folioloom.llm.suffix_dedup import _Powers
 
 TERMS, RANK, KEPT_RANK, PASSAGE, STEP = 1 << 14, 40, 32, 64, 8
 PART = 1 << 13
+#: Sums of parts meet in two steps, the first in so many places, so that no task reads every task's part.
+SALTS = 64
 ITEMS_AT_ONCE = 5000
-DOCS_AT_ONCE = 500
+#: Bounds of a task's memory: texts and bytes of texts at once, and windows that meet the items at once.
+DOCS_AT_ONCE, BYTES_AT_ONCE, WINDOWS_AT_ONCE = 500, 4_000_000, 8192
 
 
 #: Lower case of each byte that words are made of (ASCII letters and digits, all of UTF-8 beyond), else 0.
@@ -68,10 +73,17 @@ def _bytes(batch, name: str) -> list[bytes | None]:
     return pc.cast(batch.column(name), pa.binary()).to_pylist()
 
 
-def _slices(batches):
+def _slices(batches, name: str = "text"):
+    """Parts of the batches of few texts and few bytes; a very long text is a part of its own."""
     for batch in batches:
-        for at in range(0, batch.num_rows, DOCS_AT_ONCE):
-            yield batch.slice(at, DOCS_AT_ONCE)
+        size = pc.fill_null(pc.cast(pc.binary_length(batch.column(name)), pa.int64()), 0).to_numpy(zero_copy_only=False)
+        ends = np.cumsum(size)
+        at = 0
+        while at < batch.num_rows:
+            upto = int(np.searchsorted(ends, (ends[at - 1] if at else 0) + BYTES_AT_ONCE, "right"))
+            upto = min(max(upto, at + 1), at + DOCS_AT_ONCE)
+            yield batch.slice(at, upto - at)
+            at = upto
 
 
 def _parts(values: np.ndarray):
@@ -92,7 +104,9 @@ def summed(parts: DataFrame, size: int) -> np.ndarray:
             yield pa.RecordBatch.from_pydict({"part": pa.array([k], pa.int32()), "sums": pa.array([v.tobytes()], pa.binary())})
 
     out = np.zeros(size)
-    for row in parts.repartition("part").mapInArrow(add, "part int, sums binary").collect():
+    kind = "part int, sums binary"
+    salted = parts.withColumn("salt", F.pmod(F.spark_partition_id(), F.lit(SALTS))).repartition("part", "salt").select("part", "sums").mapInArrow(add, kind)
+    for row in salted.repartition("part").mapInArrow(add, kind).collect():
         v = np.frombuffer(bytes(row["sums"]))
         out[row["part"] * PART : row["part"] * PART + len(v)] += v
     return out
@@ -197,8 +211,6 @@ def _masks(ids: list[int]) -> dict[int, int]:
     return out
 
 
-#: Items with fewer words of weight are looked up by three words in a row only.
-TELLING = 4
 #: Bits of a triple by which most of a text's triples are told from those of items.
 TRIPLE_BITS = 22
 
@@ -222,17 +234,14 @@ class Items:
         self.live = np.abs(table).sum(axis=1) > 0
         self.keys, self.words, self.answers = [], [], []
         self.triples: dict[int, list[int]] = {}  # three words in a row -> items
-        self.plain: set[int] = set()  # items with few telling words
         by: dict[int, list[int]] = {}
         vectors = []
         for (key, _), end, m in zip(rows, ends.tolist(), n.tolist(), strict=True):
             if not m:
                 continue
             own = ids[end - m : end].tolist()
-            if self.live[np.array(own) % TERMS].sum() >= TELLING:
+            if self.live[np.array(own) % TERMS].any():  # else its vector is zero, and no window is near it
                 by.setdefault(max(1, round(m / STEP)), []).append(len(self.keys))
-            else:
-                self.plain.add(len(self.keys))
             for h in np.unique(triples(np.array(own, np.int32))).tolist():
                 self.triples.setdefault(h, []).append(len(self.keys))
             self.keys.append(key)
@@ -264,9 +273,9 @@ class Items:
 
 
 def flag(documents: DataFrame, benchmark: DataFrame, text: str = "text", cosine: float = 0.75, copy: float = 0.75, paraphrase: float = 0.6, answer: int = 8) -> DataFrame:
-    """documents plus ``leaks``: an array of (item_id, share, cosine), one of each item found.
+    """documents plus ``leaks``: an array of (item_id, share, cosine), one of each item found; ids keep their type.
 
-    The cosine is null where only three words in a row led to the item, 1 if it has few telling words.
+    The cosine is null where only three words in a row led to the item.
     """
     df = documents.drop("leaks")
     texts = df.select(F.col(f"`{text}`").alias("text")).where("text IS NOT NULL")
@@ -277,12 +286,13 @@ def flag(documents: DataFrame, benchmark: DataFrame, text: str = "text", cosine:
     total = items.count()
     blocks = max(1, -(-total // ITEMS_AT_ONCE))
     kept = df.schema.fields
-    kind = pa.list_(pa.struct([("item_id", pa.int64()), ("share", pa.float64()), ("cosine", pa.float64())]))
+    id_type = benchmark.schema["item_id"].dataType
+    kind = pa.list_(pa.struct([("item_id", to_arrow_type(id_type)), ("share", pa.float64()), ("cosine", pa.float64())]))
 
     def search(rows):
         def work(batches):
             known = Items(rows, table, copy, paraphrase, answer)
-            for batch in _slices(batches):
+            for batch in _slices(batches, text):
                 ids, n = words(_bytes(batch, text))
                 found: list[dict] = [{} for _ in range(batch.num_rows)]
                 if len(ids) and known.keys:
@@ -294,7 +304,7 @@ def flag(documents: DataFrame, benchmark: DataFrame, text: str = "text", cosine:
 
         return work
 
-    schema = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in kept) + "leaks array<struct<item_id:bigint,share:double,cosine:double>>"
+    schema = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in kept) + "leaks array<struct<item_id:" + id_type.simpleString() + ",share:double,cosine:double>>"
     out = df
     for b in range(blocks):
         part = items.where(F.pmod(F.xxhash64("item_id", "item_text"), F.lit(blocks)) == b)
@@ -314,20 +324,22 @@ def _find(ids: np.ndarray, n: np.ndarray, table: np.ndarray, known: Items, found
     word_end = np.append(starts[1:], len(ids))
     for size, (which, vectors) in known.by_size.items():
         end = np.minimum(np.arange(len(owner)) + size, text_end)
-        w = (sums[end] - sums[:-1]).astype(np.float32)
-        w /= np.maximum(np.linalg.norm(w, axis=1, keepdims=True), 1e-12)
-        near = w @ vectors.T
-        at, k = np.nonzero(near >= cosine)
-        order = np.argsort(-near[at, k], kind="stable")
-        for b, j in zip(at[order].tolist(), k[order].tolist()):
-            item, text = int(which[j]), int(owner[b])
-            if item in found[text]:
-                continue
-            lo = starts[b - 1] if b and owner[b - 1] == text else starts[b]
-            e = min(int(end[b]) + 1, int(text_end[b])) - 1
-            share = known.check(item, ids[lo : word_end[e]].tolist())
-            if share:
-                found[text][item] = (share, float(near[b, j]))
+        for first in range(0, len(owner), WINDOWS_AT_ONCE):
+            some = slice(first, min(first + WINDOWS_AT_ONCE, len(owner)))
+            w = (sums[end[some]] - sums[some]).astype(np.float32)
+            w /= np.maximum(np.linalg.norm(w, axis=1, keepdims=True), 1e-12)
+            near = w @ vectors.T
+            at, k = np.nonzero(near >= cosine)
+            order = np.argsort(-near[at, k], kind="stable")
+            for b, j in zip((at[order] + first).tolist(), k[order].tolist()):
+                item, text = int(which[j]), int(owner[b])
+                if item in found[text]:
+                    continue
+                lo = starts[b - 1] if b and owner[b - 1] == text else starts[b]
+                e = min(int(end[b]) + 1, int(text_end[b])) - 1
+                share = known.check(item, ids[lo : word_end[e]].tolist())
+                if share:
+                    found[text][item] = (share, float(near[b - first, j]))
 
 
 def op9_decontamination(spark, sf_dir: str) -> DataFrame:
@@ -356,4 +368,4 @@ def _find_triples(ids: np.ndarray, n: np.ndarray, known: Items, found: list[dict
                 continue
             lo, hi = max(int(ends[text] - n[text]), p - size), min(int(ends[text]), p + size + 2)
             if share := known.check(k, ids[lo:hi].tolist()):
-                found[text][k] = (share, 1.0 if k in known.plain else None)
+                found[text][k] = (share, None)
