@@ -12,8 +12,8 @@ Only a bounded sample of labelled rows is fitted (``per_class`` documents of eac
 over ``longest`` characters, by a hash of the text); every document is scored whole.
 
 Defined cases: null and empty texts get the score of a text without toxic tokens; without
-labelled toxic rows the field finds nothing; repeated rows and further columns pass through;
-an empty table gives an empty result.
+labelled toxic rows the field finds nothing; where labels of one document or one text clash, it
+is toxic; repeated rows and further columns pass through; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -30,7 +30,8 @@ from pyspark.sql import functions as F
 
 TOKENS_KEPT = 200_000
 DOCS_AT_ONCE = 1000
-CHAIN = 100
+#: Tokens that a chain steps through at once; longer chains go in pieces that exchange messages.
+STEPS = 100
 _EDGE = re.compile(r"^[\W_]+|[\W_]+$")
 _END = re.compile(r"[.!?]")
 
@@ -39,44 +40,101 @@ def normal(token: str) -> str:
     return _EDGE.sub("", token).lower()
 
 
+def _pieces(starts: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(starts, lengths, chain, turn) of pieces of up to ``STEPS`` tokens that make up the chains."""
+    count = -(-lengths // STEPS)
+    chain = np.repeat(np.arange(len(starts)), count)
+    turn = np.arange(len(chain)) - np.repeat(np.cumsum(count) - count, count)
+    at = starts[chain] + STEPS * turn
+    return at, np.minimum(STEPS, starts[chain] + lengths[chain] - at), chain, turn
+
+
+def _messages(x: np.ndarray, at: np.ndarray, n: np.ndarray, chain: np.ndarray, turn: np.ndarray, t: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For each piece P(state 1) of the token before it, and the share of state 1 in what follows its last token.
+
+    The steps of a piece multiply into one 2 x 2 matrix, so that a chain takes a step a piece.
+    """
+    before, after = np.full(len(at), 0.5), np.full(len(at), 0.5)
+    later = np.flatnonzero(turn > 0)
+    m = np.broadcast_to(np.eye(2), (len(later), 2, 2)).copy()
+    for k in range(int(n[later].max(initial=0))):
+        go = np.flatnonzero(n[later] > k)
+        step = t[None] * np.stack([np.ones(len(go)), x[at[later[go]] + k]], axis=1)[:, None, :]
+        m[go] = m[go] @ step
+        m[go] /= m[go].sum(axis=(1, 2), keepdims=True)
+    whole = np.zeros((len(at), 2, 2))
+    whole[later] = m
+    # the first piece of a chain that goes on, step by step from its beginning
+    heads = np.flatnonzero((turn == 0) & (np.append(chain[1:], -1) == chain))
+    v = np.full((len(heads), 2), 0.5)
+    v[:, 1] *= x[at[heads]]
+    v /= v.sum(axis=1, keepdims=True)
+    for k in range(1, STEPS):  # a piece that isn't the last is full
+        v = v @ t
+        v[:, 1] *= x[at[heads] + k]
+        v /= v.sum(axis=1, keepdims=True)
+    place = heads
+    while len(place):
+        place = place + 1
+        before[place] = v[:, 1]
+        v = np.einsum("ki,kij->kj", v, whole[place])
+        v /= v.sum(axis=1, keepdims=True)
+        on = np.append(chain, -1)[place + 1] == chain[place]
+        place, v = place[on], v[on]
+    place = np.flatnonzero((turn > 0) & (np.append(chain[1:], -1) != chain))  # last pieces, back to the first
+    v = np.full((len(place), 2), 0.5)
+    while len(place):
+        v = np.einsum("kij,kj->ki", whole[place], v)
+        v /= v.sum(axis=1, keepdims=True)
+        place = place - 1
+        after[place] = v[:, 1]
+        on = turn[place] > 0
+        place, v = place[on], v[on]
+    return before, after
+
+
 def marginals(e: np.ndarray, starts: np.ndarray, lengths: np.ndarray, trans: np.ndarray, pairs: bool = False):
     """(P(state 1) of each token, log Z, expected transition counts) of sequences in one flat array.
 
     ``e`` is the emission score of state 1 against state 0; ``trans`` is 2 x 2 in logs.  All
-    sequences take a step together, longest first, so that the active ones are a prefix.
+    sequences take a step together, longest first, so that the active ones are a prefix; a
+    long one goes in pieces, whose messages from both sides make the marginals those of the whole.
     """
     n = len(e)
-    order = np.argsort(-lengths, kind="stable")
-    starts, lengths = starts[order], lengths[order]
-    (t00, t01), (t10, t11) = np.exp(trans)
+    t = np.exp(trans)
+    (t00, t01), (t10, t11) = t
     x = np.exp(np.clip(e, -30, 30))
+    at, size, chain, turn = _pieces(starts, lengths)
+    before, after = _messages(x, at, size, chain, turn, t)
+    order = np.argsort(-size, kind="stable")
+    at_, lengths = at[order], size[order]
+    before, after, goes_on = before[order], after[order], turn[order] > 0
     a, b, z = np.empty(n), np.empty(n), np.empty(n)  # P(1 | prefix), share of state 1 in the suffix weight, step weight
     longest = int(lengths[0]) if len(lengths) else 0
-    active = np.searchsorted(-lengths, -np.arange(longest), "left")  # sequences longer than t
-    p = None
-    for t in range(longest):
-        at = starts[: active[t]] + t
-        if t:
-            p = p[: active[t]]
-            one, zero = (p * t11 + (1 - p) * t01) * x[at], p * t10 + (1 - p) * t00
-        else:
-            one, zero = x[at] * 0.5, np.full(len(at), 0.5)
+    active = np.searchsorted(-lengths, -np.arange(longest), "left")  # pieces longer than k
+    p = before
+    for k in range(longest):
+        here = at_[: active[k]] + k
+        p = p[: active[k]]
+        one, zero = (p * t11 + (1 - p) * t01) * x[here], p * t10 + (1 - p) * t00
+        if not k:
+            one, zero = np.where(goes_on, one, x[here] * 0.5), np.where(goes_on, zero, 0.5)
         s = one + zero
         p = one / s
-        a[at], z[at] = p, s
+        a[here], z[here] = p, s
     q = np.empty(0)
-    for t in range(longest - 1, -1, -1):
-        now = active[t]
-        at = starts[:now] + t
-        fresh = np.full(now, 0.5)
+    for k in range(longest - 1, -1, -1):
+        now = active[k]
+        here = at_[:now] + k
+        fresh = after[:now].copy()
         if len(q):
-            nxt = at[: len(q)] + 1
+            nxt = here[: len(q)] + 1
             w1 = q * x[nxt]
             w0 = 1 - q
             one, zero = t11 * w1 + t10 * w0, t01 * w1 + t00 * w0
             fresh[: len(q)] = one / (one + zero)
         q = fresh
-        b[at] = q
+        b[here] = q
     top = a * b
     post = top / (top + (1 - a) * (1 - b))
     if not pairs:
@@ -95,14 +153,9 @@ def marginals(e: np.ndarray, starts: np.ndarray, lengths: np.ndarray, trans: np.
 
 
 def sequences(ends: np.ndarray, n_docs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Starts and lengths of chains: a token that ends a sentence, or a document's last, closes one.
-
-    A sentence over ``CHAIN`` tokens is several chains.
-    """
+    """Starts and lengths of chains: a token that ends a sentence, or a document's last, closes one."""
     close = ends.astype(bool).copy()
     close[np.cumsum(n_docs)[n_docs > 0] - 1] = True
-    begun = np.maximum.accumulate(np.where(np.append(True, close[:-1]), np.arange(len(close)), 0))
-    close |= (np.arange(len(close)) - begun) % CHAIN == CHAIN - 1
     last = np.flatnonzero(close)
     starts = np.concatenate([[0], last[:-1] + 1]) if len(last) else np.empty(0, np.int64)
     return starts, last - starts + 1
@@ -297,14 +350,14 @@ HELD_OUT = "crc32(cast(doc_id AS string)) % 4 = 2"
 
 def fit_from(documents: DataFrame, labels: DataFrame, per_class: int = 1000, longest: int = 20_000) -> Field:
     """Fit on at most ``per_class`` documents of each label, from rows that aren't held out."""
-    rows = labels.where(f"NOT coalesce({HELD_OUT}, false)").where("toxic IN (0, 1)").select("doc_id", F.col("toxic").cast("int").alias("toxic")).dropDuplicates(["doc_id"])
+    rows = labels.where(f"NOT coalesce({HELD_OUT}, false)").where("toxic IN (0, 1)").groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
     shares = {r["toxic"]: r["n"] for r in rows.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     some = None
     for label in (0, 1):  # more rows than asked, for those that are too long or not there
         part = rows.where(F.col("toxic") == label).orderBy(F.xxhash64("doc_id", F.lit(5)), "doc_id").limit(2 * per_class)
         some = part if some is None else some.unionByName(part)
     texts = documents.where(f"text IS NOT NULL AND length(text) <= {longest}").select("doc_id", "text")
-    found = texts.join(F.broadcast(some), "doc_id").select("toxic", "text").dropDuplicates(["text"])
+    found = texts.join(F.broadcast(some), "doc_id").groupBy("text").agg(F.max("toxic").alias("toxic"))
     sample: list[tuple[int, str]] = []
     for label in (0, 1):
         top = found.where(F.col("toxic") == label).orderBy(F.xxhash64("text"), "text").limit(per_class)
