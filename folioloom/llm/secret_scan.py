@@ -21,6 +21,8 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from folioloom.llm.names import put_back, set_apart
+
 MARK = "￿"
 # Words beside a candidate that speak for or against a secret, and words that names are made of.
 FOR_WORDS = "token|secret|password|passwd|pwd|apikey|api_key|api-key|access_key|auth|bearer|credential|private_key"
@@ -169,7 +171,7 @@ def secret_scan(documents: DataFrame, text: str = "text", forest: Forest | None
     ``redacted`` is the text with each secret replaced by ``[SECRET]``.
     """
     forest = forest or fit_forest(labelled_findings(documents.sparkSession))
-    df = documents.drop("n_candidates", "n_secrets", "secret_spans", "redacted")
+    df, names = set_apart(documents.drop("n_candidates", "n_secrets", "secret_spans", "redacted"))
     cols = [F.col(f"`{c}`") for c in df.columns]
     t = F.col(f"`{text}`")
     clean = F.when(F.contains(t, F.lit(MARK)), F.translate(t, MARK, " ")).otherwise(t)
@@ -182,22 +184,24 @@ def secret_scan(documents: DataFrame, text: str = "text", forest: Forest | None
         lambda s: F.struct(s["i"].alias("i"), s["c"].alias("c"), *[v.cast("double").alias(k) for k, v in features(s["c"], F.get(F.col("__p"), s["i"] - 1), F.get(F.col("__p"), s["i"] + 1)).items()]),
     )
     df = df.select("*", seen.alias("__seen"))
-    scored = F.transform("__seen", lambda s: F.struct(s["i"].alias("i"), F.length(s["c"]).alias("n"), forest.score([s[k] for k in FEATURES]).alias("score")))
+    scored = F.transform("__seen", lambda s: F.struct(s["i"].alias("i"), forest.score([s[k] for k in FEATURES]).alias("score")))
     df = df.select("*", scored.alias("__scored"))
-    secrets = F.filter("__scored", lambda s: s["score"] >= threshold)
-    df = df.select("*", secrets.alias("__secrets"))
-    before = lambda i: F.aggregate(F.slice(F.col("__p"), 1, i), F.lit(0), lambda a, p: a + F.length(p))
-    spans = F.transform("__secrets", lambda s: F.struct(before(s["i"]).alias("start"), (before(s["i"]) + s["n"]).alias("end"), s["score"].alias("score")))
-    hit = F.transform("__secrets", lambda s: s["i"])
-    redacted = F.array_join(F.transform("__p", lambda p, i: F.when(F.array_contains(hit, i), F.lit("[SECRET]")).otherwise(p)), "")
+    # candidates are every second part; one pass gives the end of each part
+    ends = F.aggregate("__p", F.array(F.lit(0)), lambda a, p: F.concat(a, F.array(F.element_at(a, -1) + F.length(p))))
+    hot = F.exists("__scored", lambda s: s["score"] >= threshold)
+    df = df.select("*", F.when(hot, F.filter("__scored", lambda s: s["score"] >= threshold)).alias("__secrets"), F.when(hot, ends).alias("__ends"))
+    spans = F.transform("__secrets", lambda s: F.struct(F.get(F.col("__ends"), s["i"]).alias("start"), F.get(F.col("__ends"), s["i"] + 1).alias("end"), s["score"].alias("score")))
+    is_secret = lambda i: (i % 2 == 1) & (F.get(F.col("__scored"), F.floor(i / 2).cast("int"))["score"] >= threshold)
+    redacted = F.array_join(F.transform("__p", lambda p, i: F.when(is_secret(i), F.lit("[SECRET]")).otherwise(p)), "")
     none = F.array().cast("array<struct<start:int,end:int,score:double>>")
-    return df.select(
+    out = df.select(
         *cols,
         F.when(F.col("__seen").isNull(), 0).otherwise(F.size("__seen")).cast("long").alias("n_candidates"),
         F.when(F.col("__secrets").isNull(), 0).otherwise(F.size("__secrets")).cast("long").alias("n_secrets"),
         F.coalesce(spans, none).alias("secret_spans"),
         F.when(F.size("__secrets") > 0, redacted).otherwise(t).alias("redacted"),
     )
+    return put_back(out, names)
 
 
 def op2_secret_scan(spark, sf_dir: str) -> DataFrame:

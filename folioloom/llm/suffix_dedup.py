@@ -14,7 +14,7 @@ shuffle.  Stretches carry 64-bit hashes of core and content, which count as equa
 
 Defined cases: null texts are empty; texts shorter than ``length`` keep all bytes; a repeated
 row is a place of its own, so both rows lose what they share; null ids are rows like others;
-an empty table gives an empty result.
+an empty table gives an empty result; further columns aren't carried through.
 """
 
 from __future__ import annotations
@@ -90,7 +90,7 @@ def stretches(text: bytes, length: int):
     b = np.frombuffer(text, np.uint8)
     w = words8(b)
     grams = _mix(w[:-8] ^ (_mix(w[8:], _R) + _C1), _Q)
-    place = np.uint64((1 << 28) - 1)
+    place = np.uint64((1 << 31) - 1)  # a string is shorter
     least = (grams & ~place) | np.arange(len(grams), dtype=np.uint64)
     window, span = length - GRAM + 1, 1
     while 2 * span <= window:
