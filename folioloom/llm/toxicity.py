@@ -247,22 +247,30 @@ def toxic_stems(docs: list[list[str]], labels: list[int], surplus: float = 3.4)
     to the stem's distinct contexts, which copies of a document don't add to.
     """
     n1, n0 = max(1, sum(labels)), max(1, len(labels) - sum(labels))
-    held = (Counter(), Counter())
-    for words, label in zip(docs, labels, strict=True):
-        held[label].update(set().union(*map(stems, set(words))))
 
     def stands_out(a: float, b: float) -> bool:
         b *= n1 / n0
         return a - b >= surplus * math.sqrt(max(a + b, 1))
 
-    near = {w for w, n in held[1].items() if stands_out(n, held[0][w])}
+    def counted(label: int, among: set[str] | None) -> Counter:
+        out: Counter = Counter()
+        for words, own in zip(docs, labels, strict=True):
+            if own == label:
+                here = set().union(*map(stems, set(words)))
+                out.update(here if among is None else here & among)
+        return out
+
+    held = counted(1, None)
+    held = {w: n for w, n in held.items() if stands_out(n, 0)}
+    others = counted(0, set(held))
+    near = {w for w, n in held.items() if stands_out(n, others[w])}
     seen: dict[str, set] = defaultdict(set)
     for words, label in zip(docs, labels, strict=True):
         if label:
             for k, w in enumerate(words):
                 for x in stems(w) & near:
                     seen[x].add((words[k - 1] if k else "", words[k + 1] if k + 1 < len(words) else ""))
-    return {w for w in near if stands_out(min(held[1][w], len(seen[w])), held[0][w])}
+    return {w for w in near if stands_out(min(held[w], len(seen[w])), others[w])}
 
 
 def fit(texts: list[str], labels: list[int], prior: float | None = None, steps: int = 12, rate: float = 0.8, ridge: float = 0.5) -> Field:
@@ -280,14 +288,13 @@ def fit(texts: list[str], labels: list[int], prior: float | None = None, steps:
         return model
     at, n_docs = np.concatenate(flat), np.array([len(ids) for ids in flat], np.int64)
     count = np.bincount(at, minlength=len(kinds))
-    feats = [token_features(w, r) for w, r in zip(words, kinds, strict=True)]
     often: Counter = Counter()
-    for fs, n in zip(feats, count.tolist(), strict=True):
-        for f in fs:
+    for w, r, n in zip(words, kinds, count.tolist(), strict=True):
+        for f in token_features(w, r):
             often[f] += n
     names = {f: k + 1 for k, f in enumerate(sorted(f for f, n in often.items() if f and n >= 3))}  # 0: no weight
-    own = np.array([[names.get(f, 0) for f in fs] for fs in feats], np.int64)
-    del feats, often
+    del often
+    own = np.array([[names.get(f, 0) for f in token_features(w, r)] for w, r in zip(words, kinds, strict=True)], np.int32)
     side = own[:, 0]  # neighbours weigh by their word
     toxic = np.array([not stems(w).isdisjoint(bad) for w in words])
     y = (toxic[at] & np.repeat(np.array(labels, bool), n_docs)).astype(np.float64)
