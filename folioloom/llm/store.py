@@ -33,11 +33,16 @@ def fresh_path(spark: SparkSession, name: str) -> str:
     return path
 
 
+#: Rows that a written step hands to Python at once: its batches are then small on both sides.
+ROWS_AT_ONCE = 2000
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once as Parquet in the shared folder and return the reader of it."""
     spark = df.sparkSession
     path = fresh_path(spark, name)
-    df.write.parquet(path)
+    with arrow_rows(spark, ROWS_AT_ONCE):
+        df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -1,10 +1,11 @@
 """Suffix arrays by induced sorting, with whole buckets as array operations.
 
 Suffixes are classified as smaller (S) or larger (L) than their right neighbour.  Leftmost
-S-type substrings are sorted by one round of induction, named, and sorted recursively where
-names repeat; two linear passes then induce all other suffixes.  Over small alphabets a pass
-takes a bucket's newly placed suffixes at once, since what they induce keeps their order;
-over the names of a recursion it goes suffix by suffix.
+S-type substrings are sorted, named, and sorted recursively where names repeat; two linear
+passes then induce all other suffixes.  Over small alphabets a pass takes a bucket's newly
+placed suffixes at once, since what they induce keeps their order, and a first round of it
+sorts the substrings; over the names of a recursion it goes suffix by suffix, and substrings
+are sorted two symbols a step, only those that are still alike.
 """
 
 from __future__ import annotations
@@ -32,21 +33,55 @@ def suffix_array(t: np.ndarray, k: int) -> np.ndarray:
         return np.zeros(1, np.int64)
     s = s_types(t)
     lms = np.flatnonzero(s[1:] & ~s[:-1]) + 1
-    induce = _induce_buckets if k <= SMALL_ALPHABET else _induce_each
     sizes = np.bincount(t, minlength=k)
-    sa = induce(t, s, lms, sizes)
-    is_lms = np.zeros(n, bool)
-    is_lms[lms] = True
-    ordered = sa[is_lms[sa]]
-    names = _names(t, ordered, lms)
+    if k <= SMALL_ALPHABET:
+        induce = _induce_buckets
+        sa = induce(t, s, lms, sizes)
+        is_lms = np.zeros(n, bool)
+        is_lms[lms] = True
+        ordered = sa[is_lms[sa]]
+        del sa, is_lms
+        names = _names(t, ordered, lms)
+    else:
+        induce = _induce_each
+        ordered, names = _sorted_substrings(t, s, lms)
     m = int(names[-1]) + 1
     if m < len(lms):
-        place = np.empty(n, np.int64)
+        place = np.empty(n, np.int32)
         place[ordered] = names
-        ordered = lms[suffix_array(place[lms], m)]
+        reduced = place[lms]
+        del place, names, ordered
+        ordered = lms[suffix_array(reduced, m)]
     return induce(t, s, ordered, sizes)
 
 
+def _sorted_substrings(t: np.ndarray, s: np.ndarray, lms: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """LMS substrings in order and their ranks; symbols count with their types, so none begins another."""
+    m = len(lms)
+    typed = np.concatenate([2 * t.astype(np.int64) + s, np.zeros(2, np.int64)])
+    size = np.append(lms[1:], len(t) - 1) - lms + 1
+
+    def pair(which: np.ndarray, d: int) -> np.ndarray:
+        at = lms[which] + d
+        return (typed[at] << 32) | np.where(size[which] > d + 1, typed[at + 1], 0)
+
+    key = pair(np.arange(m), 0)
+    order = np.argsort(key, kind="stable")
+    fresh = np.append(True, np.diff(key[order]) != 0)  # where a new rank begins
+    d = 2
+    alike = np.flatnonzero(~(fresh & np.append(fresh[1:], True)))
+    while len(alike := alike[size[order[alike]] > d]):
+        which, rank = order[alike], np.cumsum(fresh)[alike]
+        key = pair(which, d)
+        by = np.lexsort((key, rank))
+        order[alike], key = which[by], key[by]
+        fresh[alike[1:]] |= (np.diff(rank) != 0) | (np.diff(key) != 0)
+        fresh[alike[0]] = True
+        alike = alike[~(fresh[alike] & np.append(fresh, True)[alike + 1])]
+        d += 2
+    return lms[order], np.cumsum(fresh) - 1
+
+
 def _names(t: np.ndarray, ordered: np.ndarray, lms: np.ndarray) -> np.ndarray:
     """Rank of each LMS substring in sorted order; equal substrings share a rank."""
     n = len(t)
@@ -68,7 +103,7 @@ def _names(t: np.ndarray, ordered: np.ndarray, lms: np.ndarray) -> np.ndarray:
 
 def _induce_buckets(t, s, ordered, sizes) -> np.ndarray:
     n, k = len(t), len(sizes)
-    sa = np.full(n, -1, np.int64)
+    sa = np.full(n, -1, np.int32)
     ends = np.cumsum(sizes)
     starts = ends - sizes
     small = np.uint8 if k <= 256 else np.uint16
@@ -129,27 +164,30 @@ def _induce_each(t, s, ordered, sizes) -> np.ndarray:
     n = len(t)
     ends = np.cumsum(sizes)
     tails, heads = ends.tolist(), (ends - sizes).tolist()
-    sym, small = t.tolist(), s.tolist()
+    # the symbol to the left of each place, where its suffix is of the type; -1 else, and for places not known yet
+    left = np.full((2, n + 1), -1, np.int32)
+    left[s[:-1].astype(np.int8), np.arange(1, n)] = t[:-1]
+    larger, smaller = left[0].tolist(), left[1].tolist()
+    del left
     sa = [-1] * n
-    for j in ordered[::-1].tolist():
-        c = sym[j]
+    for j, c in zip(ordered[::-1].tolist(), t[ordered[::-1]].tolist(), strict=True):
         tails[c] -= 1
         sa[tails[c]] = j
-    for at in range(n):
-        j = sa[at] - 1
-        if j >= 0 and not small[j]:
-            c = sym[j]
-            sa[heads[c]] = j
-            heads[c] += 1
+    for j in sa:  # sees what it has placed further on
+        c = larger[j]
+        if c >= 0:
+            at = heads[c]
+            sa[at] = j - 1
+            heads[c] = at + 1
     tails = ends.tolist()
-    for at in range(n - 1, -1, -1):
-        j = sa[at] - 1
-        if j >= 0 and small[j]:
-            c = sym[j]
-            tails[c] -= 1
-            sa[tails[c]] = j
+    for j in reversed(sa):
+        c = smaller[j]
+        if c >= 0:
+            at = tails[c] = tails[c] - 1
+            sa[at] = j - 1
+    del larger, smaller
     sa[0] = n - 1
-    return np.array(sa, np.int64)
+    return np.array(sa, np.int32)
 
 
 def permuted_lcp(t: np.ndarray, sa: np.ndarray, cap: int, fresh: np.ndarray) -> np.ndarray:

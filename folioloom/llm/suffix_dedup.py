@@ -32,7 +32,7 @@ from folioloom.llm import store
 from folioloom.llm.suffix_array import permuted_lcp, suffix_array
 
 GRAM, BLOCK = 16, 64
-SHARD_BYTES = 4_000_000
+SHARD_BYTES = 2_000_000
 _C1, _C2, _R, _Q = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F))
 
 
@@ -220,7 +220,9 @@ def repeated_spans(documents: DataFrame, id_col: str = "doc_id", text: str = "te
     spark = documents.sparkSession
     docs = _keyed(documents.select(id_col, F.col(text).alias("text")), id_col, "text").select("k", "th", "text")
     made = docs.mapInArrow(_stretch_rows(length), "k bigint, th bigint, lo int, hi int, core bigint, ctx bigint")
-    made.write.parquet(path := store.fresh_path(spark, "stretches"))
+    path = store.fresh_path(spark, "stretches")
+    with store.arrow_rows(spark, 500):  # a text has many stretches
+        made.write.parquet(path)
     rows = spark.read.schema(made.schema).parquet(path)
     # written first: the join then deals both sides anew, and a hot core can be split; the aggregate's shuffle is gone by then
     shared = rows.groupBy("core").agg(F.count("*").alias("n"), F.min("ctx").alias("least"), F.max("ctx").alias("most")).where("n > 1")
