@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import corpus_pipeline
-from folioloom.llm import bpe, decontaminate, html_extract, licenses, merkle, periodic_runs, quality, secret_scan, simhash, suffix_dedup, toxicity, warc
+from folioloom.llm import bpe, decontaminate, html_extract, licenses, lm_score, merkle, periodic_runs, quality, secret_scan, simhash, suffix_dedup, toxicity, warc
 
 _ALL = {
     "op1_quality_rules": (quality.op1_quality_rules, quality.OP1_SQL),
@@ -16,6 +16,7 @@ _ALL = {
     "op8_bpe_round_trip": (bpe.op8_bpe_round_trip, None),
     "op9_decontamination": (decontaminate.op9_decontamination, None),
     "op10_toxicity": (toxicity.op10_toxicity, None),
+    "op11_lm_score": (lm_score.op11_lm_score, None),
     "op12_periodic_runs": (periodic_runs.op12_periodic_runs, periodic_runs.OP12_SQL),
     "op13_merkle_manifest": (merkle.op13_merkle_manifest, merkle.OP13_SQL),
     "pipeline": (corpus_pipeline.run, corpus_pipeline.ORACLE_SQL),
