@@ -12,12 +12,12 @@ by expectation-maximisation on the bigrams of a deleted part of the training row
 counts of the rest; scores then take the counts of both parts.
 
 On the cluster: word counts are combined before their shuffle.  A pass over the texts packs the
-bigrams of some 1.5 million tokens into one block a bucket (every different bigram once, with the
+bigrams of some million tokens into one block a bucket (every different bigram once, with the
 documents that hold it), so what is shuffled are packed blocks and not a row for every token.
 Pairs of the ``R`` most frequent ids are only counted: their table of R x R is broadcast and
 scored where the text is, so no other bigram is more than one in R of all tokens, and no
-bucket is hot.  Words without an id of their own meet the word counts by a join; each is less than one in K
-of all tokens.  Everything broadcast has a bound: K words of 64 bytes, K + M counts, R x R numbers.  The driver
+bucket is hot.  Words without an id of their own go to buckets in the same blocks and are counted
+and scored there; each is less than one in K of all tokens.  Everything broadcast has a bound: K words of 64 bytes, K + M counts, R x R numbers.  The driver
 gets the same, and sums of the deleted bigrams by bucket and rounded log probabilities (at most
 some 64 x 256 x 256 rows, whatever the corpus).
 
@@ -33,11 +33,13 @@ import struct
 import zlib
 from collections import Counter
 from dataclasses import dataclass
+from itertools import compress, repeat
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from xxhash import xxh64_intdigest
 
 from folioloom.llm import store
 
@@ -48,7 +50,8 @@ M = IDS - K - 1
 R = 1024
 LONGEST = 64
 SPACE = 0.1
-TOKENS_A_BLOCK, TOKENS_A_BUCKET, WORDS_HELD = 1_500_000, 3_000_000, 200_000
+TOKENS_A_BLOCK, TOKENS_A_BUCKET, WORDS_HELD = 1_000_000, 3_000_000, 200_000
+SLICE = 4_000_000
 SCORED, KEPT, DELETED = 0, 1, 2
 
 
@@ -56,10 +59,6 @@ def tokens(text: bytes | None) -> list[bytes]:
     return (text or b"").lower().split()
 
 
-def rare_id(word: bytes) -> int:
-    return K + 1 + zlib.crc32(word) % M
-
-
 def pack(*arrays: np.ndarray) -> bytes:
     """Arrays as bytes, those of one rank together, compressed."""
     codec, out = pa.Codec("zstd", compression_level=1), []
@@ -138,8 +137,8 @@ def _own_id(last) -> Column:
     return (F.octet_length("word") <= LONGEST) & (F.col("word") != "") & ((c > last[0]) | (c == last[0]) & (F.col("word") <= last[1]))
 
 
-def learn_words(counts: DataFrame) -> tuple[Words, Column]:
-    """The bounded part of the word counts, and which words have an id of their own."""
+def learn_words(counts: DataFrame) -> Words:
+    """The bounded part of the word counts."""
     c = F.col("kept") + F.col("deleted")
     sums = counts.agg(F.sum("kept"), F.sum(c), F.count("*")).first()
     kept, total, types = (np.zeros(IDS, np.int64) for _ in range(3))
@@ -153,12 +152,12 @@ def learn_words(counts: DataFrame) -> tuple[Words, Column]:
     at = np.array(rest.column(0).to_pylist(), np.int64)
     if len(at):
         kept[at], total[at], types[at] = (np.array(rest.column(k).to_pylist(), np.int64) for k in (1, 2, 3))
-    return Words({w.encode(): k + 1 for k, w in enumerate(top["word"])}, kept, total, types, sums[0] or 0, sums[1] or 0, sums[2]), own
+    return Words({w.encode(): k + 1 for k, w in enumerate(top["word"])}, kept, total, types, sums[0] or 0, sums[1] or 0, sums[2])
 
 
-def _ids_of(words: list[bytes], ids: dict[bytes, int]) -> list[int]:
-    get = ids.get
-    return [get(w) or rare_id(w) for w in words]
+def _ids_of(words: list[bytes], ids: dict[bytes, int]) -> np.ndarray:
+    """Ids of their own, and -1 for words that share one."""
+    return np.fromiter(map(ids.get, words, repeat(-1)), np.int32, len(words))
 
 
 def _bucket(v: np.ndarray, w: np.ndarray, n: int) -> np.ndarray:
@@ -171,13 +170,46 @@ def _first(sorted_keys: np.ndarray) -> np.ndarray:
     return np.flatnonzero(np.concatenate(([True], sorted_keys[1:] != sorted_keys[:-1]))) if len(sorted_keys) else np.zeros(0, np.int64)
 
 
-def _block_rows(v, w, doc, part, k1, k2, n_buckets, n_salts):
-    """(bucket, payload) of one block; v, w, doc: one entry a bigram; part, k1, k2: one a document.
+def _by_bucket(bucket, key, doc, part, k1, k2):
+    """(bucket, different keys, [sizes, documents of each key, and of these documents part, k1 and k2])."""
+    order = np.argsort(bucket << (2 * BITS) | key, kind="stable")
+    bucket, key, doc = bucket[order], key[order], doc[order]
+    edge = np.append(_first(bucket), len(bucket))
+    for b, lo, hi in zip(bucket[edge[:-1]].tolist(), edge[:-1].tolist(), edge[1:].tolist(), strict=True):
+        keys, docs = key[lo:hi], doc[lo:hi]
+        at = _first(keys)
+        here, docs = np.unique(docs, return_inverse=True)
+        sizes = np.diff(np.append(at, hi - lo)).astype(np.int32)
+        yield b, keys[at], (sizes, docs.astype(np.uint16), part[here].astype(np.uint8), k1[here], k2[here])
+
+
+@dataclass(frozen=True)
+class Buckets:
+    """Bigrams have buckets from 0, words that share an id the same number after them, counts of heavy bigrams those below 0."""
+
+    n: int
+    salts: int
+    tokens_a_block: int
+
+
+def _block_rows(w, words, doc, part, k1, k2, buckets: Buckets):
+    """(bucket, payload) of one block; w, doc: one entry a token, w is -1 where ``words`` has the next one; part, k1, k2: one a document.
 
     Heavy bigrams go to buckets below 0, each of which gets the counts of a bounded number of blocks.
     """
+    rare = np.flatnonzero(w < 0)
+    numbers: dict[bytes, int] = {}
+    at = np.fromiter((numbers.setdefault(x, len(numbers)) for x in words), np.int64, len(words))
+    different = list(numbers)
+    w[rare] = (K + 1 + np.fromiter(map(zlib.crc32, different), np.int64, len(different)) % M)[at] if len(rare) else 0
+    own = buckets.n + (np.fromiter(map(xxh64_intdigest, different), np.uint64, len(different)) % np.uint64(buckets.n)).astype(np.int64)
+    for b, keys, rest in _by_bucket(own[at], at, doc[rare], part, k1, k2):
+        joined = b"\n".join([different[k] for k in keys.tolist()])
+        yield b, pack(np.frombuffer(joined, np.uint8), *rest)
+    v = np.roll(w, 1)  # the end of a text stands before the next one, and 0 is both
+    v[0] = 0
     heavy = (v < R) & (w < R)
-    salt = int(k2[0]) % n_salts * 16
+    salt = int(k2[0]) % buckets.salts * 16
     for p in (KEPT, DELETED):
         own = heavy & (part[doc] == p)
         keys, n = np.unique(v[own] << BITS | w[own], return_counts=True)
@@ -187,45 +219,47 @@ def _block_rows(v, w, doc, part, k1, k2, n_buckets, n_salts):
                 zero = np.zeros(here.sum(), np.int64)
                 yield -1 - s - salt, pack(keys[here], *((n[here], zero) if p == KEPT else (zero, n[here])))
     v, w, doc = v[~heavy], w[~heavy], doc[~heavy]
-    bucket, key = _bucket(v, w, n_buckets), v << BITS | w
-    order = np.lexsort((key, bucket))
-    bucket, key, doc = bucket[order], key[order], doc[order]
-    edge = np.append(_first(bucket), len(bucket))
-    for b, lo, hi in zip(bucket[edge[:-1]].tolist(), edge[:-1].tolist(), edge[1:].tolist(), strict=True):
-        keys, docs = key[lo:hi], doc[lo:hi]
-        at = _first(keys)
-        here, docs = np.unique(docs, return_inverse=True)
-        sizes = np.diff(np.append(at, hi - lo)).astype(np.int32)
-        yield b, pack(np.diff(keys[at], prepend=0), sizes, docs.astype(np.uint16), part[here].astype(np.uint8), k1[here], k2[here])
+    for b, keys, rest in _by_bucket(_bucket(v, w, buckets.n), v << BITS | w, doc, part, k1, k2):
+        yield b, pack(np.diff(keys, prepend=0), *rest)
 
 
-def _blocks(rows: DataFrame, words, n_buckets: int, n_salts: int, tokens_a_block: int) -> DataFrame:
-    """(bucket, payload): the bigrams of every text, packed."""
+def _blocks(rows: DataFrame, words, buckets: Buckets) -> DataFrame:
+    """(bucket, payload): the bigrams and the rarer words of every text, packed."""
 
     def work(batches):
         ids = words.value.ids
         held: list = []
+        shared: list[bytes] = []
         size = 0
 
         def flush():
-            lengths = np.array([len(x[3]) + 1 for x in held])
-            w = np.concatenate([np.array([*x[3], 0], np.int64) for x in held])
-            v = np.roll(w, 1)  # the end of a text stands before the next one, and 0 is both
-            v[0] = 0
+            lengths = np.array([len(x[3]) for x in held])
             doc = np.repeat(np.arange(len(held)), lengths)
             columns = [np.array([x[k] for x in held], np.int64) for k in range(3)]
-            found = list(_block_rows(v, w, doc, *columns, n_buckets, n_salts))
-            for k in range(0, len(found), 64):
-                some = found[k : k + 64]
-                yield pa.RecordBatch.from_arrays([pa.array([b for b, _ in some], pa.int32()), pa.array([p for _, p in some], pa.binary())], ["bucket", "payload"])
+            made = _block_rows(np.concatenate([x[3] for x in held]).astype(np.int64), shared, doc, *columns, buckets)
+            some: list = []
+            for found in made:
+                some.append(found)
+                if len(some) == 64:
+                    yield batch_of(some)
+            if some:
+                yield batch_of(some)
             held.clear()
+            shared.clear()
+
+        def batch_of(some):
+            out = pa.RecordBatch.from_arrays([pa.array([b for b, _ in some], pa.int32()), pa.array([p for _, p in some], pa.binary())], ["bucket", "payload"])
+            some.clear()
+            return out
 
         for batch in batches:
             for part, k1, k2, text in zip(*[batch.column(c).to_pylist() for c in ("part", "k1", "k2")], _texts(batch), strict=True):
-                found = np.array(_ids_of(tokens(text), ids), np.int32)
-                held.append((part, k1, k2, found))
-                size += len(found) + 1
-                if size > tokens_a_block or len(held) == 65_535:
+                found = tokens(text)
+                w = np.append(_ids_of(found, ids), np.int32(0))
+                shared += compress(found, (w < 0).tolist())
+                held.append((part, k1, k2, w))
+                size += len(w)
+                if size > buckets.tokens_a_block or len(held) == 65_535:
                     yield from flush()
                     size = 0
         if held:
@@ -257,28 +291,47 @@ MERGED = "kind string, payload binary, code long, n double, p2 double, p1 double
 _NAMES = ("kind", "payload", "code", "n", "p2", "p1")
 
 
-def _merged(payloads, bucket: int, words: Words):
+def _together(blocks):
+    """Documents of all occurrences in the order of the blocks, and part, k1 and k2 by document."""
+    shifts = np.cumsum([0] + [len(b[-3]) for b in blocks[:-1]]).tolist()
+    docs = np.concatenate([b[-4].astype(np.int32) + shift for b, shift in zip(blocks, shifts, strict=True)])
+    return docs, *(np.concatenate([b[k] for b in blocks]) for k in (-3, -2, -1))
+
+
+def _words_merged(blocks, words: Words) -> bytes:
+    """Sums by document over its words of one bucket: how many are known, and both scores."""
+    numbers: dict[bytes, int] = {}
+    at = np.concatenate([np.repeat(np.fromiter((numbers.setdefault(x, len(numbers)) for x in b[0].tobytes().split(b"\n")), np.int64, len(b[1])), b[1]) for b in blocks])
+    docs, part, k1, k2 = _together(blocks)
+    ids = np.fromiter(map(zlib.crc32, numbers), np.int64, len(numbers)) % M + (K + 1)
+    count = np.bincount(at, part[docs] != SCORED, len(ids))
+    share = np.log10((count + SPACE) / (words.total[ids] + SPACE * (words.types[ids] + 1)))
+    sums = [np.bincount(docs, x[at], len(part)) for x in ((count > 0).astype(np.float64), words.base(count), share)]
+    return pack(k1, k2, *sums)
+
+
+def _merged(payloads, bucket: int, words: Words, buckets: Buckets):
     """Rows of MERGED for one bucket's blocks: its bigrams' counts with the documents that hold them (light), the counts
-    of deleted ones (deleted: code, n, p2, p1), or counts alone (heavy: code, p2 for kept, p1 for deleted)."""
+    of deleted ones (deleted: code, n, p2, p1), counts alone (heavy: code, p2 for kept, p1 for deleted), or sums over words (words)."""
     blocks = [unpack(p) for p in payloads]
     if bucket < 0:
         key, at = np.unique(np.concatenate([b[0] for b in blocks]), return_inverse=True)
         kept, deleted = (np.bincount(at, np.concatenate([b[k] for b in blocks])).tolist() for k in (1, 2))
         return [("heavy", None, k, None, a, b) for k, a, b in zip(key.tolist(), kept, deleted, strict=True)]
+    if bucket >= buckets.n:
+        return [("words", _words_merged(blocks, words), None, None, None, None)]
     keys = np.concatenate([np.repeat(np.cumsum(b[0]), b[1]) for b in blocks])
-    docs = np.concatenate([b[2].astype(np.int32) + shift for b, shift in zip(blocks, np.cumsum([0] + [len(b[3]) for b in blocks[:-1]]).tolist(), strict=True)])
-    part, k1, k2 = (np.concatenate([b[k] for b in blocks]) for k in (3, 4, 5))
+    docs, part, k1, k2 = _together(blocks)
     del blocks
     order = np.argsort(keys, kind="stable")
     keys, docs = keys[order], docs[order]
+    del order
     at = _first(keys)
-    role = part[docs]
-    kept, deleted = (np.add.reduceat((role == p).astype(np.int64), at) for p in (KEPT, DELETED))
+    kept, deleted = (np.add.reduceat(part[docs] == p, at, dtype=np.int64) for p in (KEPT, DELETED))
     key, end = keys[at], np.append(at[1:], len(keys))
     out = [("deleted", None, *x) for x in zip(*[a.tolist() for a in _deleted_sums(key, kept, deleted, words)], strict=True)]
-    # A row holds whole bigrams while it is small; one bigram's documents go on in further rows.
-    for lo in range(0, len(keys), 400_000):
-        hi = min(lo + 400_000, len(keys))
+    for lo in range(0, len(keys), SLICE):  # a bigram whose documents fill more than a row goes on in the next
+        hi = min(lo + SLICE, len(keys))
         a, b = int(np.searchsorted(end, lo, "right")), int(np.searchsorted(at, hi, "left"))
         sizes = np.minimum(end[a:b], hi) - np.maximum(at[a:b], lo)
         here, local = np.unique(docs[lo:hi], return_inverse=True)
@@ -286,9 +339,9 @@ def _merged(payloads, bucket: int, words: Words):
     return out
 
 
-def _merge(blocks: DataFrame, words) -> DataFrame:
+def _merge(blocks: DataFrame, words, buckets: Buckets) -> DataFrame:
     def work(key, table):
-        rows = _merged(table.column("payload").to_pylist(), key[0].as_py(), words.value)
+        rows = _merged(table.column("payload").to_pylist(), key[0].as_py(), words.value, buckets)
         return pa.table({c: pa.array([r[k] for r in rows], t) for k, (c, t) in enumerate(zip(_NAMES, (pa.string(), pa.binary(), pa.int64(), *[pa.float64()] * 3), strict=True))})
 
     return blocks.groupBy("bucket").applyInArrow(work, MERGED)
@@ -330,58 +383,50 @@ def log_mixture(count: np.ndarray, v: np.ndarray, w: np.ndarray, words: Words, w
     return np.log10(lam[:, 0] * count / np.maximum(context, 1) + lam[:, 1] * words.total[w] / max(words.n_total, 1) + lam[:, 2] / IDS)
 
 
-PART = "k1 long, k2 long, n_copies long, doc_id long, held_out boolean, n_tokens long, n_known long, base double, score double, word string, n long, id_total double"
+PART = "k1 long, k2 long, n_copies long, doc_id long, held_out boolean, n_tokens long, n_known double, base double, score double"
+_PARTS = ("k1", "k2", "n_copies", "doc_id", "held_out", "n_tokens", "n_known", "base", "score")
 
 
-def _light_scores(merged: DataFrame, words, weights: np.ndarray) -> DataFrame:
-    """(k1, k2, light): log probability of a document's light bigrams, in parts."""
+def _bucket_parts(merged: DataFrame, words, weights: np.ndarray) -> DataFrame:
+    """(k1, k2, n_known, base, score): what one bucket's bigrams and words add to a document."""
 
     def work(batches):
         known = words.value
         for batch in batches:
-            for payload in batch.column("payload").to_pylist():
-                key, count, sizes, docs, k1, k2 = unpack(payload)
-                key = np.cumsum(key)
-                logs = log_mixture(count, key >> BITS, key & (IDS - 1), known, weights)
-                total = np.bincount(docs, np.repeat(logs, sizes), len(k1))
-                yield pa.RecordBatch.from_arrays([pa.array(k1), pa.array(k2), pa.array(total)], ["k1", "k2", "light"])
+            for kind, payload in zip(batch.column("kind").to_pylist(), batch.column("payload").to_pylist(), strict=True):
+                if kind == "words":
+                    k1, k2, *sums = unpack(payload)
+                else:
+                    key, count, sizes, docs, k1, k2 = unpack(payload)
+                    key = np.cumsum(key)
+                    logs = log_mixture(count, key >> BITS, key & (IDS - 1), known, weights)
+                    none = np.zeros(len(k1))
+                    sums = [none, none, np.bincount(docs, np.repeat(logs, sizes), len(k1))]
+                for lo in range(0, len(k1), 50_000):
+                    yield pa.RecordBatch.from_arrays([pa.array(x[lo : lo + 50_000]) for x in (k1, k2, *sums)], ["k1", "k2", "n_known", "base", "score"])
 
-    return merged.where("kind = 'light'").select("payload").mapInArrow(work, "k1 long, k2 long, light double")
+    return merged.where("kind IN ('light', 'words')").select("kind", "payload").mapInArrow(work, "k1 long, k2 long, n_known double, base double, score double")
 
 
 def _text_parts(rows: DataFrame, words, heavy) -> DataFrame:
-    """A row a document with what the broadcast tables tell of it, and a row for each of its words that share an id."""
-    names = [c.split()[0] for c in PART.split(", ")]
-    types = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.string(), pa.int64(), pa.float64()]
+    """A row a document with what the broadcast tables tell of it."""
+    types = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.bool_(), pa.int64(), pa.float64(), pa.float64(), pa.float64()]
 
     def work(batches):
         known, logs = words.value, heavy.value
         base = known.base(known.total)
         share = np.log10((known.total + SPACE) / (known.total + SPACE * (known.types + 1)))
         share[0] = 0.0  # the end is all of its id
-        out: list[tuple] = []
-
-        def flush():
-            yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in out], t) for k, t in enumerate(types)], names)
-            out.clear()
-
+        seen = (known.total > 0).astype(np.float64)
         for batch in batches:
+            out: list[tuple] = []
             for part, doc_id, k1, k2, text in zip(*[batch.column(c).to_pylist() for c in ("part", "doc_id", "k1", "k2")], _texts(batch), strict=True):
-                found = tokens(text)
-                w = np.array([*_ids_of(found, known.ids), 0], np.int64)
-                v = np.concatenate(([0], w[:-1]))
-                own, dense = w <= K, (v < R) & (w < R)
-                n_known = int((own & (known.total[w] > 0)).sum())
-                score = float(logs[v[dense], w[dense]].sum() + share[w[own]].sum())
-                out.append((k1, k2, 1, doc_id, part == SCORED, len(w), n_known, float(base[w[own]].sum()), score, f" {k1} {k2}", 0, 1.0))
-                for word, n in Counter([found[k] for k in np.flatnonzero(~own)]).items():
-                    c = rare_id(word)
-                    den = float(known.total[c] + SPACE * (known.types[c] + 1))
-                    out.append((k1, k2, 0, None, None, 0, 0, 0.0, 0.0, word.decode("utf-8", "replace"), n, den))
-                if len(out) > 20_000:
-                    yield from flush()
-        if out:
-            yield from flush()
+                w = np.append(_ids_of(tokens(text), known.ids), np.int32(0))
+                v = np.roll(w, 1)
+                own, dense = w[w >= 0], (v < R) & (w < R) & (v >= 0) & (w >= 0)
+                score = float(logs[v[dense], w[dense]].sum() + share[own].sum())
+                out.append((k1, k2, 1, doc_id, part == SCORED, len(w), float(seen[own].sum()), float(base[own].sum()), score))
+            yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in out], t) for k, t in enumerate(types)], list(_PARTS))
 
     return rows.select("part", "doc_id", "k1", "k2", "text").mapInArrow(work, PART)
 
@@ -398,27 +443,18 @@ def lm_scores(documents: DataFrame, held_out: Column, deleted: Column, tokens_a_
     key = F.xxhash64(F.col("doc_id").isNull(), F.coalesce("text", F.lit("")))
     rows = documents.select("doc_id", "text", part.alias("part"), F.coalesce("doc_id", F.lit(0)).cast("long").alias("k1"), key.alias("k2"))
     with store.arrow_rows(spark, 500):
-        counts = store.materialize(_word_counts(rows), "words")
-        known, own = learn_words(counts)
+        known = learn_words(store.materialize(_word_counts(rows), "words"))
         words = broadcast(known)
-        n_buckets, n_salts = max(1, -(-known.n_total // tokens_a_bucket)), 1 + known.n_total // (256 * tokens_a_block)
+        buckets = Buckets(max(1, -(-known.n_total // tokens_a_bucket)), 1 + known.n_total // (256 * tokens_a_block), tokens_a_block)
     with store.arrow_rows(spark, 32):
-        merged = store.materialize(_merge(_blocks(rows, words, n_buckets, n_salts, tokens_a_block), words), "bigrams")
+        merged = store.materialize(_merge(_blocks(rows, words, buckets), words, buckets), "bigrams")
     weights, heavy = _learned(merged, known)
-    parts = _text_parts(rows, words, broadcast(heavy))
-    c = F.coalesce(F.col("kept") + F.col("deleted"), F.lit(0))
-    joined = parts.join(counts.where(~own & (F.col("word") != "")), "word", "left").select(
-        "k1", "k2", "n_copies", "doc_id", "held_out", "n_tokens",
-        (F.col("n_known") + F.when(c > 0, F.col("n")).otherwise(0)).alias("n_known"),
-        (F.col("base") + F.col("n") * F.log10((c + SPACE) / F.lit(known.n_total + SPACE * (known.n_types + 1)))).alias("base"),
-        (F.col("score") + F.when(F.col("n") > 0, F.col("n") * F.log10((c + SPACE) / F.col("id_total"))).otherwise(0.0)).alias("score"),
-    )
-    light = _light_scores(merged, words, weights)
-    empty = {"n_copies": F.lit(0).cast("long"), "doc_id": F.lit(None).cast("long"), "held_out": F.lit(None).cast("boolean"), "n_tokens": F.lit(0).cast("long"), "n_known": F.lit(0).cast("long"), "base": F.lit(0.0)}
-    both = joined.unionByName(light.withColumns(empty).withColumnRenamed("light", "score"))
-    sums = both.groupBy("k1", "k2").agg(F.max("doc_id").alias("doc_id"), F.max("held_out").alias("held_out"), *[F.sum(x).alias(x) for x in ("n_copies", "n_tokens", "n_known", "base", "score")])
+    names = [x for x in _PARTS if x not in ("k1", "k2")]
+    parts = _bucket_parts(merged, words, weights).withColumns({"n_copies": F.lit(0).cast("long"), "doc_id": F.lit(None).cast("long"), "held_out": F.lit(None).cast("boolean"), "n_tokens": F.lit(0).cast("long")})
+    both = _text_parts(rows, words, broadcast(heavy)).unionByName(parts)
+    sums = both.groupBy("k1", "k2").agg(*[(F.max if x in ("doc_id", "held_out") else F.sum)(x).alias(x) for x in names])
     each = sums.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("n_copies").cast("int"))))
-    whole = [(F.col(x) / F.col("n_copies")).cast("long").alias(x) for x in ("n_tokens", "n_known")]
+    whole = [F.round(F.col(x) / F.col("n_copies")).cast("long").alias(x) for x in ("n_tokens", "n_known")]
     return each.select("doc_id", "held_out", *whole, F.lit(known.n_total).cast("long").alias("train_tokens"), (F.col("base") / F.col("n_copies")).alias("base_score"), (F.col("score") / F.col("n_copies")).alias("score"))
 
 
