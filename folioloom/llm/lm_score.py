@@ -33,10 +33,11 @@ import struct
 import zlib
 from collections import Counter
 from dataclasses import dataclass
-from itertools import compress, repeat
+from itertools import compress, islice, repeat
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
@@ -51,7 +52,6 @@ R = 1024
 LONGEST = 64
 SPACE = 0.1
 TOKENS_A_BLOCK, TOKENS_A_BUCKET, WORDS_HELD = 1_000_000, 3_000_000, 200_000
-SLICE = 4_000_000
 SCORED, KEPT, DELETED = 0, 1, 2
 
 
@@ -170,22 +170,23 @@ def _first(sorted_keys: np.ndarray) -> np.ndarray:
     return np.flatnonzero(np.concatenate(([True], sorted_keys[1:] != sorted_keys[:-1]))) if len(sorted_keys) else np.zeros(0, np.int64)
 
 
-def _by_bucket(bucket, key, doc, part, k1, k2):
-    """(bucket, different keys, [sizes, documents of each key, and of these documents part, k1 and k2])."""
+def _by_bucket(bucket, key, doc, part):
+    """(bucket, different keys, how often kept and deleted parts have each, its documents in a block)."""
     order = np.argsort(bucket << (2 * BITS) | key, kind="stable")
     bucket, key, doc = bucket[order], key[order], doc[order]
     edge = np.append(_first(bucket), len(bucket))
     for b, lo, hi in zip(bucket[edge[:-1]].tolist(), edge[:-1].tolist(), edge[1:].tolist(), strict=True):
         keys, docs = key[lo:hi], doc[lo:hi]
         at = _first(keys)
-        here, docs = np.unique(docs, return_inverse=True)
-        sizes = np.diff(np.append(at, hi - lo)).astype(np.int32)
-        yield b, keys[at], (sizes, docs.astype(np.uint16), part[here].astype(np.uint8), k1[here], k2[here])
+        role = part[docs]
+        parts = [np.add.reduceat(role == p, at, dtype=np.int32) for p in (KEPT, DELETED)]
+        yield b, keys[at], parts, pack(np.diff(np.append(at, hi - lo)).astype(np.int32), docs.astype(np.uint16))
 
 
 @dataclass(frozen=True)
 class Buckets:
-    """Bigrams have buckets from 0, words that share an id the same number after them, counts of heavy bigrams those below 0."""
+    """Bigrams have ``n`` buckets from 0, words that share an id the next ``n``, the list of a block's documents the
+    next; counts of heavy bigrams have those below 0."""
 
     n: int
     salts: int
@@ -193,19 +194,20 @@ class Buckets:
 
 
 def _block_rows(w, words, doc, part, k1, k2, buckets: Buckets):
-    """(bucket, payload) of one block; w, doc: one entry a token, w is -1 where ``words`` has the next one; part, k1, k2: one a document.
+    """(bucket, payload, documents) of one block; w, doc: one entry a token, w is -1 where ``words`` has the next one; part, k1, k2: one a document.
 
     Heavy bigrams go to buckets below 0, each of which gets the counts of a bounded number of blocks.
     """
+    yield 2 * buckets.n + int(k2[0]) % buckets.n, pack(k1, k2), None
     rare = np.flatnonzero(w < 0)
     numbers: dict[bytes, int] = {}
     at = np.fromiter((numbers.setdefault(x, len(numbers)) for x in words), np.int64, len(words))
     different = list(numbers)
     w[rare] = (K + 1 + np.fromiter(map(zlib.crc32, different), np.int64, len(different)) % M)[at] if len(rare) else 0
     own = buckets.n + (np.fromiter(map(xxh64_intdigest, different), np.uint64, len(different)) % np.uint64(buckets.n)).astype(np.int64)
-    for b, keys, rest in _by_bucket(own[at], at, doc[rare], part, k1, k2):
+    for b, keys, parts, docs in _by_bucket(own[at], at, doc[rare], part):
         joined = b"\n".join([different[k] for k in keys.tolist()])
-        yield b, pack(np.frombuffer(joined, np.uint8), *rest)
+        yield b, pack(np.frombuffer(joined, np.uint8), *parts), docs
     v = np.roll(w, 1)  # the end of a text stands before the next one, and 0 is both
     v[0] = 0
     heavy = (v < R) & (w < R)
@@ -217,41 +219,33 @@ def _block_rows(w, words, doc, part, k1, k2, buckets: Buckets):
             here = (keys >> BITS) % 16 == s
             if here.any():
                 zero = np.zeros(here.sum(), np.int64)
-                yield -1 - s - salt, pack(keys[here], *((n[here], zero) if p == KEPT else (zero, n[here])))
+                yield -1 - s - salt, pack(keys[here], *((n[here], zero) if p == KEPT else (zero, n[here]))), None
     v, w, doc = v[~heavy], w[~heavy], doc[~heavy]
-    for b, keys, rest in _by_bucket(_bucket(v, w, buckets.n), v << BITS | w, doc, part, k1, k2):
-        yield b, pack(np.diff(keys, prepend=0), *rest)
+    for b, keys, parts, docs in _by_bucket(_bucket(v, w, buckets.n), v << BITS | w, doc, part):
+        yield b, pack(np.diff(keys, prepend=0), *parts), docs
 
 
 def _blocks(rows: DataFrame, words, buckets: Buckets) -> DataFrame:
-    """(bucket, payload): the bigrams and the rarer words of every text, packed."""
+    """(bucket, block, payload, docs): the bigrams and the rarer words of every text, packed."""
+    schema = "bucket int, block long, payload binary, docs binary"
+    types = (("bucket", pa.int32()), ("block", pa.int64()), ("payload", pa.binary()), ("docs", pa.binary()))
 
     def work(batches):
         ids = words.value.ids
         held: list = []
         shared: list[bytes] = []
-        size = 0
+        size, block = 0, TaskContext.get().partitionId() << 32
 
         def flush():
-            lengths = np.array([len(x[3]) for x in held])
-            doc = np.repeat(np.arange(len(held)), lengths)
+            doc = np.repeat(np.arange(len(held)), [len(x[3]) for x in held])
             columns = [np.array([x[k] for x in held], np.int64) for k in range(3)]
             made = _block_rows(np.concatenate([x[3] for x in held]).astype(np.int64), shared, doc, *columns, buckets)
-            some: list = []
-            for found in made:
-                some.append(found)
-                if len(some) == 64:
-                    yield batch_of(some)
-            if some:
-                yield batch_of(some)
+            while some := list(islice(made, 64)):
+                rows = [(b, block, payload, docs) for b, payload, docs in some]
+                yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], t) for k, (_, t) in enumerate(types)], [c for c, _ in types])
             held.clear()
             shared.clear()
 
-        def batch_of(some):
-            out = pa.RecordBatch.from_arrays([pa.array([b for b, _ in some], pa.int32()), pa.array([p for _, p in some], pa.binary())], ["bucket", "payload"])
-            some.clear()
-            return out
-
         for batch in batches:
             for part, k1, k2, text in zip(*[batch.column(c).to_pylist() for c in ("part", "k1", "k2")], _texts(batch), strict=True):
                 found = tokens(text)
@@ -261,11 +255,11 @@ def _blocks(rows: DataFrame, words, buckets: Buckets) -> DataFrame:
                 size += len(w)
                 if size > buckets.tokens_a_block or len(held) == 65_535:
                     yield from flush()
-                    size = 0
+                    size, block = 0, block + 1
         if held:
             yield from flush()
 
-    return rows.select("part", "k1", "k2", "text").mapInArrow(work, "bucket int, payload binary")
+    return rows.select("part", "k1", "k2", "text").mapInArrow(work, schema)
 
 
 def _grade(p: np.ndarray) -> np.ndarray:
@@ -287,62 +281,44 @@ def _deleted_sums(key, kept, deleted, words: Words):
     return code, np.bincount(at, n), np.bincount(at, n * p2), np.bincount(at, n * p1)
 
 
-MERGED = "kind string, payload binary, code long, n double, p2 double, p1 double"
-_NAMES = ("kind", "payload", "code", "n", "p2", "p1")
-
-
-def _together(blocks):
-    """Documents of all occurrences in the order of the blocks, and part, k1 and k2 by document."""
-    shifts = np.cumsum([0] + [len(b[-3]) for b in blocks[:-1]]).tolist()
-    docs = np.concatenate([b[-4].astype(np.int32) + shift for b, shift in zip(blocks, shifts, strict=True)])
-    return docs, *(np.concatenate([b[k] for b in blocks]) for k in (-3, -2, -1))
+MERGED = "kind string, block long, payload binary, docs binary, code long, n double, p2 double, p1 double"
+_TYPES = (("kind", pa.string()), ("block", pa.int64()), ("payload", pa.binary()), ("docs", pa.binary()), ("code", pa.int64()), ("n", pa.float64()), ("p2", pa.float64()), ("p1", pa.float64()))
 
 
-def _words_merged(blocks, words: Words) -> bytes:
-    """Sums by document over its words of one bucket: how many are known, and both scores."""
-    numbers: dict[bytes, int] = {}
-    at = np.concatenate([np.repeat(np.fromiter((numbers.setdefault(x, len(numbers)) for x in b[0].tobytes().split(b"\n")), np.int64, len(b[1])), b[1]) for b in blocks])
-    docs, part, k1, k2 = _together(blocks)
-    ids = np.fromiter(map(zlib.crc32, numbers), np.int64, len(numbers)) % M + (K + 1)
-    count = np.bincount(at, part[docs] != SCORED, len(ids))
-    share = np.log10((count + SPACE) / (words.total[ids] + SPACE * (words.types[ids] + 1)))
-    sums = [np.bincount(docs, x[at], len(part)) for x in ((count > 0).astype(np.float64), words.base(count), share)]
-    return pack(k1, k2, *sums)
-
-
-def _merged(payloads, bucket: int, words: Words, buckets: Buckets):
-    """Rows of MERGED for one bucket's blocks: its bigrams' counts with the documents that hold them (light), the counts
-    of deleted ones (deleted: code, n, p2, p1), counts alone (heavy: code, p2 for kept, p1 for deleted), or sums over words (words)."""
-    blocks = [unpack(p) for p in payloads]
-    if bucket < 0:
-        key, at = np.unique(np.concatenate([b[0] for b in blocks]), return_inverse=True)
-        kept, deleted = (np.bincount(at, np.concatenate([b[k] for b in blocks])).tolist() for k in (1, 2))
-        return [("heavy", None, k, None, a, b) for k, a, b in zip(key.tolist(), kept, deleted, strict=True)]
+def _merged(table, bucket: int, words: Words, buckets: Buckets):
+    """Rows of MERGED for one bucket: for each block its bigrams (light) or words (words) with their counts in all training
+    rows; counts of deleted bigrams (deleted: code, n, p2, p1); counts alone (heavy: code, p2 for kept, p1 for deleted);
+    and a block's list of documents as it is (docs)."""
+    ids, payloads, docs = (table.column(c).to_pylist() for c in ("block", "payload", "docs"))
+    none = (None,) * 4
+    if bucket >= 2 * buckets.n:
+        return [("docs", i, p, None, *none) for i, p in zip(ids, payloads, strict=True)]
+    first, kept, deleted = zip(*[unpack(p) for p in payloads], strict=True)
+    ends = np.cumsum([0] + [len(x) for x in kept]).tolist()
+    kept, deleted = np.concatenate(kept), np.concatenate(deleted)
     if bucket >= buckets.n:
-        return [("words", _words_merged(blocks, words), None, None, None, None)]
-    keys = np.concatenate([np.repeat(np.cumsum(b[0]), b[1]) for b in blocks])
-    docs, part, k1, k2 = _together(blocks)
-    del blocks
-    order = np.argsort(keys, kind="stable")
-    keys, docs = keys[order], docs[order]
-    del order
-    at = _first(keys)
-    kept, deleted = (np.add.reduceat(part[docs] == p, at, dtype=np.int64) for p in (KEPT, DELETED))
-    key, end = keys[at], np.append(at[1:], len(keys))
-    out = [("deleted", None, *x) for x in zip(*[a.tolist() for a in _deleted_sums(key, kept, deleted, words)], strict=True)]
-    for lo in range(0, len(keys), SLICE):  # a bigram whose documents fill more than a row goes on in the next
-        hi = min(lo + SLICE, len(keys))
-        a, b = int(np.searchsorted(end, lo, "right")), int(np.searchsorted(at, hi, "left"))
-        sizes = np.minimum(end[a:b], hi) - np.maximum(at[a:b], lo)
-        here, local = np.unique(docs[lo:hi], return_inverse=True)
-        out.append(("light", pack(np.diff(key[a:b], prepend=0), kept[a:b] + deleted[a:b], sizes.astype(np.int32), local.astype(np.int32), k1[here], k2[here]), None, None, None, None))
+        numbers: dict[bytes, int] = {}
+        at = np.concatenate([np.fromiter((numbers.setdefault(x, len(numbers)) for x in f.tobytes().split(b"\n")), np.int64) for f in first])
+        key = np.fromiter(map(zlib.crc32, numbers), np.int64, len(numbers)) % M
+    else:
+        key, at = np.unique(np.concatenate(first if bucket < 0 else [np.cumsum(f) for f in first]), return_inverse=True)
+    kept, deleted = (np.bincount(at, x, len(key)).astype(np.int64) for x in (kept, deleted))
+    if bucket < 0:
+        return [("heavy", None, None, None, k, None, float(a), float(b)) for k, a, b in zip(key.tolist(), kept.tolist(), deleted.tolist(), strict=True)]
+    out, count = [], kept + deleted
+    for i, d, lo, hi in zip(ids, docs, ends, ends[1:], strict=False):
+        own = key[at[lo:hi]]
+        shown = own.astype(np.uint16) if bucket >= buckets.n else np.diff(own, prepend=0)
+        out.append(("words" if bucket >= buckets.n else "light", i, pack(shown, count[at[lo:hi]]), d, *none))
+    if bucket < buckets.n:
+        out += [("deleted", None, None, None, *x) for x in zip(*[a.tolist() for a in _deleted_sums(key, kept, deleted, words)], strict=True)]
     return out
 
 
 def _merge(blocks: DataFrame, words, buckets: Buckets) -> DataFrame:
     def work(key, table):
-        rows = _merged(table.column("payload").to_pylist(), key[0].as_py(), words.value, buckets)
-        return pa.table({c: pa.array([r[k] for r in rows], t) for k, (c, t) in enumerate(zip(_NAMES, (pa.string(), pa.binary(), pa.int64(), *[pa.float64()] * 3), strict=True))})
+        rows = _merged(table, key[0].as_py(), words.value, buckets)
+        return pa.table({c: pa.array([r[k] for r in rows], t) for k, (c, t) in enumerate(_TYPES)})
 
     return blocks.groupBy("bucket").applyInArrow(work, MERGED)
 
@@ -388,24 +364,49 @@ _PARTS = ("k1", "k2", "n_copies", "doc_id", "held_out", "n_tokens", "n_known", "
 
 
 def _bucket_parts(merged: DataFrame, words, weights: np.ndarray) -> DataFrame:
-    """(k1, k2, n_known, base, score): what one bucket's bigrams and words add to a document."""
+    """(k1, k2, n_known, base, score): what its light bigrams and rarer words add to a document.
+
+    What a bucket tells goes back to its blocks: for light bigrams a sum (of seven digits) by document, for words their counts.
+    """
+    answer = "block long, kind string, payload binary"
 
     def work(batches):
         known = words.value
         for batch in batches:
-            for kind, payload in zip(batch.column("kind").to_pylist(), batch.column("payload").to_pylist(), strict=True):
+            out = []
+            for kind, payload, docs in zip(*[batch.column(c).to_pylist() for c in ("kind", "payload", "docs")], strict=True):
+                if kind == "docs":
+                    out.append(payload)
+                    continue
+                (key, count), (sizes, docs) = unpack(payload), unpack(docs)
                 if kind == "words":
-                    k1, k2, *sums = unpack(payload)
+                    out.append(pack(docs, np.repeat(key, sizes), np.repeat(count, sizes)))
                 else:
-                    key, count, sizes, docs, k1, k2 = unpack(payload)
                     key = np.cumsum(key)
                     logs = log_mixture(count, key >> BITS, key & (IDS - 1), known, weights)
-                    none = np.zeros(len(k1))
-                    sums = [none, none, np.bincount(docs, np.repeat(logs, sizes), len(k1))]
-                for lo in range(0, len(k1), 50_000):
-                    yield pa.RecordBatch.from_arrays([pa.array(x[lo : lo + 50_000]) for x in (k1, k2, *sums)], ["k1", "k2", "n_known", "base", "score"])
+                    here, at = np.unique(docs, return_inverse=True)
+                    out.append(pack(here, np.bincount(at, np.repeat(logs, sizes)).astype(np.float32)))
+            yield pa.RecordBatch.from_arrays([batch.column("block"), batch.column("kind"), pa.array(out, pa.binary())], ["block", "kind", "payload"])
 
-    return merged.where("kind IN ('light', 'words')").select("kind", "payload").mapInArrow(work, "k1 long, k2 long, n_known double, base double, score double")
+    def gather(table):
+        known = words.value
+        kinds, payloads = table.column("kind").to_pylist(), table.column("payload").to_pylist()
+        k1, k2 = unpack(payloads[kinds.index("docs")])
+        sums = np.zeros((3, len(k1)))
+        for kind, payload in zip(kinds, payloads, strict=True):
+            if kind == "light":
+                here, score = unpack(payload)
+                sums[2, here] += score
+            elif kind == "words":
+                docs, key, count = unpack(payload)
+                ids = key.astype(np.int64) + (K + 1)
+                share = np.log10((count + SPACE) / (known.total[ids] + SPACE * (known.types[ids] + 1)))
+                for row, x in zip(sums, ((count > 0).astype(np.float64), known.base(count), share), strict=True):
+                    row += np.bincount(docs, x, len(k1))
+        return pa.table({c: pa.array(x) for c, x in zip(("k1", "k2", "n_known", "base", "score"), (k1, k2, *sums), strict=True)})
+
+    answers = merged.where("block IS NOT NULL").select("block", "kind", "payload", "docs").mapInArrow(work, answer)
+    return answers.groupBy("block").applyInArrow(gather, "k1 long, k2 long, n_known double, base double, score double")
 
 
 def _text_parts(rows: DataFrame, words, heavy) -> DataFrame:
