@@ -20,6 +20,11 @@ def query(name: str, sql: str | None = None):
     return keep
 
 
+def oracle_of(name: str) -> str:
+    """The SQL of a query that is registered already."""
+    return _SQL[name]
+
+
 def table(spark, sf_dir: str, name: str):
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -30,7 +35,7 @@ def made(spark, sf_dir: str, sql: str, *names: str):
 
 
 def queries() -> dict:
-    for module in ("queries", "page_queries", "text_queries", "book_queries"):  # they register on import
+    for module in ("queries", "page_queries", "text_queries", "book_queries", "pdf_queries"):  # they register on import
         import_module(f"folioloom.plans.{module}")
     return dict(_QUERIES)
 
