@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from folioloom.operators.contracts import RowRule, all_violations, row_violations
+from folioloom.tables import written
 
 
 def free_numbers(wanted: DataFrame, taken: DataFrame, keys: list[str], order: str) -> DataFrame:
@@ -75,6 +76,44 @@ def part_names(parts: DataFrame, destination: DataFrame) -> DataFrame:
     return p.where("NOT differs").select("doc", "part", F.col("part").alias("new_part"), F.col("held").isNull().alias("copied")).unionByName(renamed)
 
 
+def part_closure(parts: DataFrame, rels: DataFrame, roots: DataFrame, destination: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """What comes along with the parts that a body refers to: (names, relationships, missing).
+
+    Tables are parts(doc, part, digest), rels(doc, owner, id, part, mode) with targets as part names,
+    roots(doc, part), destination(doc, part, digest).  A round takes the parts that the last one's
+    internal relationships lead to and that have no name yet, and names them as :func:`part_names` does,
+    among the destination's parts and all that were named in rounds before; a part is named once, so
+    cycles end.  ``names``: (doc, part, new_part, copied, round); ``relationships``: (doc, owner, id,
+    part) of the copies, under their new names; ``missing``: (doc, part, owner) of targets that are no
+    part, the roots' owner being null.  Every round is a written table, and rounds follow the depth of
+    the packages.  Null part names lead nowhere.
+    """
+    inner = rels.where("coalesce(mode, 'Internal') <> 'External' AND part IS NOT NULL")
+    leads = written(inner.select("doc", "owner", "id", "part"), "leads")
+    had = written(destination.select("doc", "part", "digest"), "there")
+    parts = written(parts.select("doc", "part", "digest"), "parts")
+    frontier = roots.where("part IS NOT NULL").select("doc", "part").distinct()
+    names, k = None, 0
+    while True:
+        k += 1
+        known = written(parts.join(frontier, ["doc", "part"], "left_semi"), "frontier")
+        named = written(part_names(known, had).withColumn("round", F.lit(k)).join(known, ["doc", "part"]), "named")
+        if known.isEmpty():
+            break
+        names = named if names is None else names.unionByName(named)
+        had = had.unionByName(named.where("copied").select("doc", F.col("new_part").alias("part"), "digest"))
+        step = leads.join(named.select("doc", F.col("part").alias("owner")), ["doc", "owner"], "left_semi").select("doc", "part").distinct()
+        frontier = step.join(names.select("doc", "part"), ["doc", "part"], "left_anti")
+    names = named if names is None else names
+    moved = names.select("doc", F.col("part").alias("owner"), F.col("new_part").alias("new_owner"))
+    copied = leads.join(moved, ["doc", "owner"])
+    targets = copied.join(names.select("doc", "part", F.col("new_part").alias("new_target")), ["doc", "part"], "left")
+    relationships = targets.where("new_target IS NOT NULL").select("doc", F.col("new_owner").alias("owner"), "id", F.col("new_target").alias("part"))
+    wanted = copied.select("doc", "part", "owner").unionByName(roots.where("part IS NOT NULL").select("doc", "part", F.lit(None).cast("string").alias("owner"))).distinct()
+    missing = wanted.join(parts.select("doc", "part"), ["doc", "part"], "left_anti")
+    return names.drop("digest"), relationships, missing
+
+
 def font_merge(required: DataFrame, source: DataFrame, destination: DataFrame) -> DataFrame:
     """(doc, name, definition, action): the destination's fonts, those required and found replaced or added.
 
