@@ -6,6 +6,8 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from folioloom.functions import text as T
+from folioloom.operators.containment import containment
+from folioloom.operators.containment import numbering_review as numbering_check
 from folioloom.operators import contracts as C
 from folioloom.operators import ordered as O
 from folioloom.operators import packages as K
@@ -669,23 +671,34 @@ def contract_violations(spark, sf_dir):
 
 @query("anchor_containment", "SELECT item_id, CAST(count(*) AS BIGINT) AS n_docs, min(doc_id) AS first_doc FROM benchmark b JOIN documents d ON contains(d.text, b.text) GROUP BY item_id")
 def anchor_containment(spark, sf_dir):
-    """Documents that hold an anchor text: by the hash of its second to fourth words, then compared whole.
-
-    Those words are complete wherever the anchor stands, so each document is hashed once and
-    not searched once an anchor; the few anchors of under five words are searched as they are.
-    """
-    gram = lambda t, i: F.xxhash64(F.get(t, i), F.get(t, i + 1), F.get(t, i + 2))
-    anchors = table(spark, sf_dir, "benchmark").select("item_id", F.col("text").alias("anchor"), F.split(F.col("text"), "\\s+").alias("t"))
-    long = anchors.where("size(t) >= 5").select("item_id", "anchor", gram(F.col("t"), F.lit(1)).alias("h"))
-    short = anchors.where("size(t) < 5").agg(F.collect_list(F.struct("item_id", "anchor")).alias("short"))
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    tokens = docs.select("doc_id", F.split("text", "\\s+").alias("t")).where("size(t) >= 3")
-    grams = F.array_distinct(F.transform(F.sequence(F.lit(0), F.size("t") - 3), lambda i: gram(F.col("t"), i)))
-    hits = tokens.select("doc_id", F.explode(grams).alias("h")).join(long, "h").select("doc_id", "item_id", "anchor")
-    found = hits.join(docs, "doc_id").where(F.contains("text", F.col("anchor"))).select("item_id", "doc_id")
-    rest = docs.join(F.broadcast(short), F.size("short") > 0)
-    rest = rest.select("doc_id", F.explode(F.filter("short", lambda a: F.contains(F.col("text"), a["anchor"]))).alias("a")).select("a.item_id", "doc_id")
-    return found.unionByName(rest).groupBy("item_id").agg(F.count("*").alias("n_docs"), F.min("doc_id").alias("first_doc"))
+    """Documents that hold an anchor text, looked for all at once in one pass over each text."""
+    anchors, docs = table(spark, sf_dir, "benchmark").select("item_id", "text"), table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = containment(docs, anchors.withColumnRenamed("text", "anchor"), "item_id", "anchor", "doc_id", "text")
+    return found.groupBy("item_id").agg(F.count("*").alias("n_docs"), F.min("doc_id").alias("first_doc"))
+
+
+@query(
+    "numbering_review",
+    """
+WITH d AS (SELECT doc_id AS doc, text FROM documents WHERE text IS NOT NULL),
+c AS (SELECT doc, 1 AS check_no, substr(text, doc % 50 + 1, 20) || CASE WHEN doc % 7 = 0 THEN '#' ELSE '' END AS anchor, CASE WHEN doc % 3 = 0 THEN 'Q' || (doc % 10) ELSE '' END AS label, ['e', substr(text, 5, 3), ''] AS options FROM d WHERE doc % 11 > 0
+      UNION ALL SELECT doc, 2, CASE WHEN doc % 5 > 0 THEN substr(text, length(text) - 4, 5) END, NULL, NULL FROM d WHERE doc % 11 > 0)
+SELECT doc, check_no, 'anchor_absent' AS rule, coalesce(anchor, '') AS value FROM c JOIN d USING (doc) WHERE coalesce(anchor, '') = '' OR NOT contains(text, anchor)
+UNION ALL SELECT doc, check_no, 'label_absent', label FROM c JOIN d USING (doc) WHERE label <> '' AND NOT contains(text, label)
+UNION ALL SELECT doc, check_no, 'option_absent', o FROM (SELECT doc, check_no, unnest(options) AS o FROM c) JOIN d USING (doc) WHERE NOT contains(text, o)
+UNION ALL SELECT doc, NULL, 'review_missing', '' FROM d WHERE doc % 11 = 0
+""",
+)
+def numbering_review(spark, sf_dir):
+    """Checks of numbers, labels and options that a document's own text doesn't bear out."""
+    d = table(spark, sf_dir, "documents").where("text IS NOT NULL").select(F.col("doc_id").alias("doc"), "text")
+    k = F.col("doc")
+    first = d.where("doc % 11 > 0").select(
+        "doc", F.lit(1).alias("check_no"), F.concat(F.substr("text", (k % 50 + 1).cast("int"), F.lit(20)), F.when(k % 7 == 0, "#").otherwise("")).alias("anchor"),
+        F.when(k % 3 == 0, F.concat(F.lit("Q"), (k % 10).cast("string"))).otherwise("").alias("label"), F.array(F.lit("e"), F.substring("text", 5, 3), F.lit("")).alias("options"),
+    )
+    second = d.where("doc % 11 > 0").select("doc", F.lit(2).alias("check_no"), F.when(k % 5 > 0, F.substr("text", F.greatest(F.length("text") - 4, F.lit(1)), F.lit(5))).alias("anchor"), F.lit(None).cast("string").alias("label"), F.lit(None).cast("array<string>").alias("options"))
+    return numbering_check(first.unionByName(second), d)
 
 
 @query(
