@@ -103,15 +103,17 @@ _OPTION_LINES = ["(A) one (B) two", "(A) one", "(c) x  (D) y", "text (A) late",
 @query(
     "option_anchors",
     f"""
-WITH l(line) AS (VALUES {', '.join(f"('{x}')" for x in _OPTION_LINES)}),
-n AS (SELECT line, CASE WHEN regexp_matches(line, '^\\s*\\([A-Da-d]\\)') THEN len(regexp_extract_all(line, '(^|[^\\w])\\([A-Da-d]\\)')) ELSE 0 END AS n_options FROM l)
-SELECT line, CAST(n_options AS BIGINT) AS n_options, CAST(CASE WHEN n_options >= 4 THEN 4 WHEN n_options >= 2 THEN 2 ELSE 1 END AS BIGINT) AS n_columns FROM n
+WITH l AS (SELECT p_partkey, [{', '.join(f"'{x}'" for x in _OPTION_LINES)}][p_partkey % {len(_OPTION_LINES)} + 1] || ' ' || p_size AS line FROM part),
+n AS (SELECT p_partkey, line, CASE WHEN regexp_matches(line, '^\\s*\\([A-Da-d]\\)') THEN len(regexp_extract_all(line, '(^|[^\\w])\\([A-Da-d]\\)')) ELSE 0 END AS n_options FROM l)
+SELECT p_partkey, line, CAST(n_options AS BIGINT) AS n_options, CAST(CASE WHEN n_options >= 4 THEN 4 WHEN n_options >= 2 THEN 2 ELSE 1 END AS BIGINT) AS n_columns FROM n
 """,
 )
 def option_anchors(spark, sf_dir):
-    lines = spark.createDataFrame([(x,) for x in _OPTION_LINES], "line string")
+    """Option letters and columns of a line a part."""
+    shape = F.element_at(F.array(*map(F.lit, _OPTION_LINES)), (F.col("p_partkey") % len(_OPTION_LINES) + 1).cast("int"))
+    lines = table(spark, sf_dir, "part").select("p_partkey", F.concat(shape, F.lit(" "), F.col("p_size").cast("string")).alias("line"))
     n = F.size(T.options(F.col("line")))
-    return lines.select("line", n.cast("long").alias("n_options")).withColumn("n_columns", T.option_columns(F.col("n_options")).cast("long"))
+    return lines.select("p_partkey", "line", n.cast("long").alias("n_options")).withColumn("n_columns", T.option_columns(F.col("n_options")).cast("long"))
 
 
 @query(
