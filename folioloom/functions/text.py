@@ -221,17 +221,33 @@ def _cluster(g: Glyphs) -> str:
     return f"(?:(?:{half}(?!{stem}))*(?:{half}{stem}|.){f'{re.escape(g.low)}?' if g.low else ''})"
 
 
+def moved_back(t: str, mark: str, code: str, signs: str) -> str:
+    """``t`` with every ``mark`` taken out and ``code`` put before the letter it follows, or before a letter and its sign.
+
+    One pass: what has been read ends where a mark stands, so only its last letters move.  Marks at the very beginning stay.
+    """
+    first, *rest = t.split(mark)
+    out = list(first)
+    for part in rest:
+        if not out:
+            out += mark
+        else:
+            at = -2 if len(out) > 1 and out[-1] in signs else -1
+            out[at:at] = code
+        out += part
+    return "".join(out)
+
+
 def transliterator(glyphs: Glyphs | list[tuple[str, str]]):
     """Legacy glyph codes as Unicode text, in an Arrow UDF: signs are put in order, then each pair replaced in turn."""
     g = glyphs if isinstance(glyphs, Glyphs) else Glyphs(tuple(glyphs))
     early = re.compile(f"{re.escape(g.before)}({_cluster(g)})", re.S) if g.before else None
-    late = re.compile(f"(.)([{re.escape(g.signs)}]?){re.escape(g.after)}" if g.signs else f"(.)(){re.escape(g.after)}", re.S) if g.after else None
 
     def one(t: str) -> str:
         if early is not None:
             t = early.sub(lambda m: m[1] + g.before_text, t)
-        while late is not None and (m := late.search(t)):
-            t = t[: m.start()] + g.after_code + m[1] + m[2] + t[m.end() :]
+        if g.after and g.after in t:
+            t = moved_back(t, g.after, g.after_code, g.signs)
         for old, new in g.pairs:
             t = t.replace(old, new)
         return t
