@@ -30,7 +30,7 @@ NAMES = {"spacing": "spacing_points"}
 NESTED = {"runs": RUNS, "hindi_runs": RUNS, "english_runs": RUNS, "image": IMAGE, "items": f"array<struct<label:string,text:string,runs:{RUNS},formula_image:{IMAGE}>>"}
 PAGE_FIELDS = {"page": ("source_page", "int"), "page_type": ("page_type", "string"), "utilization_exempt": ("utilization_exempt", "boolean"), "exempt_reason": ("utilization_exempt_reason", "string")}
 SCOPES = ("preview", "full")
-_KINDS = {"string": ("STRING",), "boolean": ("BOOLEAN",), "int": ("BIGINT",), "double": ("BIGINT", "DECIMAL", "DOUBLE", "FLOAT"), "array": ("ARRAY",), "struct": ("OBJECT",), "variant": ()}
+_KINDS = {"string": ("STRING",), "boolean": ("BOOLEAN",), "int": ("BIGINT",), "double": ("BIGINT", "DECIMAL", "DOUBLE", "FLOAT"), "array": ("ARRAY",), "struct": ("OBJECT",), "map": ("OBJECT",), "variant": ()}
 
 
 @dataclass(frozen=True)
@@ -79,7 +79,7 @@ def _field(v: Column, name: str, kind: str) -> tuple[Column, Column]:
     return got, F.coalesce(kind_of(raw) != "VOID", F.lit(False)) & got.isNull()
 
 
-def _typed(rows: DataFrame, v: str, fields: dict[str, tuple[str, str]], path: Column) -> DataFrame:
+def typed(rows: DataFrame, v: str, fields: dict[str, tuple[str, str]], path: Column) -> DataFrame:
     """rows with a column a field and ``wrong``: paths of fields of another kind."""
     made = {c: _field(F.col(v), name, kind) for c, (name, kind) in fields.items()}
     wrong = F.array_compact(F.array(*[F.when(bad, F.concat(path, F.lit(f"{'.' if v != 'v' else ''}{fields[c][0]}"))) for c, (_, bad) in made.items()]))
@@ -92,17 +92,17 @@ def flatten(manifests: DataFrame) -> Manifests:
     parsed = written(parsed.withColumn("root", kind_of(F.col("v"))), "manifests")
     whole = parsed.where("root = 'OBJECT'")
     root = {"schema_version": ("schema_version", "int"), "book_name": ("book_name", "string"), "scope": ("scope", "string"), "source_sha256": ("source.sha256", "string"), "page_count": ("source.page_count", "int"), "listed": ("pages", "array<variant>")}
-    books = _typed(whole, "v", root, F.lit(""))
+    books = typed(whole, "v", root, F.lit(""))
     each = books.select("doc", "page_count", F.posexplode("listed").alias("at", "p"))
     where = F.concat(F.lit("pages["), F.col("at").cast("string"), F.lit("]"))
     odd = lambda v: ~F.coalesce(kind_of(F.col(v)) == "OBJECT", F.lit(False))
-    pages = _typed(each, "p", PAGE_FIELDS | {"listed": ("blocks", "array<variant>")}, where)
+    pages = typed(each, "p", PAGE_FIELDS | {"listed": ("blocks", "array<variant>")}, where)
     pages = pages.withColumns({"pos": F.col("at") + 1, "n_blocks": F.coalesce(F.size("listed"), F.lit(0)).cast("long"), "wrong": F.when(odd("p"), F.array(where)).otherwise(F.col("wrong"))})
     pages = written(pages.drop("p"), "pages")
     inner = pages.select("doc", "page", "at", F.posexplode("listed").alias("k", "b"))
     there = F.concat(F.lit("pages["), F.col("at").cast("string"), F.lit("].blocks["), F.col("k").cast("string"), F.lit("]"))
     fields = {c: (NAMES.get(c, c), NESTED.get(c, t)) for c, t in BLOCK.items() if c not in ("doc", "page", "pos")}
-    blocks = _typed(inner, "b", fields, there).withColumns({"pos": F.col("k") + 1, "wrong": F.when(odd("b"), F.array(there)).otherwise(F.col("wrong"))})
+    blocks = typed(inner, "b", fields, there).withColumns({"pos": F.col("k") + 1, "wrong": F.when(odd("b"), F.array(there)).otherwise(F.col("wrong"))})
     blocks = written(blocks.select(*[F.col(c).cast(t).alias(c) for c, t in BLOCK.items()], "wrong"), "blocks")
     torn = parsed.where("root IS NULL OR root <> 'OBJECT'").select(F.when(F.col("root").isNull(), "json").otherwise("root_object").alias("rule_id"), F.lit("error").alias("severity"), F.col("doc").alias("key"))
     errors = torn
