@@ -27,7 +27,8 @@ _FILES = "SELECT explode(array('/in/' || c_custkey || '.pdf', '/in/' || c_custke
 
 
 def _tables(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
-    return made(spark, sf_dir, _JOBS, "orders", "lineitem"), made(spark, sf_dir, _FILES, "customer")
+    jobs = made(spark, sf_dir, _JOBS, "orders", "lineitem").repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "job")  # few bytes, much work a row
+    return jobs, made(spark, sf_dir, _FILES, "customer")
 
 
 @query(

@@ -96,7 +96,8 @@ def job_facts(manifests: DataFrame) -> tuple[DataFrame, DataFrame]:
 
     ``manifests``(job, root, value); errors are (rule_id, severity, key).
     """
-    parsed = manifests.select("job", "root", F.try_parse_json("value").alias("v")).withColumn("kind", kind_of(F.col("v")))
+    parsed = manifests.select("job", "root", F.try_parse_json("value").alias("v"))
+    parsed = written(parsed.withColumn("kind", kind_of(F.col("v"))), "jobs")  # else filters on the kind parse every text again
     fields = {n: (n, "string") for n in (*PATHS, *DOMAINS)} | {n: (n, "int") for n in ("preview_source_pages", "expected_page_count")}
     fields |= {"preview": ("preview_source_page_numbers", "array<int>"), "items": ("content_page_ranges", "array<variant>"), "fonts": ("pdf_font_map", "map<string,variant>")}
     whole = parsed.where("kind = 'OBJECT'").withColumns({n: F.try_variant_get("v", f"$.{n}", "string") for n in NAMES})
@@ -111,21 +112,21 @@ def job_facts(manifests: DataFrame) -> tuple[DataFrame, DataFrame]:
     j = j.withColumns(defaults | {"preview_source_pages": F.coalesce("preview_source_pages", F.lit(PREVIEW_PAGES)), "preview": F.coalesce("preview", none), "ranges": ranges, "odd_ranges": odd})
     bad = lambda r: (r[0] < 1) | (r[1] < r[0])
     j = j.withColumns({"real": F.filter("ranges", lambda r: ~bad(r)), "bad_ranges": F.size(F.filter("ranges", bad))})
-    after = lambda rows: F.exists(F.transform(rows, lambda r, i: (i > 0) & (r[0] <= F.get(rows, i - 1)[1])), lambda x: F.coalesce(x, F.lit(False)))
+    after = lambda rows: F.exists(F.transform(rows, lambda r, i: F.coalesce(r[0] <= F.get(rows, i - 1)[1], F.lit(False))), lambda x: x)
     inside = lambda p: F.exists(c("real"), lambda r: (p >= r[0]) & (p <= r[1]))
-    given = lambda *names: F.array_compact(F.array(*[c(n) for n in names]))
-    among = lambda name: F.coalesce(F.array_contains(given(*PROTECTED), c(name)), F.lit(False))
+    among = lambda name: F.coalesce(F.array_contains("protected", c(name)), F.lit(False))
+    j = j.withColumns({"sorted": F.sort_array("real")} | {n: F.array_compact(F.array(*map(c, paths))) for n, paths in (("protected", PROTECTED), ("made", MADE))})
     j = j.withColumns({
-        "overlaps": after(F.array_sort(c("real"))), "ordered": ~after(c("real")), "ranges_given": F.size("real") > 0, "count_given": c("expected_page_count").isNotNull(),
+        "overlaps": after(c("sorted")), "ordered": ~after(c("real")), "ranges_given": F.size("real") > 0, "count_given": c("expected_page_count").isNotNull(),
         "n_pages": F.aggregate("real", F.lit(0).cast("long"), lambda a, r: a + r[1] - r[0] + 1),
         "n_preview": F.size("preview"), "preview_given": F.size("preview") > 0, "outside": F.size(F.filter("preview", lambda p: ~inside(p))),
         "repeated": F.size("preview") - F.size(F.array_distinct("preview")), "below_one": F.size(F.filter("preview", lambda p: p < 1)),
         "lost_roles": F.array_join(F.array_except(F.array(*map(F.lit, FONT_ROLES)), F.coalesce(F.map_keys("fonts"), F.array().cast("array<string>"))), ","),
         "output_protected": among("preview_output") | among("final_output"), "normalized_protected": among("normalized_source"), "manifest_protected": among("content_manifest"),
-        "made_twice": F.size(given(*MADE)) > F.size(F.array_distinct(given(*MADE))),
+        "made_twice": F.size("made") > F.size(F.array_distinct("made")),
         **{f"{p}_given": c(p).isNotNull() for p in PATHS},
     })
-    facts = written(j.drop("v", "kind", "items", "fonts", "real"), "job_facts")
+    facts = written(j.drop("v", "kind", "items", "fonts", "real", "sorted", "protected", "made"), "job_facts")
     torn = parsed.where("kind IS NULL OR kind <> 'OBJECT'").select(F.when(F.col("kind").isNull(), "json").otherwise("root_object").alias("rule_id"), F.lit("error").alias("severity"), F.col("job").alias("key"))
     return facts.drop("wrong"), torn.unionByName(facts.select(F.lit("field_type").alias("rule_id"), F.lit("error").alias("severity"), F.explode(F.transform("wrong", lambda w: F.concat_ws("/", "job", w))).alias("key")))
 

@@ -67,23 +67,23 @@ def read_manifests(spark: SparkSession, path: str) -> DataFrame:
 
 def kind_of(value: Column) -> Column:
     """STRING, BIGINT, OBJECT ...; VOID for a JSON null, null where there is nothing."""
-    return F.regexp_extract(F.schema_of_variant(value), "^[A-Z]+", 0)
-
-
-def _field(v: Column, name: str, kind: str) -> tuple[Column, Column]:
-    """(the value as ``kind``, whether something of another kind stands there)."""
-    raw = F.try_variant_get(v, f"$.{name}", "variant")
-    allowed = _KINDS[kind.split("<")[0]]
-    fits = kind_of(raw).isin(*allowed)
-    got = F.when(fits, F.try_variant_get(v, f"$.{name}", kind))
-    return got, F.coalesce(kind_of(raw) != "VOID", F.lit(False)) & got.isNull()
+    return F.substring_index(F.substring_index(F.schema_of_variant(value), "<", 1), "(", 1)
 
 
 def typed(rows: DataFrame, v: str, fields: dict[str, tuple[str, str]], path: Column) -> DataFrame:
-    """rows with a column a field and ``wrong``: paths of fields of another kind."""
-    made = {c: _field(F.col(v), name, kind) for c, (name, kind) in fields.items()}
-    wrong = F.array_compact(F.array(*[F.when(bad, F.concat(path, F.lit(f"{'.' if v != 'v' else ''}{fields[c][0]}"))) for c, (_, bad) in made.items()]))
-    return rows.withColumns({c: value for c, (value, _) in made.items()} | {"wrong": wrong})
+    """rows with a column a field, null where something of another kind stands, and ``wrong``: the paths of such fields.
+
+    Values, their kinds and the columns are made in steps, so that each is taken from ``v`` once.
+    """
+    raw = {c: f"__raw_{c}" for c in fields}
+    kind = {c: f"__kind_{c}" for c in fields}
+    rows = rows.withColumns({raw[c]: F.try_variant_get(v, f"$.{name}", "variant") for c, (name, _) in fields.items()})
+    rows = rows.withColumns({kind[c]: kind_of(F.col(raw[c])) for c in fields})
+    fits = {c: F.col(kind[c]).isin(*_KINDS[k.split("<")[0]]) for c, (_, k) in fields.items()}
+    rows = rows.withColumns({c: F.when(fits[c], F.try_variant_get(raw[c], "$", k)) for c, (_, k) in fields.items()})
+    odd = {c: F.coalesce(F.col(kind[c]) != "VOID", F.lit(False)) & F.col(c).isNull() for c in fields}
+    wrong = F.array_compact(F.array(*[F.when(odd[c], F.concat(path, F.lit(f"{'.' if v != 'v' else ''}{name}"))) for c, (name, _) in fields.items()]))
+    return rows.withColumn("wrong", wrong).drop(*raw.values(), *kind.values())
 
 
 def flatten(manifests: DataFrame) -> Manifests:
