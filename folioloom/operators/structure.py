@@ -18,6 +18,7 @@ from folioloom.operators.markup import feature_counts, malformed, visible_tokens
 from folioloom.operators.merges import count_differences, recurring_differences, token_differences
 from folioloom.operators.packages import broken_relationships
 from folioloom.operators.print_rules import bookmark_sequence
+from folioloom.tables import written
 
 # Parts, names of bookmarks, millimetres of a twip, characters that no text may hold.
 BODY, SETTINGS = "word/document.xml", "word/settings.xml"
@@ -135,7 +136,10 @@ def structural_violations(expected: DataFrame, result: DataFrame, template: Data
 
     ``expected``, ``result`` and ``template`` are elements by the made document's path.  ``parts``(path, part, digest) and
     ``rels``(path, owner, id, target, mode) are the made packages', ``template_parts`` the templates'; each may be left out.
+    Elements are written first, as every rule reads them and parts shouldn't be parsed for each; one table given twice is written once.
     """
+    once = {id(df): written(df, "elements") for df in {id(df): df for df in (expected, result, template)}.values()}
+    expected, result, template = once[id(expected)], once[id(result)], once[id(template)]
     renamed = lambda df: df.withColumnRenamed("path", "doc")
     want, have = _document(expected), _document(result)
     rows = section_rows(result)

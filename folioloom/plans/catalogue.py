@@ -35,7 +35,7 @@ def made(spark, sf_dir: str, sql: str, *names: str):
 
 
 def queries() -> dict:
-    for module in ("queries", "page_queries", "text_queries", "book_queries", "pdf_queries", "package_queries", "layout_queries", "status_queries", "manifest_queries", "job_queries"):  # they register on import
+    for module in ("queries", "page_queries", "text_queries", "book_queries", "pdf_queries", "package_queries", "layout_queries", "status_queries", "manifest_queries", "job_queries", "structure_queries"):  # they register on import
         import_module(f"folioloom.plans.{module}")
     return dict(_QUERIES)
 
