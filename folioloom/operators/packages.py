@@ -121,3 +121,65 @@ def closure_by_doubling(edges: DataFrame, roots: DataFrame, depth: bool = False)
     far = own.join(reach, own["root"] == reach["src"]).select("root", F.col("dst").alias("node"), "depth")
     whole = own.select("root", F.col("root").alias("node"), F.lit(0).alias("depth")).unionByName(far)
     return whole if depth else whole.drop("depth")
+
+
+#: Steps of a walk in one written round; roots and nodes that meet in one block of an expansion.
+STEPS_AT_ONCE, BLOCK_SIDE = 4, 1000
+
+
+def _settled(start: DataFrame, step, name: str) -> DataFrame:
+    """``start`` after ``step`` changes nothing more; a step only adds rows, or raises labels."""
+    now = written(start, name)
+    while True:
+        then = now
+        for _ in range(STEPS_AT_ONCE):
+            then = step(then)
+        then = written(then, name)
+        if then.join(now, now.columns, "left_anti").isEmpty():
+            return then
+        now = then
+
+
+def strong_groups(step: DataFrame) -> DataFrame:
+    """(node, rep) of nodes of step(src, dst) that surely reach each other: those of one ``rep``.
+
+    A node's color is the greatest node that reaches it.  What reaches a color's own node inside the color is one
+    strongly connected component, whole.  Components that no color stands for are left as single nodes.
+    """
+    nodes = step.select(F.col("src").alias("node")).union(step.select("dst")).distinct()
+
+    def raised(labels: DataFrame) -> DataFrame:
+        pushed = labels.join(step, labels["node"] == step["src"]).select(F.col("dst").alias("node"), "rep")
+        return labels.unionByName(pushed).groupBy("node").agg(F.max("rep").alias("rep"))
+
+    colors = _settled(nodes.withColumn("rep", F.col("node")), raised, "colors")
+    ends = step.join(colors.select(F.col("node").alias("src"), F.col("rep").alias("a")), "src").join(colors.select(F.col("node").alias("dst"), F.col("rep").alias("b")), "dst")
+    back = written(ends.where("a = b").select(F.col("dst").alias("node"), F.col("src").alias("prior")), "back")
+    widened = lambda held: held.unionByName(held.join(back, "node").select(F.col("prior").alias("node"), "rep")).distinct()
+    return _settled(colors.where("node = rep"), widened, "groups")
+
+
+def closure_by_components(edges: DataFrame, roots: DataFrame) -> DataFrame:
+    """As :func:`closure`, for graphs with large cycles: nodes that reach each other are one node while the closure is taken.
+
+    What is left of the graph has few edges, so no round joins all pairs with all.  Pairs of roots and nodes are made at the end,
+    in blocks of bounded size, as the result itself may grow with the square of the nodes.  Null ends are ignored.
+    """
+    step = written(edges.select("src", "dst").where("src IS NOT NULL AND dst IS NOT NULL AND src <> dst").distinct(), "steps")
+    groups = strong_groups(step)
+    named = lambda df, c, to: df.join(groups.select(F.col("node").alias(c), F.col("rep").alias("__rep")), c, "left").withColumn(to, F.coalesce("__rep", c)).drop("__rep")
+    few = named(named(step, "src", "a"), "dst", "b").where("a <> b").select(F.col("a").alias("src"), F.col("b").alias("dst")).distinct()
+    own = written(named(roots.select("root").distinct(), "root", "from"), "roots")
+    reach = closure_by_doubling(few, own.select(F.col("from").alias("root"))).select(F.col("root").alias("from"), F.col("node").alias("rep"))
+    nodes = step.select(F.col("src").alias("node")).union(step.select("dst")).union(own.select("root")).distinct()
+    members = named(nodes, "node", "rep")
+    led = written(own.join(reach, "from").select("root", "rep"), "led")
+    size = lambda df, n: df.groupBy("rep").agg(F.ceil(F.count("*") / BLOCK_SIDE).cast("int").alias(n))
+    blocks = size(led, "n_roots").join(size(members, "n_nodes"), "rep")
+    dealt = lambda c, n: F.pmod(F.xxhash64(c), F.col(n)).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    left = led.join(blocks, "rep").select("root", "rep", dealt("root", "n_roots").alias("i"), every("n_nodes").alias("j"))
+    right = members.join(blocks, "rep").select("node", "rep", every("n_roots").alias("i"), dealt("node", "n_nodes").alias("j"))
+    keys, spark = ["rep", "i", "j"], edges.sparkSession
+    parts = max(4 * spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))  # few rows in, many out
+    return left.repartition(parts, *keys).join(right.repartition(parts, *keys), keys).select("root", "node")

@@ -733,7 +733,7 @@ def closure_cycles(spark, sf_dir):
     n = s.agg(F.count("*").alias("n"))
     ring = s.join(F.broadcast(n), F.lit(True)).select(F.col("s_suppkey").alias("src"), ((F.col("s_suppkey") * 7 + 3) % F.col("n") + 1).alias("dst"))
     near = s.where("s_nationkey < 6").select(F.col("s_suppkey").alias("src"), (F.col("s_suppkey") + F.col("s_nationkey")).alias("dst"))
-    return K.closure_by_doubling(ring.unionByName(near), s.where("s_acctbal > 5000").select(F.col("s_suppkey").alias("root")))
+    return K.closure_by_components(ring.unionByName(near), s.where("s_acctbal > 5000").select(F.col("s_suppkey").alias("root")))
 
 
 @query(
