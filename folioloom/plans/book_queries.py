@@ -16,7 +16,7 @@ from folioloom.operators import markup as X
 from folioloom.operators import merges as M
 from folioloom.operators import packages as K
 from folioloom.operators import print_rules as P
-from folioloom.plans.catalogue import made, query, table
+from folioloom.plans.catalogue import lines_by_order, made, query, table
 
 _SEED = """
 SELECT concat('b', l_orderkey % 997) AS doc, CAST(l_orderkey AS INT) AS page, l_partkey AS part, l_suppkey AS supp, CAST(l_quantity AS INT) AS q,
@@ -27,8 +27,12 @@ _DUCK = _SEED.format(lineitem="lineitem")
 _PAD = "lpad(CAST(page AS STRING), greatest(3, length(CAST(page AS STRING))), '0')"
 
 
+def _by_order(spark, sf_dir, sql):
+    return spark.sql(sql, lineitem=lines_by_order(spark, sf_dir, "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice"))
+
+
 def _seed(spark, sf_dir):
-    return made(spark, sf_dir, _SEED, "lineitem")
+    return _by_order(spark, sf_dir, _SEED)
 
 
 def _case(key, *values):
@@ -156,7 +160,7 @@ _DUCK_ASKED = _ASKED.format(questions=_QUESTIONS.format(seed=_DUCK))
 
 
 def _asked(spark, sf_dir):
-    return made(spark, sf_dir, _ASKED.format(questions=_QUESTIONS.format(seed=_SEED)), "lineitem")
+    return _by_order(spark, sf_dir, _ASKED.format(questions=_QUESTIONS.format(seed=_SEED)))
 
 
 @query(
@@ -658,7 +662,7 @@ FROM p LEFT JOIN e USING (page) LEFT JOIN ext USING (page)
 )
 def page_content(spark, sf_dir):
     """Extent and utilization of pages: words, boxes and ruled lines that are content."""
-    boxes = made(spark, sf_dir, _BOXES, "lineitem")
+    boxes = _by_order(spark, sf_dir, _BOXES)
     return L.page_content(boxes, _frames(boxes)).withColumn("utilization", F.round("utilization", 6))
 
 
@@ -674,7 +678,7 @@ SELECT page, min(top) AS top FROM kept GROUP BY page UNION ALL SELECT DISTINCT p
 )
 def source_measurements(spark, sf_dir):
     """Where the content of selected source pages begins (Q3)."""
-    boxes = made(spark, sf_dir, _BOXES, "lineitem")
+    boxes = _by_order(spark, sf_dir, _BOXES)
     pages = _frames(boxes)
     return L.source_measurements(boxes, pages, pages.where("page % 3 = 0"))[0].select("page", "top")
 
@@ -793,7 +797,7 @@ _XML_DUCK = _XML.format(lineitem="lineitem")
 
 
 def _xml_parts(spark, sf_dir):
-    rows = made(spark, sf_dir, _XML, "lineitem")
+    rows = _by_order(spark, sf_dir, _XML)
     body = F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("n", "xml"))), lambda s: s["xml"]), "")
     docs = rows.groupBy("path").agg(body.alias("body"))
     close = F.when(F.col("path") % 10 == 0, "</w:body>").otherwise("</w:body></w:document>")

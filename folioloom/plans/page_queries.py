@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from folioloom.operators import pages as P
-from folioloom.plans.catalogue import made, query
+from folioloom.plans.catalogue import lines_by_order, query
 
 # What line an order line stands for, by its part: each order is a page.
 _LINES = """
@@ -89,7 +89,7 @@ p AS (SELECT *, row_number() OVER (PARTITION BY page ORDER BY n, slot) AS pos FR
 
 
 def _pages(spark, sf_dir):
-    return made(spark, sf_dir, _LINES, "lineitem")
+    return spark.sql(_LINES, lineitem=lines_by_order(spark, sf_dir, "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice"))
 
 
 @query(
