@@ -97,44 +97,57 @@ ANSWER_BOTTOM, ANSWER_TOP, ANSWER_LEAST_WIDTH, ANSWER_SIDE, ANSWER_HIGH, ANSWER_
 WRITTEN_LIFT = 27.0
 
 
+def _is_visual() -> Column:
+    center, small = (F.col("x0") + F.col("x1")) / 2, (F.col("x1") - F.col("x0") < F.col("width") * WHOLE_PAGE) & (F.col("bottom") - F.col("top") < F.col("height") * WHOLE_PAGE)
+    inside = center.between(F.col("left") + CENTER_INSET * POINTS, F.col("right") - CENTER_INSET * POINTS)
+    high = (F.col("bottom") >= (SAFE_TOP - TOP_SLACK) * POINTS) & (F.col("top") <= FOOTER_TOP * POINTS)
+    return (F.col("kind") != "word") & small & inside & high
+
+
+def _is_content_word(in_frame: bool) -> Column:
+    folio = (F.col("top") > FOLIO_TOP * POINTS) & F.trim("text").rlike("^\\d+$")
+    keep = (F.col("kind") == "word") & (F.col("bottom") < FOOTER_TOP * POINTS) & ~F.coalesce(folio, F.lit(False))
+    return keep & (F.col("x1") > F.col("left")) & (F.col("x0") < F.col("right")) if in_frame else keep
+
+
 def visual_boxes(boxes: DataFrame, pages: DataFrame) -> DataFrame:
     """Boxes that are content: not as large as the page, in the middle of the frame, and between top and footer.
 
     Pages are (page, width, height, left, right) in points.
     """
-    b = boxes.where("kind <> 'word'").join(pages.select("page", "width", "height", "left", "right"), "page")
-    center, small = (F.col("x0") + F.col("x1")) / 2, (F.col("x1") - F.col("x0") < F.col("width") * WHOLE_PAGE) & (F.col("bottom") - F.col("top") < F.col("height") * WHOLE_PAGE)
-    inside = center.between(F.col("left") + CENTER_INSET * POINTS, F.col("right") - CENTER_INSET * POINTS)
-    high = (F.col("bottom") >= (SAFE_TOP - TOP_SLACK) * POINTS) & (F.col("top") <= FOOTER_TOP * POINTS)
-    return b.where(small & inside & high).select(*boxes.columns)
+    return boxes.join(pages.select("page", "width", "height", "left", "right"), "page").where(_is_visual()).select(*boxes.columns)
 
 
 def content_words(boxes: DataFrame, pages: DataFrame, in_frame: bool = False) -> DataFrame:
     """Words above the footer that are no page number; with ``in_frame`` only those that reach into the frame."""
-    b = boxes.where("kind = 'word'").join(pages.select("page", "left", "right"), "page")
-    folio = (F.col("top") > FOLIO_TOP * POINTS) & F.trim("text").rlike("^\\d+$")
-    keep = (F.col("bottom") < FOOTER_TOP * POINTS) & ~F.coalesce(folio, F.lit(False))
-    if in_frame:
-        keep = keep & (F.col("x1") > F.col("left")) & (F.col("x0") < F.col("right"))
-    return b.where(keep).select(*boxes.columns)
-
-
-def answer_extent(boxes: DataFrame, pages: DataFrame) -> DataFrame:
-    """(page, extent): the lowest ruled line, made of pieces of one height, that spans the frame."""
-    b = boxes.where("kind IN ('line', 'curve', 'rect')").join(pages.select("page", "left", "right"), "page")
-    y = (F.col("top") + F.col("bottom")) / 2
-    flat = (F.col("bottom") - F.col("top") <= ANSWER_HIGH * POINTS) & y.between(ANSWER_TOP * POINTS, SAFE_BOTTOM * POINTS)
-    rules = b.where(flat).groupBy("page", F.rint(y / ANSWER_STEP).alias("step"))
-    rules = rules.agg(F.min("x0").alias("x0"), F.max("x1").alias("x1"), F.max(y).alias("y"), F.first("left").alias("left"), F.first("right").alias("right"))
-    near = lambda a, c: F.abs(F.col(a) - F.col(c)) <= ANSWER_SIDE * POINTS
-    return rules.where((F.col("x1") - F.col("x0") >= ANSWER_LEAST_WIDTH * POINTS) & near("x0", "left") & near("x1", "right")).groupBy("page").agg(F.max("y").alias("extent"))
+    return boxes.join(pages.select("page", "left", "right"), "page").where(_is_content_word(in_frame)).select(*boxes.columns)
+
+
+_HEIGHT = "(top + bottom) / 2"
+
+
+def _is_rule() -> Column:
+    y = F.expr(_HEIGHT)
+    return F.col("kind").isin("line", "curve", "rect") & (F.col("bottom") - F.col("top") <= ANSWER_HIGH * POINTS) & y.between(ANSWER_TOP * POINTS, SAFE_BOTTOM * POINTS)
 
 
 def page_content(boxes: DataFrame, pages: DataFrame, in_frame: bool = False) -> DataFrame:
-    """(page, top, bottom, utilization) of every page: content words, content boxes and ruled lines together."""
-    both = content_words(boxes, pages, in_frame).select("page", "top", "bottom").unionByName(visual_boxes(boxes, pages).select("page", "top", "bottom"))
-    ends = both.groupBy("page").agg(F.min("top").alias("top"), F.max("bottom").alias("low"))
-    found = pages.select("page").join(ends, "page", "left").join(answer_extent(boxes, pages), "page", "left").withColumn("bottom", F.greatest("low", "extent"))
+    """(page, top, bottom, utilization) of every page: content words, content boxes and ruled lines together.
+
+    The lowest ruled line, made of pieces of one height, that spans the frame counts.  Boxes meet their page once, and are taken
+    together by page and height of rule, then by page.
+    """
+    b = pages.select("page", "width", "height", "left", "right").join(boxes, "page", "left")
+    y, content = F.expr(_HEIGHT), _is_content_word(in_frame) | _is_visual()
+    b = b.withColumns({"content": F.coalesce(content, F.lit(False)), "step": F.when(_is_rule(), F.rint(y / ANSWER_STEP))})
+    rule = F.col("step").isNotNull()
+    pieces = b.groupBy("page", "step").agg(
+        F.min(F.when(F.col("content"), F.col("top"))).alias("top"), F.max(F.when(F.col("content"), F.col("bottom"))).alias("low"),
+        F.min(F.when(rule, F.col("x0"))).alias("x0"), F.max(F.when(rule, F.col("x1"))).alias("x1"), F.max(F.when(rule, y)).alias("y"), F.max("left").alias("left"), F.max("right").alias("right"),
+    )
+    near = lambda a, c: F.abs(F.col(a) - F.col(c)) <= ANSWER_SIDE * POINTS
+    spans = (F.col("x1") - F.col("x0") >= ANSWER_LEAST_WIDTH * POINTS) & near("x0", "left") & near("x1", "right")
+    found = pieces.groupBy("page").agg(F.min("top").alias("top"), F.greatest(F.max("low"), F.max(F.when(spans, F.col("y")))).alias("bottom"))
     share = 100 * F.greatest(F.lit(0.0), F.least(F.lit(SAFE_BOTTOM * POINTS), F.col("bottom")) - SAFE_TOP * POINTS) / ((SAFE_BOTTOM - SAFE_TOP) * POINTS)
     return found.select("page", "top", "bottom", F.when(F.col("bottom").isNull(), F.lit(0.0)).otherwise(share).alias("utilization"))
 
