@@ -21,7 +21,7 @@ class RowRule:
 def row_violations(df: DataFrame, key: Column, rules: list[RowRule]) -> DataFrame:
     """(rule_id, severity, key): one scan for all rules, one row for each violation."""
     hits = F.array(*[F.when(r.violated, F.struct(F.lit(r.rule_id).alias("rule_id"), F.lit(r.severity).alias("severity"))) for r in rules])
-    return df.select(key.cast("string").alias("key"), F.explode(F.array_compact(hits)).alias("v")).select("v.rule_id", "v.severity", "key")
+    return df.select(key.cast("string").alias("key"), F.explode(hits).alias("v")).where("v IS NOT NULL").select("v.rule_id", "v.severity", "key")
 
 
 def duplicate_keys(df: DataFrame, keys: list[str], rule_id: str = "unique") -> DataFrame:

@@ -97,10 +97,10 @@ def job_facts(manifests: DataFrame) -> tuple[DataFrame, DataFrame]:
     ``manifests``(job, root, value); errors are (rule_id, severity, key).
     """
     parsed = manifests.select("job", "root", F.try_parse_json("value").alias("v"))
-    parsed = written(parsed.withColumn("kind", kind_of(F.col("v"))), "jobs")  # else filters on the kind parse every text again
+    parsed = parsed.withColumn("kind", kind_of(F.col("v")))  # rows are told by it once facts are written, as filters on it parse every text again
     fields = {n: (n, "string") for n in (*PATHS, *DOMAINS)} | {n: (n, "int") for n in ("preview_source_pages", "expected_page_count")}
     fields |= {"preview": ("preview_source_page_numbers", "array<int>"), "items": ("content_page_ranges", "array<variant>"), "fonts": ("pdf_font_map", "map<string,variant>")}
-    whole = parsed.where("kind = 'OBJECT'").withColumns({n: F.try_variant_get("v", f"$.{n}", "string") for n in NAMES})
+    whole = parsed.withColumns({n: F.try_variant_get("v", f"$.{n}", "string") for n in NAMES})
     j, c = typed(whole, "v", fields, F.lit("")), F.col
     j = j.withColumns({p: F.when(F.trim(c(p)) != "", absolute(c("root"), c(p))) for p in PATHS})
     suffix = F.lower(F.regexp_extract("source", "[^/]\\.([^./]+)$", 1))
@@ -126,8 +126,9 @@ def job_facts(manifests: DataFrame) -> tuple[DataFrame, DataFrame]:
         "made_twice": F.size("made") > F.size(F.array_distinct("made")),
         **{f"{p}_given": c(p).isNotNull() for p in PATHS},
     })
-    facts = written(j.drop("v", "kind", "items", "fonts", "real", "sorted", "protected", "made"), "job_facts")
-    torn = parsed.where("kind IS NULL OR kind <> 'OBJECT'").select(F.when(F.col("kind").isNull(), "json").otherwise("root_object").alias("rule_id"), F.lit("error").alias("severity"), F.col("job").alias("key"))
+    every = written(j.drop("v", "items", "fonts", "real", "sorted", "protected", "made"), "job_facts")
+    facts = every.where("kind = 'OBJECT'").drop("kind")
+    torn = every.where("kind IS NULL OR kind <> 'OBJECT'").select(F.when(F.col("kind").isNull(), "json").otherwise("root_object").alias("rule_id"), F.lit("error").alias("severity"), F.col("job").alias("key"))
     return facts.drop("wrong"), torn.unionByName(facts.select(F.lit("field_type").alias("rule_id"), F.lit("error").alias("severity"), F.explode(F.transform("wrong", lambda w: F.concat_ws("/", "job", w))).alias("key")))
 
 
