@@ -5,9 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from folioloom.plans.catalogue import made, query
+from folioloom.operators.ordered import dealt
+from folioloom.plans.catalogue import made, query, table
 from folioloom.sources import job_table as J
 
+#: Jobs that one task parses, whatever the number of jobs.
+JOBS_A_TASK = 50_000
+
 _JOBS = """
 WITH l AS (SELECT l_orderkey AS k, l_linenumber AS n, l_partkey % 400 AS a, l_partkey % 400 + CAST(l_quantity AS INT) % 40 - 1 AS b, l_suppkey % 400 AS p FROM {lineitem}),
 r AS (SELECT k, count(*) AS n, sort_array(collect_list(struct(n, a, b, p))) AS s FROM l GROUP BY k),
@@ -27,7 +31,8 @@ _FILES = "SELECT explode(array('/in/' || c_custkey || '.pdf', '/in/' || c_custke
 
 
 def _tables(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
-    jobs = made(spark, sf_dir, _JOBS, "orders", "lineitem").repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "job")  # few bytes, much work a row
+    n = table(spark, sf_dir, "orders").count()
+    jobs = dealt(made(spark, sf_dir, _JOBS, "orders", "lineitem"), ["job"], n, JOBS_A_TASK)  # few bytes, much work a row
     return jobs, made(spark, sf_dir, _FILES, "customer")
 
 

@@ -38,3 +38,14 @@ def test_kinds_are_told_from_the_outside(spark):
     texts = ["{}", "[]", '[{"a":1},2]', "null", "1", "1.5", '"x"', "true"]
     kinds = spark.createDataFrame([(t,) for t in texts], "t string").select("t", S.kind_of(F.parse_json("t")).alias("k")).collect()
     assert {r["t"]: r["k"] for r in kinds} == dict(zip(texts, ["OBJECT", "ARRAY", "ARRAY", "VOID", "BIGINT", "DECIMAL", "STRING", "BOOLEAN"], strict=True))
+
+
+def test_a_gates_groups_are_dealt_by_the_number_of_jobs(spark, monkeypatch):
+    dealt = J.dealt
+    monkeypatch.setattr(J, "dealt", lambda df, keys, n: dealt(df, keys, n, rows_a_task=100))
+    texts = [(f"j{i}", "/", '{"source":"a.docx"}') for i in range(200)]
+    facts, _ = J.job_facts(spark.createDataFrame(texts, "job string, root string, value string"))
+    gate = J.conversion_gate(facts, spark.createDataFrame([], "job string, value string"), spark.createDataFrame([], "path string, sha256 string"))
+    plan = gate._jdf.queryExecution().executedPlan().toString()
+    assert "REPARTITION_BY_NUM" in plan and gate.count() == 200
+    assert {(r["n_preview"], r["n_approved"], r["passed"]) for r in gate.collect()} == {(3, 3, False)}
