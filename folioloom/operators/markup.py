@@ -7,9 +7,11 @@ from __future__ import annotations
 
 import io
 import xml.etree.ElementTree as ET
+from functools import lru_cache
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
@@ -17,7 +19,7 @@ from folioloom.operators.contracts import RowRule, row_violations
 
 #: Elements handed on at once.
 ROWS_AT_ONCE = 10_000
-ELEMENTS = "path string, part string, n int, parent int, depth int, tag string, text string, attrs map<string,string>, error string"
+FOLDED = "path string, part string, elements array<struct<n int, parent int, depth int, tag string, text string, attrs map<string,string>>>, error string"
 
 # Elements that are counted, and those that need a review or stop a merge.
 COUNTED = {
@@ -31,39 +33,87 @@ REVIEWED = {
 STYLES, FONTS = ("pStyle", "rStyle", "tblStyle"), ("ascii", "hAnsi", "eastAsia", "cs")
 
 
+@lru_cache(4096)
 def _local(name: str) -> str:
     return name.rsplit("}", 1)[-1]
 
 
-def _rows(path: str, part: str, content: bytes) -> list[tuple]:
-    try:
-        root = ET.parse(io.BytesIO(content)).getroot()
-    except ET.ParseError as error:
-        return [(path, part, None, None, None, None, None, None, str(error))]
-    out, todo = [], [(root, None, 0)]
+def _tree(content: bytes) -> list[tuple]:
+    """(n, parent, depth, tag, text, attrs) of every element in document order."""
+    out, todo = [], [(ET.parse(io.BytesIO(content)).getroot(), None, 0)]
     while todo:
         e, parent, depth = todo.pop()
-        n = len(out)
-        out.append((path, part, n, parent, depth, _local(e.tag), e.text, {_local(k): v for k, v in e.attrib.items()}, None))
-        todo += [(kid, n, depth + 1) for kid in reversed(e)]
+        n, attrs = len(out), e.items()
+        out.append((n, parent, depth, _local(e.tag), e.text, list({_local(k): v for k, v in attrs}.items()) if attrs else attrs))
+        if len(e):
+            todo += [(kid, n, depth + 1) for kid in e[::-1]]
     return out
 
 
-def elements(parts: DataFrame) -> DataFrame:
-    """Every element of parts(path, part, content) in document order, by local names."""
+def _parsed(parts: DataFrame, most: int | None) -> DataFrame:
+    """Parts with arrays of at most ``most`` elements, or of all."""
 
     def work(batches):
-        names = [c.split()[0] for c in ELEMENTS.split(", ")]
         rows: list[tuple] = []
-        for pdf in batches:
-            for path, part, content in zip(pdf["path"], pdf["part"], pdf["content"], strict=True):
-                rows += _rows(path, part, content or b"")
-                if len(rows) >= ROWS_AT_ONCE:
-                    yield pd.DataFrame(rows, columns=names, dtype=object)
-                    rows = []
-        yield pd.DataFrame(rows, columns=names, dtype=object)
+        held = 0
+        for batch in batches:
+            for path, part, content in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                try:
+                    tree = _tree(content or b"")
+                except ET.ParseError as error:
+                    rows.append((path, part, None, str(error)))
+                    continue
+                for k in range(0, len(tree), most or len(tree)):
+                    rows.append((path, part, tree[k : k + (most or len(tree))], None))
+                    held += len(rows[-1][2])
+                    if held >= ROWS_AT_ONCE:
+                        yield _batch(rows)
+                        rows, held = [], 0
+        yield _batch(rows)
+
+    return parts.select("path", "part", "content").mapInArrow(work, FOLDED)
+
+
+def _batch(rows: list[tuple]) -> pa.RecordBatch:
+    attrs = pa.map_(pa.string(), pa.string())
+    element = pa.struct([("n", pa.int32()), ("parent", pa.int32()), ("depth", pa.int32()), ("tag", pa.string()), ("text", pa.string()), ("attrs", attrs)])
+    types = (pa.string(), pa.string(), pa.list_(element), pa.string())
+    return pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], t) for k, t in enumerate(types)], ["path", "part", "elements", "error"])
+
+
+def folded(parts: DataFrame) -> DataFrame:
+    """A row a part, its elements as one array in document order; rules of a document then need no shuffle of elements."""
+    return _parsed(parts, None)
+
+
+def elements(parts: DataFrame) -> DataFrame:
+    """Every element of parts(path, part, content) in document order, by local names."""
+    rows = _parsed(parts, ROWS_AT_ONCE).select("path", "part", F.explode_outer("elements").alias("e"), "error")
+    return rows.select("path", "part", "e.*", "error")
+
 
-    return parts.select("path", "part", "content").mapInPandas(work, ELEMENTS)
+def fold(elements: DataFrame) -> DataFrame:
+    """The rows of :func:`folded` from those of :func:`elements`, which must be whole; rows that are folded already stay."""
+    if "elements" in elements.columns:
+        return elements
+    one = F.when(F.col("n").isNotNull(), F.struct("n", "parent", "depth", "tag", "text", "attrs"))
+    rows = elements.groupBy("path", "part").agg(F.array_sort(F.collect_list(one), lambda a, b: a["n"] - b["n"]).alias("elements"), F.max("error").alias("error"))
+    return rows.withColumn("elements", F.when(F.size("elements") > 0, F.col("elements")))
+
+
+def let(value: Column, f) -> Column:
+    """``f`` of a value that is taken once, however often f's inner functions look at it."""
+    return F.get(F.transform(F.array(value), f), 0)
+
+
+def bodies(elements: Column) -> Column:
+    """Numbers of the elements that are bodies: nearly always one."""
+    return F.transform(F.filter(elements, lambda x: x["tag"] == "body"), lambda x: x["n"])
+
+
+def innermost(bodies: Column, at: Column) -> Column:
+    """The last of ``bodies`` that begins at or before an element."""
+    return F.array_max(F.filter(bodies, lambda b: b <= at))
 
 
 @F.pandas_udf(StringType())
@@ -87,14 +137,17 @@ def _value(default: str | None = None) -> Column:
     return F.coalesce(F.col("attrs")["val"], F.lit(default)) if default else F.col("attrs")["val"]
 
 
+def token(tag: Column, text: Column, attrs: Column) -> Column:
+    """What a reader sees of an element: its text, a tab, a break or a carriage return; else null."""
+    return (
+        F.when(tag == "t", F.concat(F.lit("T:"), F.coalesce(text, F.lit("")))).when(tag == "tab", "TAB")
+        .when(tag == "br", F.concat(F.lit("BR:"), F.coalesce(attrs["type"], F.lit("textWrapping")))).when(tag == "cr", "CR")
+    )
+
+
 def visible_tokens(elements: DataFrame) -> DataFrame:
     """(path, part, n, token): text, tabs, breaks and carriage returns in document order."""
-    tag = F.col("tag")
-    token = (
-        F.when(tag == "t", F.concat(F.lit("T:"), F.coalesce("text", F.lit("")))).when(tag == "tab", "TAB")
-        .when(tag == "br", F.concat(F.lit("BR:"), F.coalesce(F.col("attrs")["type"], F.lit("textWrapping")))).when(tag == "cr", "CR")
-    )
-    return elements.select("path", "part", "n", token.alias("token")).where("token IS NOT NULL")
+    return elements.select("path", "part", "n", token(F.col("tag"), F.col("text"), F.col("attrs")).alias("token")).where("token IS NOT NULL")
 
 
 def inventory(elements: DataFrame) -> DataFrame:
@@ -113,10 +166,9 @@ def inventory(elements: DataFrame) -> DataFrame:
     return base.withColumn("reviewed", F.sort_array(F.transform("reviewed", lambda t: names[t]))).withColumn("update_fields", F.col("update_fields") == 1)
 
 
-def feature_counts(elements: DataFrame) -> DataFrame:
-    """(path, feature, n) of the counted features, for comparison; features without elements have none."""
-    names = F.create_map(*[F.lit(x) for name, t in COUNTED.items() for x in (t, name)])
-    return elements.where(F.col("tag").isin(*COUNTED.values())).groupBy("path", names[F.col("tag")].alias("feature")).agg(F.count("*").alias("n"))
+def feature(tag: Column) -> Column:
+    """Name of a counted element; else null."""
+    return F.create_map(*[F.lit(x) for name, t in COUNTED.items() for x in (t, name)])[tag]
 
 
 def boundaries(elements: DataFrame) -> DataFrame:
@@ -135,15 +187,19 @@ def denied_features(elements: DataFrame, denied: tuple[str, ...] = tuple(REVIEWE
 def body_members(elements: DataFrame) -> DataFrame:
     """(path, part, pos, kind, text): the body's paragraphs and tables in order, with all their text.
 
-    An element belongs to the last member that begins before it, as members don't nest.
+    An element belongs to the last member that begins before it, as members don't nest.  Elements may be folded.
     """
-    order = Window.partitionBy("path", "part").orderBy("n").rowsBetween(Window.unboundedPreceding, 0)
-    body = F.max(F.when(F.col("tag") == "body", F.col("n"))).over(order)
-    member = (F.col("parent") == body) & F.col("tag").isin("p", "tbl")
-    other = (F.col("parent") == body) & ~F.col("tag").isin("p", "tbl")
-    e = elements.where("n IS NOT NULL").withColumn("member", F.coalesce(member, F.lit(False))).withColumn("other", F.coalesce(other, F.lit(False)))
-    e = e.withColumn("own", F.last(F.when(F.col("member"), F.col("n")).when(F.col("other"), F.lit(-1)), ignorenulls=True).over(order)).where("own >= 0")
-    text = F.transform(F.sort_array(F.collect_list(F.when(F.col("tag") == "t", F.struct("n", "text")))), lambda s: F.coalesce(s["text"], F.lit("")))
-    rows = e.groupBy("path", "part", "own").agg(F.max(F.when(F.col("member"), F.col("tag"))).alias("tag"), F.array_join(text, "").alias("text"))
-    pos = F.row_number().over(Window.partitionBy("path", "part").orderBy("own"))
-    return rows.select("path", "part", pos.alias("pos"), F.when(F.col("tag") == "p", "paragraph").otherwise("table").alias("kind"), "text")
+    e = F.col("elements")
+    in_body = lambda b: lambda x: F.array_contains(b, x["parent"]) & (x["parent"] == innermost(b, x["n"]))
+    heads = let(bodies(e), lambda b: F.transform(F.filter(e, in_body(b)), lambda x: F.struct(x["n"].alias("n"), x["tag"].alias("tag"))))
+    rows = fold(elements).where("elements IS NOT NULL")
+
+    def member(heads: Column, own: Column, k: Column) -> Column:
+        end = F.coalesce(F.get(heads, k + 1)["n"], F.size(e))
+        texts = F.filter(F.slice(e, own["n"] + 1, end - own["n"]), lambda x: x["tag"] == "t")
+        text = F.array_join(F.transform(texts, lambda x: F.coalesce(x["text"], F.lit(""))), "")
+        return F.when(own["tag"].isin("p", "tbl"), F.struct(F.when(own["tag"] == "p", "paragraph").otherwise("table").alias("kind"), text.alias("text")))
+
+    members = F.filter(let(heads, lambda h: F.transform(h, lambda own, k: member(h, own, k))), lambda m: m.isNotNull())
+    rows = rows.select("path", "part", F.posexplode(members).alias("k", "m"))
+    return rows.select("path", "part", (F.col("k") + 1).alias("pos"), "m.kind", "m.text")
