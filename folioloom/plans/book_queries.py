@@ -867,7 +867,7 @@ FROM x WHERE path % 10 > 0 AND part % 7 < 6
 )
 def body_members(spark, sf_dir):
     """Paragraphs and tables of a body in order."""
-    return X.body_members(X.elements(_xml_parts(spark, sf_dir))).select("path", "pos", "kind", "text")
+    return X.body_members(X.folded(_xml_parts(spark, sf_dir))).select("path", "pos", "kind", "text")
 
 
 @query(
