@@ -61,21 +61,80 @@ def style_merge(required: DataFrame, source: DataFrame, destination: DataFrame)
     return kept.unionByName(renamed)
 
 
+def _cut(part) -> tuple:
+    """Stem and extension of a part's name."""
+    cut = "(?s)^(.*?)(\\.[^./]*)?\\z"
+    return F.regexp_extract(part, cut, 1), F.regexp_extract(part, cut, 2)
+
+
+def _numbered(df: DataFrame) -> DataFrame:
+    """df with (of, suffix, number) of names ``<of>_src<number><suffix>``; the number is null for others."""
+    stem, suffix = _cut("part")
+    tail = "(?s)^(.*)_src(\\d+)\\z"
+    return df.withColumns({"of": F.regexp_extract(stem, tail, 1), "suffix": suffix, "number": F.regexp_extract(stem, tail, 2).try_cast("int")})
+
+
 def part_names(parts: DataFrame, destination: DataFrame) -> DataFrame:
     """(doc, part, new_part, copied): a part that is there byte for byte is reused, one that differs gets a free ``_srcN``."""
     p = parts.select("doc", "part", "digest").join(destination.select("doc", "part", F.col("digest").alias("there"), F.lit(True).alias("held")), ["doc", "part"], "left")
     p = p.withColumn("differs", F.coalesce(F.col("held") & ~F.col("digest").eqNullSafe(F.col("there")), F.lit(False)))
-    cut = "^(.*?)(\\.[^./]*)?$"
-    stem, suffix = F.regexp_extract("part", cut, 1), F.regexp_extract("part", cut, 2)
+    stem, suffix = _cut("part")
     clash = p.where("differs").withColumn("stem", stem).withColumn("suffix", suffix)
-    numbered = "^(.*)_src(\\d+)(\\.[^./]*)?$"
     names = destination.select("doc", "part").unionByName(p.where("NOT differs").select("doc", "part"))
-    taken = names.select("doc", F.regexp_extract("part", numbered, 1).alias("stem"), F.regexp_extract("part", numbered, 3).alias("suffix"), F.regexp_extract("part", numbered, 2).try_cast("int").alias("number"))
+    taken = _numbered(names).select("doc", F.col("of").alias("stem"), "suffix", "number")
     named = free_numbers(clash, taken.where("number IS NOT NULL"), ["doc", "stem", "suffix"], "part")
     renamed = named.select("doc", "part", F.concat("stem", F.lit("_src"), F.col("number").cast("string"), "suffix").alias("new_part"), F.lit(True).alias("copied"))
     return p.where("NOT differs").select("doc", "part", F.col("part").alias("new_part"), F.col("held").isNull().alias("copied")).unionByName(renamed)
 
 
+def _reached(steps: DataFrame, roots: DataFrame) -> DataFrame:
+    """(doc, part, round) of the parts that steps(doc, owner, part) lead to from the roots, which are of round 1."""
+    fresh = known = written(roots.withColumn("round", F.lit(1)), "round")
+    k = 1
+    while not fresh.isEmpty():
+        k += 1
+        found = steps.join(fresh.select("doc", F.col("part").alias("owner")), ["doc", "owner"], "left_semi").select("doc", "part").distinct()
+        fresh = written(found.join(known.select("doc", "part"), ["doc", "part"], "left_anti").withColumn("round", F.lit(k)), "round")
+        known = known.unionByName(fresh)
+        if k % 16 == 0:  # a plan of few tables, however deep the package
+            known = written(known, "round")
+    return known
+
+
+def _round_names(nodes: DataFrame, destination: DataFrame) -> DataFrame:
+    """(doc, part, new_part, copied, round) of nodes(doc, part, digest, round), as :func:`part_names` would name them round by round.
+
+    Only the part ``<stem><suffix>`` can be renamed to a ``<stem>_srcN<suffix>``, so the numbers that it finds taken are known
+    beforehand: the destination's, and those of parts of its own and earlier rounds.  What is left are parts whose own
+    name was given to another in a round before, which are followed from one to the next; nearly always there are none.
+    """
+    there = destination.select("doc", "part", F.col("digest").alias("there"), F.lit(True).alias("held"))
+    met = nodes.join(there, ["doc", "part"], "left").withColumn("clash", F.coalesce(F.col("held") & ~F.col("digest").eqNullSafe(F.col("there")), F.lit(False)))
+    met = written(_numbered(met.select("doc", "part", "digest", "round", F.col("held").isNotNull().alias("held"), "clash")), "met")
+    taken = _numbered(destination.select("doc", "part", F.lit(0).alias("since"))).unionByName(met.select("doc", "part", F.col("round").alias("since"), "of", "suffix", "number"))
+    taken = taken.where("number >= 1").select("doc", F.col("of").alias("stem"), F.col("suffix").alias("end"), F.col("number").alias("n"), "since")
+    stem, end = _cut("part")
+    moving = met.where("clash OR number IS NOT NULL").withColumns({"stem": stem, "end": end})
+    family, own = ["doc", "stem", "end"], ["part", "digest", "round", "held", "clash", "of", "number"]
+    seen = moving.join(taken, family, "left").withColumn("n", F.when(F.col("since") <= F.col("round"), F.col("n"))).select(*family, *own, "n").distinct()
+    # the least free number follows the last of those that stand in their own place
+    place = F.row_number().over(Window.partitionBy(*family).orderBy(F.col("n").asc_nulls_last()))
+    free = F.coalesce(F.max(F.when(F.col("n") == F.col("place"), F.col("place"))), F.lit(0)) + 1
+    moving = seen.withColumn("place", place).groupBy(*family, *own).agg(free.alias("free"))
+    moving = written(moving.withColumn("renamed", F.concat("stem", F.lit("_src"), F.col("free").cast("string"), "end")), "moving")
+    givers = moving.select("doc", F.col("renamed").alias("part"), F.col("part").alias("by"), F.col("digest").alias("given"), F.col("round").alias("at"), F.col("clash").alias("sure"))
+    hits = moving.where("number IS NOT NULL").join(givers, ["doc", "part"]).where("at < round")
+    hits = written(hits.select("doc", "part", "by", "sure", (~F.col("digest").eqNullSafe(F.col("given"))).alias("differs")), "hits")
+    struck = fresh = hits.where("sure").select("doc", "part", "differs")
+    while not fresh.isEmpty():
+        fresh = written(hits.join(fresh.where("differs").select("doc", F.col("part").alias("by")), ["doc", "by"], "left_semi").select("doc", "part", "differs"), "struck")
+        struck = struck.unionByName(fresh)
+    moving = moving.join(struck, ["doc", "part"], "left")
+    clash = F.col("clash") | F.coalesce("differs", F.lit(False))
+    named = moving.select("doc", "part", F.when(clash, F.col("renamed")).otherwise(F.col("part")).alias("new_part"), (clash | ~(F.col("held") | F.col("differs").isNotNull())).alias("copied"), "round")
+    return met.where("NOT clash AND number IS NULL").select("doc", "part", F.col("part").alias("new_part"), (~F.col("held")).alias("copied"), "round").unionByName(named)
+
+
 def part_closure(parts: DataFrame, rels: DataFrame, roots: DataFrame, destination: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     """What comes along with the parts that a body refers to: (names, relationships, missing).
 
@@ -85,33 +144,23 @@ def part_closure(parts: DataFrame, rels: DataFrame, roots: DataFrame, destinatio
     among the destination's parts and all that were named in rounds before; a part is named once, so
     cycles end.  ``names``: (doc, part, new_part, copied, round); ``relationships``: (doc, owner, id,
     part) of the copies, under their new names; ``missing``: (doc, part, owner) of targets that are no
-    part, the roots' owner being null.  Every round is a written table, and rounds follow the depth of
-    the packages.  Null part names lead nowhere.
+    part, the roots' owner being null.  Parts are found first, in written rounds that follow the depth of
+    the packages, and named afterwards, all rounds at once.  Null part names lead nowhere.
     """
     inner = rels.where("coalesce(mode, 'Internal') <> 'External' AND part IS NOT NULL")
     leads = written(inner.select("doc", "owner", "id", "part"), "leads")
-    had = written(destination.select("doc", "part", "digest"), "there")
     parts = written(parts.select("doc", "part", "digest"), "parts")
-    frontier = roots.where("part IS NOT NULL").select("doc", "part").distinct()
-    names, k = None, 0
-    while True:
-        k += 1
-        known = written(parts.join(frontier, ["doc", "part"], "left_semi"), "frontier")
-        named = written(part_names(known, had).withColumn("round", F.lit(k)).join(known, ["doc", "part"]), "named")
-        if known.isEmpty():
-            break
-        names = named if names is None else names.unionByName(named)
-        had = had.unionByName(named.where("copied").select("doc", F.col("new_part").alias("part"), "digest"))
-        step = leads.join(named.select("doc", F.col("part").alias("owner")), ["doc", "owner"], "left_semi").select("doc", "part").distinct()
-        frontier = step.join(names.select("doc", "part"), ["doc", "part"], "left_anti")
-    names = named if names is None else names
+    keys, begun = parts.select("doc", "part"), roots.where("part IS NOT NULL").select("doc", "part")
+    steps = written(leads.select("doc", "owner", "part").join(keys, ["doc", "part"], "left_semi"), "steps")
+    nodes = parts.join(_reached(steps, begun.distinct().join(keys, ["doc", "part"], "left_semi")), ["doc", "part"])
+    names = _round_names(nodes, destination)
     moved = names.select("doc", F.col("part").alias("owner"), F.col("new_part").alias("new_owner"))
-    copied = leads.join(moved, ["doc", "owner"])
-    targets = copied.join(names.select("doc", "part", F.col("new_part").alias("new_target")), ["doc", "part"], "left")
+    targets = leads.join(moved, ["doc", "owner"]).join(names.select("doc", "part", F.col("new_part").alias("new_target")), ["doc", "part"], "left")
     relationships = targets.where("new_target IS NOT NULL").select("doc", F.col("new_owner").alias("owner"), "id", F.col("new_target").alias("part"))
-    wanted = copied.select("doc", "part", "owner").unionByName(roots.where("part IS NOT NULL").select("doc", "part", F.lit(None).cast("string").alias("owner"))).distinct()
-    missing = wanted.join(parts.select("doc", "part"), ["doc", "part"], "left_anti")
-    return names.drop("digest"), relationships, missing
+    # a copy leads to a part that was reached, or to none
+    lost = begun.join(keys, ["doc", "part"], "left_anti").withColumn("owner", F.lit(None).cast("string"))
+    missing = targets.where("new_target IS NULL").select("doc", "part", "owner").unionByName(lost).distinct()
+    return names, relationships, missing
 
 
 def font_merge(required: DataFrame, source: DataFrame, destination: DataFrame) -> DataFrame:
