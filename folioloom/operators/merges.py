@@ -5,10 +5,11 @@ Every table has a column ``doc``, so that any number of packages is merged at on
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from folioloom.operators.contracts import RowRule, all_violations, row_violations
+from folioloom.operators.ordered import dealt
 from folioloom.tables import written
 
 
@@ -87,6 +88,10 @@ def part_names(parts: DataFrame, destination: DataFrame) -> DataFrame:
     return p.where("NOT differs").select("doc", "part", F.col("part").alias("new_part"), F.col("held").isNull().alias("copied")).unionByName(renamed)
 
 
+#: Parts, relationships and roots of a package, with the destination's parts, that are one row; more are followed in rounds.
+PACKAGE_ROWS = 250
+
+
 def _reached(steps: DataFrame, roots: DataFrame) -> DataFrame:
     """(doc, part, round) of the parts that steps(doc, owner, part) lead to from the roots, which are of round 1."""
     fresh = known = written(roots.withColumn("round", F.lit(1)), "round")
@@ -101,29 +106,87 @@ def _reached(steps: DataFrame, roots: DataFrame) -> DataFrame:
     return known
 
 
-def _round_names(nodes: DataFrame, destination: DataFrame) -> DataFrame:
-    """(doc, part, new_part, copied, round) of nodes(doc, part, digest, round), as :func:`part_names` would name them round by round.
+def _reached_within(leads: Column, parts: Column, roots: Column) -> Column:
+    """Array of (part, round) as of :func:`_reached`, of one package whose tables are arrays."""
+    keys = F.transform(parts, lambda p: p["part"])
+    at = lambda now: F.transform(now["fresh"], lambda p: F.struct(p.alias("part"), now["round"].alias("round")))
+    none = F.array().cast("array<struct<part:string,round:int>>")
+    start = F.struct(none.alias("known"), F.array_intersect(roots, keys).alias("fresh"), F.lit(1).alias("round"))
+
+    def step(now: Column, _: Column) -> Column:
+        led = F.transform(F.filter(leads, lambda e: F.array_contains(now["fresh"], e["owner"])), lambda e: e["part"])
+        new = F.array_except(led, F.concat(F.transform(now["known"], lambda f: f["part"]), now["fresh"]))
+        then = F.struct(F.concat(now["known"], at(now)).alias("known"), F.array_intersect(new, keys).alias("fresh"), (now["round"] + 1).alias("round"))
+        return F.when(F.size(now["fresh"]) == 0, now).otherwise(then)
+
+    # each round but the first takes a relationship at least
+    return F.aggregate(leads, start, step, lambda now: F.concat(now["known"], at(now)))
+
+
+def _found_in_rounds(parts: DataFrame, leads: DataFrame, roots: DataFrame, destination: DataFrame) -> DataFrame:
+    """As :func:`_found`, for packages of any size."""
+    parts = written(parts, "parts")
+    keys = parts.select("doc", "part")
+    steps = written(leads.join(keys, ["doc", "part"], "left_semi"), "steps")
+    nodes = parts.join(_reached(steps, roots.distinct().join(keys, ["doc", "part"], "left_semi")), ["doc", "part"])
+    there = destination.select("doc", "part", F.col("digest").alias("there"), F.lit(True).alias("held"))
+    return nodes.join(there, ["doc", "part"], "left").select("doc", "part", "digest", "round", F.col("held").isNotNull().alias("held"), "there")
+
+
+def _found(parts: DataFrame, leads: DataFrame, roots: DataFrame, destination: DataFrame) -> DataFrame:
+    """(doc, part, digest, round, held, there) of the parts that come along, and what the destination holds under their names.
+
+    A package of up to PACKAGE_ROWS rows becomes one row, in one shuffle, and is followed in there.  Larger ones
+    are followed round by round over all of them, so that none is ever held whole.
+    """
+    tables = {"part": parts.select("doc", "part", "digest"), "lead": leads.select("doc", "owner", "part"), "root": roots.select("doc", "part"), "there": destination.select("doc", "part", "digest")}
+    tables = {kind: df.where("doc IS NOT NULL") for kind, df in tables.items()}
+    docs = tables["part"].select("doc").unionAll(tables["lead"].select("doc")).unionAll(tables["root"].select("doc")).unionAll(tables["there"].select("doc"))
+    sizes = docs.groupBy("doc").agg(F.count("*").alias("n"))
+    n_rows, most = sizes.agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.max("n"), F.lit(0))).first()
+    small, large = tables, None
+    if most > PACKAGE_ROWS:
+        over = written(sizes.where(F.col("n") > PACKAGE_ROWS).select("doc"), "large")
+        small = {kind: df.join(over, "doc", "left_anti") for kind, df in tables.items()}
+        large = _found_in_rounds(*[df.join(over, "doc", "left_semi") for df in tables.values()])
+    rows = None
+    for kind, df in small.items():
+        df = df.withColumn("kind", F.lit(kind))
+        rows = df if rows is None else rows.unionByName(df, allowMissingColumns=True)
+    of = lambda kind, row: F.collect_list(F.when(F.col("kind") == kind, row)).alias(kind)
+    held = F.struct("part", "digest")
+    packs = dealt(rows, ["doc"], n_rows).groupBy("doc").agg(of("part", held), of("lead", F.struct("owner", "part")), of("root", F.col("part")), of("there", held))
+    named = lambda kind, f: F.filter(kind, lambda p: p["part"] == f["part"])
+    met = F.transform(_reached_within(F.col("lead"), F.col("part"), F.col("root")), lambda f: F.struct(f["part"].alias("part"), f["round"].alias("round"), named("part", f).alias("own"), named("there", f).alias("there")))
+    met = packs.select("doc", F.inline(met)).select("doc", "part", "round", F.explode("own").alias("own"), "there").select("doc", "part", "round", "own", F.explode_outer("there").alias("there"))
+    met = met.select("doc", "part", F.col("own.digest").alias("digest"), "round", F.col("there").isNotNull().alias("held"), F.col("there.digest").alias("there"))
+    return met if large is None else met.unionByName(large)
+
+
+def _round_names(found: DataFrame, destination: DataFrame) -> DataFrame:
+    """(doc, part, new_part, copied, round) of parts as :func:`_found` gives them, as :func:`part_names` would name them round by round.
 
     Only the part ``<stem><suffix>`` can be renamed to a ``<stem>_srcN<suffix>``, so the numbers that it finds taken are known
     beforehand: the destination's, and those of parts of its own and earlier rounds.  What is left are parts whose own
     name was given to another in a round before, which are followed from one to the next; nearly always there are none.
     """
-    there = destination.select("doc", "part", F.col("digest").alias("there"), F.lit(True).alias("held"))
-    met = nodes.join(there, ["doc", "part"], "left").withColumn("clash", F.coalesce(F.col("held") & ~F.col("digest").eqNullSafe(F.col("there")), F.lit(False)))
-    met = written(_numbered(met.select("doc", "part", "digest", "round", F.col("held").isNotNull().alias("held"), "clash")), "met")
+    clash = F.col("held") & ~F.col("digest").eqNullSafe(F.col("there"))
+    met = written(_numbered(found.select("doc", "part", "digest", "round", "held", clash.alias("clash"))), "met")
     taken = _numbered(destination.select("doc", "part", F.lit(0).alias("since"))).unionByName(met.select("doc", "part", F.col("round").alias("since"), "of", "suffix", "number"))
     taken = taken.where("number >= 1").select("doc", F.col("of").alias("stem"), F.col("suffix").alias("end"), F.col("number").alias("n"), "since")
     stem, end = _cut("part")
     moving = met.where("clash OR number IS NOT NULL").withColumns({"stem": stem, "end": end})
-    family, own = ["doc", "stem", "end"], ["part", "digest", "round", "held", "clash", "of", "number"]
+    family, own = ["doc", "stem", "end"], ["part", "digest", "round", "held", "clash", "number"]
+    moving, taken = (dealt(df, family, met.count()) for df in (moving.select(*family, *own), taken))
     seen = moving.join(taken, family, "left").withColumn("n", F.when(F.col("since") <= F.col("round"), F.col("n"))).select(*family, *own, "n").distinct()
     # the least free number follows the last of those that stand in their own place
     place = F.row_number().over(Window.partitionBy(*family).orderBy(F.col("n").asc_nulls_last()))
     free = F.coalesce(F.max(F.when(F.col("n") == F.col("place"), F.col("place"))), F.lit(0)) + 1
     moving = seen.withColumn("place", place).groupBy(*family, *own).agg(free.alias("free"))
-    moving = written(moving.withColumn("renamed", F.concat("stem", F.lit("_src"), F.col("free").cast("string"), "end")), "moving")
+    moving = written(moving.select("doc", *own, F.concat("stem", F.lit("_src"), F.col("free").cast("string"), "end").alias("renamed")), "moving")
     givers = moving.select("doc", F.col("renamed").alias("part"), F.col("part").alias("by"), F.col("digest").alias("given"), F.col("round").alias("at"), F.col("clash").alias("sure"))
-    hits = moving.where("number IS NOT NULL").join(givers, ["doc", "part"]).where("at < round")
+    numbered = written(moving.where("number IS NOT NULL"), "numbered")  # mostly few, which the planner can tell of a table
+    hits = numbered.join(givers, ["doc", "part"]).where("at < round")
     hits = written(hits.select("doc", "part", "by", "sure", (~F.col("digest").eqNullSafe(F.col("given"))).alias("differs")), "hits")
     struck = fresh = hits.where("sure").select("doc", "part", "differs")
     while not fresh.isEmpty():
@@ -144,16 +207,13 @@ def part_closure(parts: DataFrame, rels: DataFrame, roots: DataFrame, destinatio
     among the destination's parts and all that were named in rounds before; a part is named once, so
     cycles end.  ``names``: (doc, part, new_part, copied, round); ``relationships``: (doc, owner, id,
     part) of the copies, under their new names; ``missing``: (doc, part, owner) of targets that are no
-    part, the roots' owner being null.  Parts are found first, in written rounds that follow the depth of
-    the packages, and named afterwards, all rounds at once.  Null part names lead nowhere.
+    part, the roots' owner being null.  Parts are found first (:func:`_found`) and named afterwards, all
+    rounds at once.  Null part names lead nowhere.  Tables but ``rels`` are read more than once.
     """
     inner = rels.where("coalesce(mode, 'Internal') <> 'External' AND part IS NOT NULL")
     leads = written(inner.select("doc", "owner", "id", "part"), "leads")
-    parts = written(parts.select("doc", "part", "digest"), "parts")
     keys, begun = parts.select("doc", "part"), roots.where("part IS NOT NULL").select("doc", "part")
-    steps = written(leads.select("doc", "owner", "part").join(keys, ["doc", "part"], "left_semi"), "steps")
-    nodes = parts.join(_reached(steps, begun.distinct().join(keys, ["doc", "part"], "left_semi")), ["doc", "part"])
-    names = _round_names(nodes, destination)
+    names = _round_names(_found(parts, leads, begun, destination), destination)
     moved = names.select("doc", F.col("part").alias("owner"), F.col("new_part").alias("new_owner"))
     targets = leads.join(moved, ["doc", "owner"]).join(names.select("doc", "part", F.col("new_part").alias("new_target")), ["doc", "part"], "left")
     relationships = targets.where("new_target IS NOT NULL").select("doc", F.col("new_owner").alias("owner"), "id", F.col("new_target").alias("part"))

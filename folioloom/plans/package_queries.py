@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from folioloom.operators import merges as M
-from folioloom.plans.catalogue import made, query
+from folioloom.operators.ordered import dealt
+from folioloom.plans.catalogue import query, table
+from folioloom.tables import written
 
 # A package a customer; its parts are its orders, each of which leads to two more and some back to earlier ones, so that
 # there are cycles. Names repeat by remainders, and the target has some of them.
@@ -20,7 +22,8 @@ _THERE = """SELECT doc, part, CASE WHEN k % 5 = 0 THEN digest ELSE 'other' END A
 
 
 def _tables(spark, sf_dir):
-    p = made(spark, sf_dir, _PARTS, "orders")
+    orders = table(spark, sf_dir, "orders").select("o_custkey", "o_orderkey")
+    p = written(spark.sql(_PARTS, orders=dealt(orders, ["o_custkey"], orders.count())), "packages")
     rels = spark.sql(f"WITH p AS (SELECT * FROM {{p}}) {_EDGES}", p=p)
     there = spark.sql(f"WITH p AS (SELECT * FROM {{p}}) {_THERE}", p=p)
     return p.select("doc", "part", "digest"), rels, p.where("n = 1").select("doc", "part"), there
