@@ -20,11 +20,21 @@ _EDGES = """SELECT a.doc, a.part AS owner, concat('rId', b.n % 2 + 1) AS id, b.p
 _THERE = """SELECT doc, part, CASE WHEN k % 5 = 0 THEN digest ELSE 'other' END AS digest FROM p WHERE k % 2 = 0
   UNION ALL SELECT doc, replace(part, '.xml', '_src1.xml'), 'old' FROM p WHERE k % 6 = 0"""
 
+# The rows of _EDGES without a join: a part stands in its own place, and asks who stands in the places that it is tied to.
+_TIES = """SELECT doc, CASE WHEN id = 'rId5' THEN part ELSE there END AS owner, id, CASE WHEN id = 'rId5' THEN there ELSE part END AS part, 'Internal' AS mode
+  FROM (SELECT *, max(CASE WHEN id IS NULL THEN part END) OVER (PARTITION BY doc, place) AS there
+        FROM (SELECT doc, part, inline(array(struct(CAST(NULL AS STRING) AS id, n AS place), struct(concat('rId', n % 2 + 1) AS id, CAST(floor(n / 2) AS INT) AS place),
+                                             struct(CASE WHEN k % 4 = 0 THEN 'rId5' END AS id, CASE WHEN k % 4 = 0 THEN n - k % 3 END AS place))) FROM {dealt}) WHERE place IS NOT NULL)
+  WHERE id IS NOT NULL AND there IS NOT NULL
+  UNION ALL SELECT doc, part, 'rId3', 'word/lost', 'Internal' FROM {p} WHERE k % 7 = 0
+  UNION ALL SELECT doc, part, 'rId4', 'http://x', 'External' FROM {p} WHERE k % 5 = 0"""
+
 
 def _tables(spark, sf_dir):
     orders = table(spark, sf_dir, "orders").select("o_custkey", "o_orderkey")
-    p = written(spark.sql(_PARTS, orders=dealt(orders, ["o_custkey"], orders.count())), "packages")
-    rels = spark.sql(f"WITH p AS (SELECT * FROM {{p}}) {_EDGES}", p=p)
+    n_rows = orders.count()
+    p = written(spark.sql(_PARTS, orders=dealt(orders, ["o_custkey"], n_rows)), "packages")
+    rels = spark.sql(_TIES, p=p, dealt=dealt(p.select("doc", "part", "k", "n"), ["doc"], n_rows))
     there = spark.sql(f"WITH p AS (SELECT * FROM {{p}}) {_THERE}", p=p)
     return p.select("doc", "part", "digest"), rels, p.where("n = 1").select("doc", "part"), there
 

@@ -1,12 +1,16 @@
 """Packages that are followed as one row, and larger ones in rounds, against a walk round by round."""
 
 import random
+import re
 
 import pytest
 from test_round_names import NAMES, _walk
 
 from folioloom.operators import merges as M
+from folioloom.plans import catalogue
+from folioloom.plans import package_queries as Q
 
+SF = "/root/testdata/sf0.001"
 TYPES = ("doc string, part string, digest string", "doc string, owner string, id string, part string, mode string", "doc string, part string", "doc string, part string, digest string")
 COLUMNS = ("doc", "part", "new_part", "copied", "round")
 
@@ -61,3 +65,13 @@ def test_depth_adds_no_written_table(spark, monkeypatch):
         assert _names(_tables(spark, [parts, rels, [("d", "p0")], [("d", "z", "x")]])) == sorted(("d", f"p{i}", f"p{i}", True, i + 1) for i in range(deep))
         counts.append(len(kinds))
     assert counts[0] == counts[1]
+
+
+def test_relationships_are_made_in_one_shuffle(spark):
+    rels = Q._tables(spark, SF)[1]
+    p = catalogue.made(spark, SF, Q._PARTS, "orders")
+    want = spark.sql(f"WITH p AS (SELECT * FROM {{p}}) {Q._EDGES}", p=p)
+    columns = ["doc", "owner", "id", "part", "mode"]
+    assert sorted(map(tuple, rels.select(columns).collect())) == sorted(map(tuple, want.select(columns).collect()))
+    plan = rels._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and len(re.findall(r"Exchange \w+\(doc", plan)) == plan.count("Exchange ") == 1
