@@ -13,16 +13,15 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from folioloom.functions.text import on_off
+from folioloom.operators.body_facts import BODY_FACTS, BOOKMARK, FORBIDDEN, MM_PER_TWIP, SETTINGS_FACTS, body_facts, reader, settings_facts
 from folioloom.operators.contracts import RowRule, all_violations, row_violations
 from folioloom.operators.layout import is_a4
 from folioloom.operators.markup import COUNTED, bodies, feature, fold, innermost, let, token
 from folioloom.operators.merges import recurring_differences
 from folioloom.operators.packages import broken_relationships
 
-# Parts, names of bookmarks, millimetres of a twip, characters that no text may hold.
+# Parts.
 BODY, SETTINGS = "word/document.xml", "word/settings.xml"
-BOOKMARK, MM_PER_TWIP = r"^SourcePdfPage(\d+)$", 25.4 / 1440.0
-FORBIDDEN = {"replacement_character": "�", "white_square": "□", "black_square": "■"}
 
 
 def _tagged(e: Column, tag: str) -> Column:
@@ -153,18 +152,13 @@ def _shown(expected: DataFrame, result: DataFrame, template: DataFrame, contract
     return whole.groupBy("path").agg(*[F.max(c).alias(c) for c in one], F.collect_list("broken").alias("broken"), numbers.alias("pages"))
 
 
-def structural_violations(expected: DataFrame, result: DataFrame, template: DataFrame, contract: DataFrame, pages: DataFrame, rels: DataFrame | None = None, template_parts: DataFrame | None = None, parts: DataFrame | None = None) -> DataFrame:
-    """Everything by which made documents differ from what was selected for them, from their template and from the print rules.
-
-    ``expected``, ``result`` and ``template`` are elements by the made document's path, folded or not.  ``parts``(path, part, digest) and
-    ``rels``(path, owner, id, target, mode) are the made packages', ``template_parts`` the templates'; each may be left out.
-    A table given both as expected and as template is read once.
-    """
+def _violations() -> Column:
+    """Violations of a path's row, its features, parts and sections, as one array of (rule_id, severity, key)."""
     c, no, zero = F.col, F.lit(False), F.lit(0)
     have, own, contract_ = c("have"), c("own"), c("contract")
     n, counts = F.size("pages"), F.coalesce(c("want_counts"), F.array())
     had = F.coalesce(have["counts"], F.array())
-    off = F.filter(counts, lambda w: ~F.coalesce(F.exists(had, lambda h: (h["feature"] == w["feature"]) & (h["n"] == w["n"])), no))
+    off = F.filter(F.when(counts == had, F.array()).otherwise(counts), lambda w: ~F.coalesce(F.exists(had, lambda h: (h["feature"] == w["feature"]) & (h["n"] == w["n"])), no))
     held, locked = contract_.isNotNull(), F.coalesce(contract_["source_locked"], no)
     bound = locked & ~F.coalesce(contract_["sample_flow"], no)
     lost = c("want_final").isNull() | have["final"].isNull()
@@ -182,18 +176,40 @@ def structural_violations(expected: DataFrame, result: DataFrame, template: Data
         rule("leaders", F.coalesce(have["leaders"], no)),
         rule("bookmarks", bound & ~c("pages").eqNullSafe(numbers)),
     ]
-    # violations of a path, of its features, of its parts and of its sections leave one row as one array
     hit = lambda name, key: F.struct(F.lit(name).alias("rule_id"), F.lit("error").alias("severity"), key.cast("string").alias("key"))
     sizes = F.when(held, F.coalesce(have["sizes"], F.array()))
     far = lambda s: ~F.coalesce(is_a4(s["width_mm"], s["height_mm"]), F.lit(True))
-    hits = F.concat(
+    return F.concat(
         F.filter(F.array(*[F.when(r.violated, hit(r.rule_id, c("path"))) for r in by_path]), lambda v: v.isNotNull()),
         F.transform(off, lambda w: hit("counts", F.concat_ws("/", "path", w["feature"]))),
         F.transform("broken", lambda p: hit("malformed_part", F.concat_ws("/", "path", p))),
         F.transform(F.filter(F.coalesce(sizes, F.array()), lambda s: s["width_mm"].isNull() | s["height_mm"].isNull()), lambda s: hit("page_size", F.concat_ws("/", "path", s["section"]))),
         F.transform(F.filter(F.coalesce(sizes, F.array()), far), lambda s: hit("a4", F.concat_ws("/", "path", s["section"]))),
     )
-    found = [_shown(expected, result, template, contract, pages).select(F.explode(hits).alias("v")).select("v.*")]
+
+
+def document_violations(documents: DataFrame) -> DataFrame:
+    """(path, violations) of documents(path, expected, result, settings, contract, pages), a row each; nothing is shuffled.
+
+    The first three are a part's bytes: of the expected body, which is the template as well, and of what was made, with null
+    for settings that there aren't.  ``contract`` is a struct, ``pages`` the numbers in order, else as for :func:`structural_violations`.
+    """
+    body, settings = reader(body_facts, BODY_FACTS), reader(settings_facts, SETTINGS_FACTS)
+    read = documents.select("path", "contract", "pages", body("expected").alias("want"), body("result").alias("have"), F.col("settings").isNotNull().alias("set"), settings("settings").alias("own_"))
+    own, want = F.when(F.col("set"), F.col("own_")), F.col("want")
+    torn = F.array(F.when(F.col("have").isNull(), F.lit(BODY)), F.when(F.col("set") & F.col("own_").isNull(), F.lit(SETTINGS)))
+    shown = read.select("path", "contract", "pages", "have", own.alias("own"), want["tokens"].alias("want_tokens"), want["counts"].alias("want_counts"), want["final"].alias("want_final"), F.filter(torn, lambda p: p.isNotNull()).alias("broken"))
+    return shown.select("path", _violations().alias("violations"))
+
+
+def structural_violations(expected: DataFrame, result: DataFrame, template: DataFrame, contract: DataFrame, pages: DataFrame, rels: DataFrame | None = None, template_parts: DataFrame | None = None, parts: DataFrame | None = None) -> DataFrame:
+    """Everything by which made documents differ from what was selected for them, from their template and from the print rules.
+
+    ``expected``, ``result`` and ``template`` are elements by the made document's path, folded or not.  ``parts``(path, part, digest) and
+    ``rels``(path, owner, id, target, mode) are the made packages', ``template_parts`` the templates'; each may be left out.
+    A table given both as expected and as template is read once.
+    """
+    found = [_shown(expected, result, template, contract, pages).select(F.explode(_violations()).alias("v")).select("v.*")]
     if rels is not None and parts is not None:
         found.append(row_violations(broken_relationships(rels, parts), F.concat_ws("/", "path", "owner", "id"), [RowRule("broken_relationship", F.lit(True))]))
     if template_parts is not None and parts is not None:
